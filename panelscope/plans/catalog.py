@@ -13,6 +13,7 @@ from ..functions import keys as K
 from ..functions import values as V
 from ..operators import clean as C
 from ..operators import features as FE
+from ..operators import training as TR
 from ..operators.util import round6
 from ..sources import raw as R
 from ..sources import tables as T
@@ -27,8 +28,13 @@ def weighted_events_panel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Yearly feature table over B1 (keys unique by construction: one groupBy)."""
-    return FE.yearly_features(weighted_events_panel(spark, sf), unique_keys=True)
+    """Yearly feature table over B1 (keys unique by construction: one groupBy).
+
+    Persisted: splits, fits and reports read it several times."""
+    return FE.yearly_features(weighted_events_panel(spark, sf), unique_keys=True).persist()
+
+
+FEATURE_DOUBLES = {"lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "sample_weight"}
 
 
 def _r(df: DataFrame, cols) -> DataFrame:
@@ -168,6 +174,65 @@ def q_monthly_features(spark, sf):
     return _r(f, {"lag_1", "lag_3_mean", "lag_12_mean"})
 
 
+# --------------------------------------------------------------- training ----
+
+def q_training_set(spark, sf):
+    return _r(TR.training_set(events_features(spark, sf)), FEATURE_DOUBLES)
+
+
+def q_leakage_violations(spark, sf):
+    return TR.leakage_violations(TR.training_set(events_features(spark, sf)))
+
+
+def q_training_row_audit(spark, sf):
+    return TR.training_row_audit(events_features(spark, sf))
+
+
+def q_training_filter_counts(spark, sf):
+    return TR.training_filter_counts(events_features(spark, sf))
+
+
+def _split_frame(train: DataFrame, test: DataFrame, cols) -> DataFrame:
+    return train.select(*cols, F.lit("train").alias("split")).unionByName(
+        test.select(*cols, F.lit("test").alias("split"))
+    )
+
+
+def q_split_by_period(spark, sf):
+    train, test, _ = TR.split_by_period(events_features(spark, sf), 2)
+    return _split_frame(train, test, ["entity", "period", "outcome_period", "y"])
+
+
+def q_split_by_outcome(spark, sf):
+    f = events_features(spark, sf)
+    held = [r[0] for r in TR.latest_k_periods(TR.labelled_rows(f), 2, "outcome_period").collect()]
+    train, test = TR.split_by_outcome(f, held)
+    return _split_frame(train, test, ["entity", "period", "outcome_period", "y"])
+
+
+def q_split_by_month(spark, sf):
+    fm = FE.monthly_features(T.supplier_monthly(spark, sf), unique_keys=True).persist()
+    train, test, _ = TR.split_by_month(fm, 6)
+    return _split_frame(train, test, ["entity", "month", "y"])
+
+
+def q_fit_calibration_split(spark, sf):
+    f = events_features(spark, sf)
+    held = [r[0] for r in TR.latest_k_periods(TR.labelled_rows(f), 1, "outcome_period").collect()]
+    train, _ = TR.split_by_outcome(f, held)
+    fit, cal, _ = TR.fit_calibration_split(train)
+    cols = ["entity", "period", "outcome_period", "y"]
+    return fit.select(*cols, F.lit("fit").alias("part")).unionByName(cal.select(*cols, F.lit("calibration").alias("part")))
+
+
+def q_latest_k_periods(spark, sf):
+    return TR.latest_k_periods(TR.labelled_rows(events_features(spark, sf)), 2)
+
+
+def q_latest_period_rows(spark, sf):
+    return _r(TR.latest_period_rows(events_features(spark, sf)), FEATURE_DOUBLES)
+
+
 QUERIES = {
     "column_mapping": q_column_mapping,
     "normalize_key": q_normalize_key,
@@ -192,4 +257,14 @@ QUERIES = {
     "lag_features_monthly": q_lag_features_monthly,
     "next_month_label": q_next_month_label,
     "monthly_features": q_monthly_features,
+    "training_set": q_training_set,
+    "leakage_violations": q_leakage_violations,
+    "training_row_audit": q_training_row_audit,
+    "training_filter_counts": q_training_filter_counts,
+    "split_by_period": q_split_by_period,
+    "split_by_outcome": q_split_by_outcome,
+    "split_by_month": q_split_by_month,
+    "fit_calibration_split": q_fit_calibration_split,
+    "latest_k_periods": q_latest_k_periods,
+    "latest_period_rows": q_latest_period_rows,
 }

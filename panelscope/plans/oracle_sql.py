@@ -271,3 +271,58 @@ ORACLES["next_month_label"] = f"""WITH b3 AS ({B3}), {monthly_features_ctes()} S
 ORACLES["monthly_features"] = f"""WITH b3 AS ({B3}), {monthly_features_ctes()}
 SELECT entity, month, y, {r6('lag_1')} AS lag_1, {r6('lag_3_mean')} AS lag_3_mean, {r6('lag_12_mean')} AS lag_12_mean,
   month_of_year FROM mlab WHERE y IS NOT NULL AND lag_3_mean IS NOT NULL AND lag_12_mean IS NOT NULL"""
+
+# --------------------------------------------------------------- training ----
+
+_TRAIN_REQ = ["lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "periods_since_last_obs", "y", "sample_weight",
+              "outcome_period"]
+_ALL_PRESENT = " AND ".join(f"{c} IS NOT NULL" for c in _TRAIN_REQ)
+_LAB_PRESENT = " AND ".join(f"{c} IS NOT NULL" for c in _TRAIN_REQ[:-1])
+LABELLED_B1 = f"""{FEATURES_B1}, labelled AS (SELECT * FROM features WHERE {_LAB_PRESENT}),
+training AS (SELECT * FROM features WHERE {_ALL_PRESENT})"""
+
+ORACLES["training_set"] = f"WITH {LABELLED_B1} SELECT * FROM training"
+ORACLES["leakage_violations"] = f"""WITH {LABELLED_B1}
+SELECT count(*) AS rows_checked, count(*) FILTER (WHERE period >= outcome_period) AS violations FROM training"""
+_reason = "'kept'"
+for _c in reversed(_TRAIN_REQ):
+    _reason = f"CASE WHEN {_c} IS NULL THEN 'missing_{_c}' ELSE {_reason} END"
+ORACLES["training_row_audit"] = f"""WITH {FEATURES_B1}
+SELECT {repad_key('entity')} AS entity, outcome_period AS target_period, period AS as_of_period,
+  CASE WHEN {_ALL_PRESENT} THEN 1 ELSE 0 END AS kept, {_reason} AS drop_reason FROM features"""
+_first = "0"
+for _i, _c in reversed(list(enumerate(_TRAIN_REQ, start=1))):
+    _first = f"CASE WHEN {_c} IS NULL THEN {_i} ELSE {_first} END"
+_steps = ["SELECT 1 AS step_index, 'input_feature_rows' AS step_name, n AS rows_remaining, 0 AS rows_dropped, '' AS drop_reason FROM agg"]
+_rem = "n"
+for _i, _c in enumerate(_TRAIN_REQ, start=1):
+    _rem = f"{_rem} - d{_i}"
+    _steps.append(f"SELECT {_i + 1}, 'require_non_null_{_c}', {_rem}, d{_i}, 'missing_{_c}' FROM agg")
+_k = len(_TRAIN_REQ) + 2
+_steps.append(f"SELECT {_k}, 'cast_label_to_int', {_rem}, 0, '' FROM agg")
+_steps.append(f"SELECT {_k + 1}, 'dedupe_rows_not_applied', {_rem}, 0, 'no_dedupe_logic_in_training_dataset_builder' FROM agg")
+ORACLES["training_filter_counts"] = f"""WITH {FEATURES_B1}, agg AS (SELECT count(*) AS n,
+  {", ".join(f"count(*) FILTER (WHERE ({_first}) = {_i}) AS d{_i}" for _i in range(1, len(_TRAIN_REQ) + 1))}
+  FROM features)
+{" UNION ALL ".join(_steps)}"""
+ORACLES["split_by_period"] = f"""WITH {LABELLED_B1},
+held AS (SELECT DISTINCT period FROM labelled ORDER BY period DESC LIMIT 2)
+SELECT entity, period, outcome_period, y,
+  CASE WHEN period IN (SELECT period FROM held) THEN 'test' ELSE 'train' END AS split FROM labelled"""
+ORACLES["split_by_outcome"] = f"""WITH {LABELLED_B1},
+held AS (SELECT DISTINCT outcome_period FROM labelled ORDER BY outcome_period DESC LIMIT 2)
+SELECT entity, period, outcome_period, y,
+  CASE WHEN outcome_period IN (SELECT outcome_period FROM held) THEN 'test' ELSE 'train' END AS split FROM labelled"""
+ORACLES["split_by_month"] = f"""WITH b3 AS ({B3}), {monthly_features_ctes()},
+fm AS (SELECT * FROM mlab WHERE y IS NOT NULL AND lag_3_mean IS NOT NULL AND lag_12_mean IS NOT NULL),
+held AS (SELECT DISTINCT month FROM fm ORDER BY month DESC LIMIT 6)
+SELECT entity, month, y, CASE WHEN month IN (SELECT month FROM held) THEN 'test' ELSE 'train' END AS split FROM fm"""
+ORACLES["fit_calibration_split"] = f"""WITH {LABELLED_B1},
+train AS (SELECT * FROM labelled WHERE outcome_period < (SELECT max(outcome_period) FROM labelled))
+SELECT entity, period, outcome_period, y,
+  CASE WHEN outcome_period = (SELECT max(outcome_period) FROM train) THEN 'calibration' ELSE 'fit' END AS part
+FROM train"""
+ORACLES["latest_k_periods"] = f"""WITH {LABELLED_B1}
+SELECT DISTINCT period FROM labelled ORDER BY period DESC LIMIT 2"""
+ORACLES["latest_period_rows"] = f"""WITH {FEATURES_B1}
+SELECT * FROM features WHERE period = (SELECT max(period) FROM features)"""
