@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .util import materialize
+
 SKETCH_ACCURACY = 20000
 BAND_HALF_WIDTH = 4.0 / SKETCH_ACCURACY
 DIRECT_LIMIT = 1_000_000
@@ -62,7 +64,7 @@ def exact_quantiles(
     vals = vals.where(F.col(_V).isNotNull() & ~F.isnan(F.col(_V)))
 
     bands = _band_table(vals, keys, probs, direct_limit)
-    picked = _pick(vals, keys, bands, len(probs)).persist()
+    picked = materialize(_pick(vals, keys, bands, len(probs)))
     missing = picked.where(F.col("__vlo").isNull() | F.col("__vhi").isNull()).select(*keys).distinct()
     if missing.limit(1).count() > 0:
         # The sketch bracket missed (should not happen): redo those groups on full bands.
@@ -107,7 +109,7 @@ def _band_table(vals: DataFrame, keys: list[str], probs: list[float], direct_lim
                 F.when(direct, F.lit(float("inf"))).otherwise(F.col("__sketch")[2 * i + 1]).alias("__bhi"),
             )
         )
-    bands = stats.select(*keys, "__n", F.array(*per_prob).alias("__bands")).persist()
+    bands = materialize(stats.select(*keys, "__n", F.array(*per_prob).alias("__bands")))
     # One row per group; broadcast only behind a checked size, else a shuffle join.
     if bands.count() <= BROADCAST_GROUP_LIMIT:
         bands = F.broadcast(bands)

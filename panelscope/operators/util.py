@@ -20,6 +20,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     return df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small intermediate table to the shared checkpoint folder and read it back.
+
+    Cuts the lineage (the plan above becomes a leaf), survives executor loss, and
+    keeps nested plans from growing with every derived table. The folder is the
+    cluster's `spark.checkpoint.dir`; only an unset one (local tests) gets a default.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def require_columns(df: DataFrame, columns, what: str = "input") -> None:
     """Raise before any job runs when required columns are absent."""
     missing = sorted(set(columns) - set(df.columns))

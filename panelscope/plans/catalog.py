@@ -14,6 +14,10 @@ from ..functions import values as V
 from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import training as TR
+from ..operators import metrics as MT
+from ..operators import ranking as RK
+from ..functions import scores as SC
+from ..functions import text as FM
 from ..operators.util import round6
 from ..sources import raw as R
 from ..sources import tables as T
@@ -233,6 +237,127 @@ def q_latest_period_rows(spark, sf):
     return _r(TR.latest_period_rows(events_features(spark, sf)), FEATURE_DOUBLES)
 
 
+# ------------------------------------------------- metrics (fixed scores) ----
+
+# Explicit coefficients used to score rows for SQL-checked metrics
+# (no fitted model, so both engines see the same scores).
+FIXED_INTERCEPT = -3.0
+FIXED_COEFFICIENTS = {"lag_1": 0.02, "lag_3_mean_obs": 0.02, "lag_5_mean_obs": 0.02, "periods_since_last_obs": -0.1}
+
+
+def fixed_score() -> F.Column:
+    return round6(SC.logistic_score(FIXED_INTERCEPT, FIXED_COEFFICIENTS)).alias("risk_score")
+
+
+def fixed_holdout_detail(spark, sf, holdout_count: int = 2) -> DataFrame:
+    """E1 with fixed parameters: the last `holdout_count` outcome periods, scored and flagged."""
+    f = events_features(spark, sf)
+    held = [r[0] for r in TR.latest_k_periods(TR.labelled_rows(f), holdout_count, "outcome_period").collect()]
+    _, test = TR.split_by_outcome(f, held)
+    scored = test.select("entity", "period", "outcome_period", "y", fixed_score())
+    return MT.flag_top_quartile(scored).persist()
+
+
+def q_score_with_params(spark, sf):
+    f = events_features(spark, sf).dropna(subset=FE.YEARLY_FEATURE_COLUMNS)
+    return f.select("entity", "period", fixed_score())
+
+
+def q_flag_top_quartile(spark, sf):
+    return fixed_holdout_detail(spark, sf)
+
+
+def q_naive_flags(spark, sf):
+    d = fixed_holdout_detail(spark, sf)
+    return _r(MT.naive_flags(d, events_features(spark, sf)), {"lag_1"})
+
+
+def q_naive_join_guard(spark, sf):
+    d = fixed_holdout_detail(spark, sf)
+    lag = events_features(spark, sf).select("entity", "period", "lag_1")
+    return d.join(lag, ["entity", "period"], "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("lag_1").isNull()).alias("missing_lag_1")
+    )
+
+
+def q_risk_percentile(spark, sf):
+    f = events_features(spark, sf).dropna(subset=FE.YEARLY_FEATURE_COLUMNS)
+    scored = f.select("entity", "period", fixed_score())
+    return _r(RK.percentile_in_group(scored, ["period"], "risk_score"), {"risk_percentile"})
+
+
+def q_precision_recall_at_half(spark, sf):
+    return MT.precision_recall_at_half(fixed_holdout_detail(spark, sf))
+
+
+def q_top_quartile_metrics(spark, sf):
+    return _r(MT.top_quartile_metrics(fixed_holdout_detail(spark, sf)), {"positive_rate", "auc"})
+
+
+def q_backtest_summary(spark, sf):
+    return _r(MT.backtest_summary(fixed_holdout_detail(spark, sf)), {"auc"})
+
+
+def q_roc_auc(spark, sf):
+    return _r(RK.roc_auc(fixed_holdout_detail(spark, sf), ["outcome_period"]), {"auc"})
+
+
+def q_calibration_deciles(spark, sf):
+    return _r(MT.calibration_deciles(fixed_holdout_detail(spark, sf)), {"mean_pred", "observed_rate"})
+
+
+def q_score_distribution(spark, sf):
+    return _r(MT.score_distribution(fixed_holdout_detail(spark, sf)), set(MT.DISTRIBUTION_NAMES))
+
+
+def q_roc_points(spark, sf):
+    return _r(RK.roc_points(fixed_holdout_detail(spark, sf), []), {"fpr", "tpr"})
+
+
+def q_auc_delta(spark, sf):
+    """Model AUC minus naive (lag_1) AUC, in basis points, for the last-1 and last-2 holdouts."""
+    out = None
+    for k in (1, 2):
+        d = fixed_holdout_detail(spark, sf, k)
+        naive = d.join(events_features(spark, sf).select("entity", "period", "lag_1"), ["entity", "period"])
+        m = RK.roc_auc(d, []).select(F.col("auc").alias("model_auc"))
+        n = RK.roc_auc(naive, [], score="lag_1").select(F.col("auc").alias("naive_auc"))
+        row = m.withColumn("__k", F.lit(1)).join(n.withColumn("__k", F.lit(1)), "__k")
+        row = row.select(F.lit(k).alias("holdout_periods"), round6("model_auc").alias("model_auc"),
+                         round6("naive_auc").alias("naive_auc"),
+                         round6((F.col("model_auc") - F.col("naive_auc")) * 10000).alias("delta_bps"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_top_predicted(spark, sf):
+    d = fixed_holdout_detail(spark, sf, 1)
+    return MT.top_rows(d, 25, "predicted")
+
+
+def q_top_misses(spark, sf):
+    return MT.top_rows(fixed_holdout_detail(spark, sf, 1), 25, "misses")
+
+
+def q_top_surprises(spark, sf):
+    return MT.top_rows(fixed_holdout_detail(spark, sf, 1), 25, "surprises")
+
+
+def q_period_ranges(spark, sf):
+    f = events_features(spark, sf)
+    return f.agg(
+        F.min("period").alias("period_min"), F.max("period").alias("period_max"),
+        F.count_distinct("period").alias("distinct_periods"), F.count(F.lit(1)).alias("rows"),
+        F.min("outcome_period").alias("outcome_period_min"), F.max("outcome_period").alias("outcome_period_max"),
+    )
+
+
+def q_format_metrics(spark, sf):
+    s = MT.backtest_summary(fixed_holdout_detail(spark, sf))
+    return s.select("outcome_period", "level", FM.pct_text("precision_at_top_quartile").alias("precision_text"),
+                    FM.pct_text("recall_at_top_quartile").alias("recall_text"), FM.auc_text("auc").alias("auc_text"))
+
+
 QUERIES = {
     "column_mapping": q_column_mapping,
     "normalize_key": q_normalize_key,
@@ -267,4 +392,22 @@ QUERIES = {
     "fit_calibration_split": q_fit_calibration_split,
     "latest_k_periods": q_latest_k_periods,
     "latest_period_rows": q_latest_period_rows,
+    "score_with_params": q_score_with_params,
+    "flag_top_quartile": q_flag_top_quartile,
+    "naive_flags": q_naive_flags,
+    "naive_join_guard": q_naive_join_guard,
+    "risk_percentile": q_risk_percentile,
+    "precision_recall_at_half": q_precision_recall_at_half,
+    "top_quartile_metrics": q_top_quartile_metrics,
+    "backtest_summary": q_backtest_summary,
+    "roc_auc": q_roc_auc,
+    "calibration_deciles": q_calibration_deciles,
+    "score_distribution": q_score_distribution,
+    "roc_points": q_roc_points,
+    "auc_delta": q_auc_delta,
+    "top_predicted": q_top_predicted,
+    "top_misses": q_top_misses,
+    "top_surprises": q_top_surprises,
+    "period_ranges": q_period_ranges,
+    "format_metrics": q_format_metrics,
 }

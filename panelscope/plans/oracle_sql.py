@@ -166,13 +166,16 @@ lab AS (SELECT f.*, CAST(f.period + 1 AS INTEGER) AS outcome_period, l.flag AS y
         FROM feat f LEFT JOIN flags l ON l.entity = f.entity AND l.period = f.period + 1)"""
 
 
-YEARLY_FEATURES_SELECT = f"""SELECT entity, period, outcome_period, y, {r6('lag_1')} AS lag_1,
+FEATURE_OUT = f"""entity, period, outcome_period, y, {r6('lag_1')} AS lag_1,
   {r6('lag_3_mean_obs')} AS lag_3_mean_obs, {r6('lag_5_mean_obs')} AS lag_5_mean_obs,
-  periods_since_last_obs, {r6('sample_weight')} AS sample_weight
+  periods_since_last_obs, {r6('sample_weight')} AS sample_weight"""
+YEARLY_FEATURES_SELECT = f"""SELECT {FEATURE_OUT}
 FROM lab WHERE lag_3_mean_obs IS NOT NULL AND lag_5_mean_obs IS NOT NULL"""
+FEATURES_RAW_SELECT = """SELECT entity, period, outcome_period, y, lag_1, lag_3_mean_obs, lag_5_mean_obs,
+  periods_since_last_obs, sample_weight FROM lab WHERE lag_3_mean_obs IS NOT NULL AND lag_5_mean_obs IS NOT NULL"""
 
 FEATURES_B1 = f"""b1 AS ({B1}), {weighted()}, {features_ctes()},
-features AS ({YEARLY_FEATURES_SELECT})"""
+features AS ({FEATURES_RAW_SELECT})"""
 
 
 def monthly_features_ctes(panel: str = "b3") -> str:
@@ -261,7 +264,7 @@ ORACLES["next_period_label_join"] = ORACLES["next_period_label"]
 ORACLES["outcome_observed"] = f"""WITH b1 AS ({B1})
 SELECT a.entity, a.period, CASE WHEN b.entity IS NULL THEN 0 ELSE 1 END AS has_outcome_observation
 FROM b1 a LEFT JOIN b1 b ON a.entity = b.entity AND b.period = a.period + 1"""
-ORACLES["yearly_features"] = f"WITH {FEATURES_B1} SELECT * FROM features"
+ORACLES["yearly_features"] = f"WITH {FEATURES_B1} SELECT {FEATURE_OUT} FROM features"
 ORACLES["yearly_features_orders"] = f"""WITH b1 AS ({B2}), {weighted()}, {features_ctes()}
 {YEARLY_FEATURES_SELECT}"""
 ORACLES["lag_features_monthly"] = f"""WITH b3 AS ({B3}), {monthly_features_ctes()}
@@ -281,7 +284,7 @@ _LAB_PRESENT = " AND ".join(f"{c} IS NOT NULL" for c in _TRAIN_REQ[:-1])
 LABELLED_B1 = f"""{FEATURES_B1}, labelled AS (SELECT * FROM features WHERE {_LAB_PRESENT}),
 training AS (SELECT * FROM features WHERE {_ALL_PRESENT})"""
 
-ORACLES["training_set"] = f"WITH {LABELLED_B1} SELECT * FROM training"
+ORACLES["training_set"] = f"WITH {LABELLED_B1} SELECT {FEATURE_OUT} FROM training"
 ORACLES["leakage_violations"] = f"""WITH {LABELLED_B1}
 SELECT count(*) AS rows_checked, count(*) FILTER (WHERE period >= outcome_period) AS violations FROM training"""
 _reason = "'kept'"
@@ -325,4 +328,155 @@ FROM train"""
 ORACLES["latest_k_periods"] = f"""WITH {LABELLED_B1}
 SELECT DISTINCT period FROM labelled ORDER BY period DESC LIMIT 2"""
 ORACLES["latest_period_rows"] = f"""WITH {FEATURES_B1}
-SELECT * FROM features WHERE period = (SELECT max(period) FROM features)"""
+SELECT {FEATURE_OUT} FROM features WHERE period = (SELECT max(period) FROM features)"""
+
+# ------------------------------------------------- metrics (fixed scores) ----
+
+_FIXED_MARGIN = ("((((CAST(-3.0 AS DOUBLE) + CAST(0.02 AS DOUBLE) * lag_1) + CAST(0.02 AS DOUBLE) * lag_3_mean_obs)"
+                 " + CAST(0.02 AS DOUBLE) * lag_5_mean_obs) + CAST(-0.1 AS DOUBLE) * periods_since_last_obs)")
+FIXED_SCORE = r6(f"CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{_FIXED_MARGIN}))")
+
+
+def detail_ctes(k: int) -> str:
+    """CTE `detail`: last k outcome periods of the labelled B1 rows, fixed score, top-quartile flag."""
+    return f"""{LABELLED_B1},
+held AS (SELECT DISTINCT outcome_period FROM labelled ORDER BY outcome_period DESC LIMIT {k}),
+scored AS (SELECT entity, period, outcome_period, y, {FIXED_SCORE} AS risk_score FROM labelled
+           WHERE outcome_period IN (SELECT outcome_period FROM held)),
+detail AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY outcome_period ORDER BY risk_score DESC, entity, period)
+             <= greatest(1, ceil(0.25 * count(*) OVER (PARTITION BY outcome_period))) THEN 1 ELSE 0 END
+             AS predicted_top_quartile FROM scored)"""
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"(CASE WHEN {den} > 0 THEN CAST({num} AS DOUBLE) / {den} ELSE 0.0 END)"
+
+
+_TP = "count(*) FILTER (WHERE y = 1 AND predicted_top_quartile = 1)"
+_PP = "count(*) FILTER (WHERE predicted_top_quartile = 1)"
+_AP = "count(*) FILTER (WHERE y = 1)"
+
+
+def auc_ctes(src: str = "detail", score: str = "risk_score") -> str:
+    """CTEs `auc_per` (per outcome period) and `auc_all` (pooled) with exact tie-aware AUC."""
+    return f"""cnt AS (SELECT outcome_period, {score} AS s, count(*) FILTER (WHERE y = 1) AS pos,
+                  count(*) FILTER (WHERE y = 0) AS neg FROM {src} GROUP BY 1, 2),
+pre AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY outcome_period ORDER BY s
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before FROM cnt),
+auc_per AS (SELECT outcome_period, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+              CAST(sum(pos * (2 * neg_before + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) END AS auc
+            FROM pre GROUP BY 1),
+cnt2 AS (SELECT {score} AS s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg
+         FROM {src} GROUP BY 1),
+pre2 AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           AS neg_before FROM cnt2),
+auc_all AS (SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+              CAST(sum(pos * (2 * neg_before + neg)) AS DOUBLE) / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) END AS auc
+            FROM pre2)"""
+
+
+def _levels_with_auc(aggs: str) -> str:
+    return f"""{_summary_ctes(aggs)} SELECT * FROM summary"""
+
+
+def _summary_ctes(aggs: str) -> str:
+    """CTEs ending in `summary`: rollup rows per outcome period and pooled, with AUC."""
+    return f"""lv AS (SELECT outcome_period, CASE WHEN grouping(outcome_period) = 1 THEN 'pooled' ELSE 'period' END AS level,
+  {aggs} FROM detail GROUP BY GROUPING SETS ((outcome_period), ())),
+{auc_ctes()},
+summary AS (SELECT lv.*, {r6('CASE WHEN lv.level = ' + "'pooled'" + ' THEN (SELECT auc FROM auc_all) ELSE a.auc END')} AS auc
+FROM lv LEFT JOIN auc_per a ON lv.level = 'period' AND a.outcome_period = lv.outcome_period)"""
+
+
+ORACLES["score_with_params"] = f"""WITH {FEATURES_B1}
+SELECT entity, period, {FIXED_SCORE} AS risk_score FROM features
+WHERE lag_1 IS NOT NULL AND lag_3_mean_obs IS NOT NULL AND lag_5_mean_obs IS NOT NULL
+  AND periods_since_last_obs IS NOT NULL"""
+ORACLES["flag_top_quartile"] = f"WITH {detail_ctes(2)} SELECT * FROM detail"
+ORACLES["naive_flags"] = f"""WITH {detail_ctes(2)},
+m AS (SELECT d.*, f.lag_1 AS raw_lag_1 FROM detail d LEFT JOIN features f ON f.entity = d.entity AND f.period = d.period)
+SELECT entity, period, outcome_period, y, risk_score, predicted_top_quartile, {r6('raw_lag_1')} AS lag_1,
+  CASE WHEN row_number() OVER (PARTITION BY outcome_period ORDER BY raw_lag_1 DESC, entity, period)
+    <= greatest(1, ceil(0.25 * count(*) OVER (PARTITION BY outcome_period))) THEN 1 ELSE 0 END
+    AS naive_predicted_top_quartile
+FROM m"""
+ORACLES["naive_join_guard"] = f"""WITH {detail_ctes(2)}
+SELECT count(*) AS rows, count(*) FILTER (WHERE f.lag_1 IS NULL) AS missing_lag_1
+FROM detail d LEFT JOIN features f ON f.entity = d.entity AND f.period = d.period"""
+ORACLES["risk_percentile"] = f"""WITH {FEATURES_B1},
+s AS (SELECT entity, period, {FIXED_SCORE} AS risk_score FROM features
+      WHERE lag_1 IS NOT NULL AND lag_3_mean_obs IS NOT NULL AND lag_5_mean_obs IS NOT NULL)
+SELECT entity, period, risk_score, {r6('cume_dist() OVER (PARTITION BY period ORDER BY risk_score) * 100.0')}
+  AS risk_percentile FROM s"""
+ORACLES["precision_recall_at_half"] = f"""WITH {detail_ctes(2)}
+SELECT count(*) AS rows, count(*) FILTER (WHERE risk_score >= 0.5 AND y = 1) AS true_positives,
+  count(*) FILTER (WHERE risk_score >= 0.5) AS predicted_positives, count(*) FILTER (WHERE y = 1) AS actual_positives,
+  {_ratio("count(*) FILTER (WHERE risk_score >= 0.5 AND y = 1)", "count(*) FILTER (WHERE risk_score >= 0.5)")}
+    AS precision_at_0_5,
+  {_ratio("count(*) FILTER (WHERE risk_score >= 0.5 AND y = 1)", "count(*) FILTER (WHERE y = 1)")} AS recall_at_0_5
+FROM detail"""
+ORACLES["top_quartile_metrics"] = f"""WITH {detail_ctes(2)},
+{_levels_with_auc(f"count(*) AS rows, {r6('avg(CAST(y AS DOUBLE))')} AS positive_rate, "
+                  f"{_ratio(_TP, _PP)} AS precision_at_top_quartile, {_ratio(_TP, _AP)} AS recall_at_top_quartile")}"""
+_SUMMARY_AGGS = (f"count(*) AS rows, {_PP} AS predicted_top_quartile_count, {_AP} AS actual_top_quartile_count, "
+                 f"{_TP} AS true_positives, {_ratio(_TP, _PP)} AS precision_at_top_quartile, "
+                 f"{_ratio(_TP, _AP)} AS recall_at_top_quartile")
+ORACLES["backtest_summary"] = f"""WITH {detail_ctes(2)}, {_levels_with_auc(_SUMMARY_AGGS)}"""
+ORACLES["roc_auc"] = f"""WITH {detail_ctes(2)}, {auc_ctes()} SELECT outcome_period, {r6('auc')} AS auc FROM auc_per"""
+_edges = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
+ORACLES["calibration_deciles"] = f"""WITH {detail_ctes(2)},
+e AS (SELECT list_sort(list_distinct(quantile_cont(risk_score, {_edges}))) AS edges,
+             min(risk_score) < max(risk_score) AS spread FROM detail),
+b AS (SELECT d.*, CASE WHEN NOT e.spread THEN 0
+        ELSE greatest(len(list_filter(e.edges, lambda x: x < d.risk_score)), 1) - 1 END AS decile FROM detail d, e)
+SELECT decile, count(*) AS count, {r6('avg(risk_score)')} AS mean_pred, {r6('avg(CAST(y AS DOUBLE))')} AS observed_rate
+FROM b GROUP BY decile"""
+_q = ", ".join(f"{r6(f'quantile_cont(risk_score, {p})')} AS {n}" for p, n in
+               zip([0.01, 0.05, 0.5, 0.95, 0.99], ["p01", "p05", "p50", "p95", "p99"]))
+ORACLES["score_distribution"] = f"""WITH {detail_ctes(2)}
+SELECT outcome_period, CASE WHEN grouping(outcome_period) = 1 THEN 'pooled' ELSE 'period' END AS level, {_q},
+  avg(CAST(risk_score > 0.99 AS DOUBLE)) AS share_gt_0_99, avg(CAST(risk_score < 0.01 AS DOUBLE)) AS share_lt_0_01
+FROM detail GROUP BY GROUPING SETS ((outcome_period), ())"""
+ORACLES["roc_points"] = f"""WITH {detail_ctes(2)},
+c AS (SELECT risk_score AS threshold, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg
+      FROM detail GROUP BY 1),
+r AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS true_positives,
+        sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS false_positives,
+        sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM c)
+SELECT threshold, true_positives, false_positives,
+  {r6('CASE WHEN n > 0 THEN CAST(false_positives AS DOUBLE) / n END')} AS fpr,
+  {r6('CASE WHEN p > 0 THEN CAST(true_positives AS DOUBLE) / p END')} AS tpr FROM r"""
+
+
+def _auc_delta(k: int) -> str:
+    return f"""(WITH {detail_ctes(k)},
+nd AS (SELECT d.outcome_period, d.y, f.lag_1 FROM detail d JOIN features f ON f.entity = d.entity AND f.period = d.period),
+{auc_ctes()},
+{auc_ctes('nd', 'lag_1').replace('cnt AS', 'ncnt AS').replace('pre AS', 'npre AS').replace('FROM cnt', 'FROM ncnt')
+   .replace('auc_per AS', 'nauc_per AS').replace('FROM pre', 'FROM npre').replace('cnt2 AS', 'ncnt2 AS')
+   .replace('FROM cnt2', 'FROM ncnt2').replace('pre2 AS', 'npre2 AS').replace('FROM pre2', 'FROM npre2')
+   .replace('auc_all AS', 'nauc_all AS')}
+SELECT {k} AS holdout_periods, {r6('(SELECT auc FROM auc_all)')} AS model_auc, {r6('(SELECT auc FROM nauc_all)')} AS naive_auc,
+  {r6('((SELECT auc FROM auc_all) - (SELECT auc FROM nauc_all)) * 10000')} AS delta_bps)"""
+
+
+ORACLES["auc_delta"] = f"SELECT * FROM {_auc_delta(1)} UNION ALL SELECT * FROM {_auc_delta(2)}"
+ORACLES["top_predicted"] = f"""WITH {detail_ctes(1)}
+SELECT entity, risk_score, y, predicted_top_quartile FROM detail ORDER BY risk_score DESC, entity LIMIT 25"""
+ORACLES["top_misses"] = f"""WITH {detail_ctes(1)}
+SELECT entity, risk_score, y, predicted_top_quartile FROM detail WHERE y = 0 ORDER BY risk_score DESC, entity LIMIT 25"""
+ORACLES["top_surprises"] = f"""WITH {detail_ctes(1)}
+SELECT entity, risk_score, y, predicted_top_quartile FROM detail WHERE y = 1 ORDER BY risk_score ASC, entity LIMIT 25"""
+ORACLES["period_ranges"] = f"""WITH {FEATURES_B1}
+SELECT min(period) AS period_min, max(period) AS period_max, count(DISTINCT period) AS distinct_periods,
+  count(*) AS rows, min(outcome_period) AS outcome_period_min, max(outcome_period) AS outcome_period_max FROM features"""
+
+
+def _pct(x: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN printf('%.1f%%', floor({x} * 100.0 * 10.0 + 0.5) / 10.0) END"
+
+
+ORACLES["format_metrics"] = f"""WITH {detail_ctes(2)}, {_summary_ctes(_SUMMARY_AGGS)}
+SELECT outcome_period, level, {_pct('precision_at_top_quartile')} AS precision_text,
+  {_pct('recall_at_top_quartile')} AS recall_text,
+  CASE WHEN auc IS NULL THEN 'N/A' ELSE printf('%.3f', floor(auc * 1000.0 + 0.5) / 1000.0) END AS auc_text FROM summary"""

@@ -18,6 +18,8 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Plan text is built for every adaptive re-plan; cap it so deep plans stay cheap.
+    "spark.sql.maxPlanStringLength": "1000000",
 }
 
 
