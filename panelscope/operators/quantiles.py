@@ -63,6 +63,10 @@ def exact_quantiles(
         vals = vals.withColumn(_G, F.lit(0))
     vals = vals.where(F.col(_V).isNotNull() & ~F.isnan(F.col(_V)))
 
+    if max_group_size(vals, keys) <= direct_limit:
+        out = _direct(vals, keys, probs, names)
+        return out.drop(_G) if not by else out
+
     bands = _band_table(vals, keys, probs, direct_limit)
     picked = materialize(_pick(vals, keys, bands, len(probs)))
     missing = picked.where(F.col("__vlo").isNull() | F.col("__vhi").isNull()).select(*keys).distinct()
@@ -85,6 +89,37 @@ def exact_quantiles(
     return out
 
 
+def max_group_size(df: DataFrame, keys: list[str]) -> int:
+    """Largest group's row count: one small aggregate, decides the plan shape."""
+    m = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return int(m or 0)
+
+
+def _direct(vals: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
+    """Every group is at most `direct_limit` rows: rank each group in one sort (lazy)."""
+    w = Window.partitionBy(*keys).orderBy(_V)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    ranked = vals.select(*keys, _V, (F.row_number().over(w) - 1).alias("__r"), n.alias("n"))
+    h = [(F.col("n") - 1).cast("double") * F.lit(p) for p in probs]
+    wanted = F.lit(False)
+    for hi in h:
+        wanted = wanted | (F.col("__r") == F.floor(hi)) | (F.col("__r") == F.ceil(hi))
+    picked = ranked.where(wanted)
+    aggs = []
+    for i, hi in enumerate(h):
+        aggs += [
+            F.max(F.when(F.col("__r") == F.floor(hi), F.col(_V))).alias(f"__lo{i}"),
+            F.max(F.when(F.col("__r") == F.ceil(hi), F.col(_V))).alias(f"__hi{i}"),
+            F.first(hi - F.floor(hi)).alias(f"__f{i}"),
+        ]
+    g = picked.groupBy(*keys).agg(F.first("n").alias("n"), *aggs)
+    return g.select(
+        *keys, "n",
+        *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(name)
+          for i, name in enumerate(names)],
+    )
+
+
 def _band_table(vals: DataFrame, keys: list[str], probs: list[float], direct_limit: int) -> DataFrame:
     """One row per group: size and, per probability, target ranks and value band."""
     band_probs: list[float] = []

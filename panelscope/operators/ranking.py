@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import DIRECT_LIMIT, SKETCH_ACCURACY
+from .quantiles import DIRECT_LIMIT, SKETCH_ACCURACY, max_group_size
 from .util import broadcast_if_small, materialize
 
 BUCKETS = 512
@@ -38,6 +38,16 @@ def ordered_prefix_sums(
     by = list(by)
     keys = by if by else [_G]
     rows = df if by else df.withColumn(_G, F.lit(0))
+    if max_group_size(rows, keys) <= direct_limit:
+        # Every group fits one task: a single running-sum window (lazy, one shuffle).
+        w = Window.partitionBy(*keys)
+        wo = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        out = rows.select(
+            *rows.columns,
+            *[F.sum(c).over(w).alias(f"{c}_total") for c in sums],
+            *[F.coalesce(F.sum(c).over(wo), F.lit(0)).alias(f"{c}_before") for c in sums],
+        )
+        return out.drop(_G) if not by else out
     edges_p = [i / BUCKETS for i in range(1, BUCKETS)]
     stats = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__n"),

@@ -17,6 +17,9 @@ from ..operators import training as TR
 from ..operators import metrics as MT
 from ..operators import ranking as RK
 from ..functions import scores as SC
+from ..operators import model as MD
+from . import backtest as BT
+from . import jobs as JB
 from ..functions import text as FM
 from ..operators.util import round6
 from ..sources import raw as R
@@ -358,6 +361,97 @@ def q_format_metrics(spark, sf):
                     FM.pct_text("recall_at_top_quartile").alias("recall_text"), FM.auc_text("auc").alias("auc_text"))
 
 
+# ------------------------------------------------ models (rows-only checks) ----
+
+def _train_rows(spark, sf):
+    f = events_features(spark, sf)
+    return TR.training_set(f)
+
+
+def q_select_regularization(spark, sf):
+    train, _, _ = TR.split_by_period(_train_rows(spark, sf), 2)
+    fit, cal, _ = TR.fit_calibration_split(TR.labelled_rows(train))
+    best, tried = MD.select_regularization(fit, cal, FE.YEARLY_FEATURE_COLUMNS)
+    rows = [(float(c), auc, c == best) for c, auc in tried] or [(best, None, True)]
+    return spark.createDataFrame(rows, "c double, calibration_auc double, chosen boolean")
+
+
+def q_fit_weighted_logit(spark, sf):
+    train, _, _ = TR.split_by_period(_train_rows(spark, sf), 2)
+    b0, bs = MD.fit_logit(train, FE.YEARLY_FEATURE_COLUMNS, MD.DEFAULT_C)
+    names = ["intercept", *FE.YEARLY_FEATURE_COLUMNS]
+    return spark.createDataFrame(list(zip(names, [b0, *bs])), "term string, coefficient double")
+
+
+def _trained(spark, sf):
+    train, test, _ = TR.split_by_period(_train_rows(spark, sf), 2)
+    return MD.train_calibrated(train), test
+
+
+def q_calibrate_scores(spark, sf):
+    model, test = _trained(spark, sf)
+    return model.transform(TR.labelled_rows(test)).select(
+        "entity", "period", round6(model.raw_probability()).alias("raw_probability"),
+        round6("risk_score").alias("risk_score"), F.lit(model.calibration_method).alias("calibration_method"))
+
+
+def q_score_rows(spark, sf):
+    model, _ = _trained(spark, sf)
+    return MD.score_rows(model, events_features(spark, sf))
+
+
+def q_score_latest(spark, sf):
+    model, _ = _trained(spark, sf)
+    return MD.score_rows(model, TR.latest_period_rows(events_features(spark, sf)))
+
+
+def q_fit_monthly_logit(spark, sf):
+    fm = FE.monthly_features(T.supplier_monthly(spark, sf), unique_keys=True).persist()
+    out = JB.train_monthly_job(fm, 6)
+    m = out["model"]
+    return spark.createDataFrame(list(zip(["intercept", *m.features], [m.intercept, *m.coefficients])),
+                                 "term string, coefficient double")
+
+
+def q_model_params(spark, sf):
+    model, _ = _trained(spark, sf)
+    return model.params_frame(spark)
+
+
+def q_holdout_detail(spark, sf):
+    model, test = _trained(spark, sf)
+    return BT.holdout_detail(model, test)
+
+
+def q_evaluate_half(spark, sf):
+    model, test = _trained(spark, sf)
+    return BT.evaluate_half(model, test)
+
+
+def q_backtest_last_period(spark, sf):
+    f = events_features(spark, sf)
+    _, _, metrics = BT.backtest(f, BT.last_outcome_periods(f, 1))
+    return metrics
+
+
+def q_backtest_last_two(spark, sf):
+    runs = BT.backtest_last_two(events_features(spark, sf))
+    return runs["last_period"][2].withColumn("holdout", F.lit("last_period")).unionByName(
+        runs["last_two_periods"][2].withColumn("holdout", F.lit("last_two_periods")))
+
+
+def q_train_job(spark, sf):
+    return JB.train_job(spark, events_features(spark, sf), source=sf)["metrics"]
+
+
+def q_backtest_report(spark, sf):
+    return BT.backtest_report(events_features(spark, sf))["comparison"]
+
+
+def q_model_metadata(spark, sf):
+    return JB.train_job(spark, events_features(spark, sf), source=sf)["metadata"]
+
+
 QUERIES = {
     "column_mapping": q_column_mapping,
     "normalize_key": q_normalize_key,
@@ -410,4 +504,18 @@ QUERIES = {
     "top_surprises": q_top_surprises,
     "period_ranges": q_period_ranges,
     "format_metrics": q_format_metrics,
+    "select_regularization": q_select_regularization,
+    "fit_weighted_logit": q_fit_weighted_logit,
+    "calibrate_scores": q_calibrate_scores,
+    "score_rows": q_score_rows,
+    "score_latest": q_score_latest,
+    "fit_monthly_logit": q_fit_monthly_logit,
+    "model_params": q_model_params,
+    "holdout_detail": q_holdout_detail,
+    "evaluate_half": q_evaluate_half,
+    "backtest_last_period": q_backtest_last_period,
+    "backtest_last_two": q_backtest_last_two,
+    "train_job": q_train_job,
+    "backtest_report": q_backtest_report,
+    "model_metadata": q_model_metadata,
 }
