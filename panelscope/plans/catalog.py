@@ -18,6 +18,7 @@ from ..operators import metrics as MT
 from ..operators import ranking as RK
 from ..functions import scores as SC
 from ..operators import model as MD
+from ..operators import scoring as SCO
 from . import backtest as BT
 from . import jobs as JB
 from ..functions import text as FM
@@ -452,6 +453,32 @@ def q_model_metadata(spark, sf):
     return JB.train_job(spark, events_features(spark, sf), source=sf)["metadata"]
 
 
+# --------------------------------------------------------- request scoring ----
+
+def q_score_requests(spark, sf):
+    out = SCO.score_requests(
+        T.event_requests(spark, sf), events_features(spark, sf),
+        lambda df: df.withColumn("risk_score", fixed_score()),
+        FE.YEARLY_FEATURE_COLUMNS, "fixed-params", "logistic_fixed_params", bounds=T.EVENT_PERIOD_BOUNDS,
+    )
+    return _r(out.drop("features_used"), {"risk_percentile_in_period", "feature_lag_1", "feature_lag_3_mean_obs",
+                                          "feature_lag_5_mean_obs", "feature_periods_since_last_obs"})
+
+
+def q_request_validation(spark, sf):
+    v = SCO.validate_requests(T.event_requests(spark, sf), bounds=T.EVENT_PERIOD_BOUNDS)
+    return v.select("request_id", "raw_key", "as_of_period", "entity", "invalid")
+
+
+def q_score_requests_resolve(spark, sf):
+    f = events_features(spark, sf)
+    v = SCO.validate_requests(T.event_requests(spark, sf), bounds=T.EVENT_PERIOD_BOUNDS)
+    keys = v.where(~F.col("invalid")).select("entity", "as_of_period").distinct()
+    info = SCO.entity_bounds(f, FE.YEARLY_FEATURE_COLUMNS).drop("__exists")
+    return keys.join(info, "entity", "left").withColumn(
+        "resolved_period", F.coalesce(F.col("as_of_period"), F.col("available_periods_max")))
+
+
 QUERIES = {
     "column_mapping": q_column_mapping,
     "normalize_key": q_normalize_key,
@@ -518,4 +545,7 @@ QUERIES = {
     "train_job": q_train_job,
     "backtest_report": q_backtest_report,
     "model_metadata": q_model_metadata,
+    "score_requests": q_score_requests,
+    "request_validation": q_request_validation,
+    "score_requests_resolve": q_score_requests_resolve,
 }

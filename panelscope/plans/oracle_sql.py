@@ -480,3 +480,58 @@ ORACLES["format_metrics"] = f"""WITH {detail_ctes(2)}, {_summary_ctes(_SUMMARY_A
 SELECT outcome_period, level, {_pct('precision_at_top_quartile')} AS precision_text,
   {_pct('recall_at_top_quartile')} AS recall_text,
   CASE WHEN auc IS NULL THEN 'N/A' ELSE printf('%.3f', floor(auc * 1000.0 + 0.5) / 1000.0) END AS auc_text FROM summary"""
+
+# --------------------------------------------------------- request scoring ----
+
+REQUESTS = """SELECT event_id AS request_id,
+  CASE WHEN event_id % 6 = 0 THEN lpad(CAST(user_id AS VARCHAR), 5, '0')
+       WHEN event_id % 6 = 1 THEN '0' || lpad(CAST(user_id AS VARCHAR), 5, '0')
+       WHEN event_id % 6 = 2 THEN ' ' || CAST(user_id AS VARCHAR) || ' '
+       WHEN event_id % 6 = 3 THEN '99999'
+       WHEN event_id % 6 = 4 THEN '   '
+       ELSE CAST(user_id AS VARCHAR) || '12' END AS raw_key,
+  CAST(CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 5 = 1 THEN 40 WHEN event_id % 5 = 2 THEN -3
+       ELSE date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) END AS INTEGER) AS as_of_period
+FROM events"""
+
+_VALID_REQ = f"""req AS ({REQUESTS}),
+rv AS (SELECT *, {norm_key_request('raw_key')} AS entity FROM req),
+v AS (SELECT *, (entity IS NULL OR (as_of_period IS NOT NULL AND (as_of_period < 0 OR as_of_period > 365)))
+       AS invalid FROM rv)"""
+_SCOREABLE = ("lag_1 IS NOT NULL AND lag_3_mean_obs IS NOT NULL AND lag_5_mean_obs IS NOT NULL "
+              "AND periods_since_last_obs IS NOT NULL")
+_INFO = f"""info AS (SELECT entity, min(CASE WHEN {_SCOREABLE} THEN period END) AS available_periods_min,
+  max(CASE WHEN {_SCOREABLE} THEN period END) AS available_periods_max FROM features GROUP BY entity)"""
+
+ORACLES["request_validation"] = f"""WITH {_VALID_REQ} SELECT request_id, raw_key, as_of_period, entity, invalid FROM v"""
+ORACLES["score_requests_resolve"] = f"""WITH {FEATURES_B1}, {_VALID_REQ}, {_INFO},
+k AS (SELECT DISTINCT entity, as_of_period FROM v WHERE NOT invalid)
+SELECT k.entity, k.as_of_period, i.available_periods_min, i.available_periods_max,
+  coalesce(k.as_of_period, i.available_periods_max) AS resolved_period
+FROM k LEFT JOIN info i ON i.entity = k.entity"""
+ORACLES["score_requests"] = f"""WITH {FEATURES_B1}, {_VALID_REQ}, {_INFO},
+sc AS (SELECT entity, period, {FIXED_SCORE} AS risk_score, lag_1, lag_3_mean_obs, lag_5_mean_obs,
+         periods_since_last_obs FROM features WHERE {_SCOREABLE}),
+scp AS (SELECT *, cume_dist() OVER (PARTITION BY period ORDER BY risk_score) * 100.0 AS pct FROM sc),
+res AS (SELECT v.*, i.entity IS NOT NULL AS known, i.available_periods_min AS smin, i.available_periods_max AS smax,
+          coalesce(v.as_of_period, i.available_periods_max) AS resolved
+        FROM v LEFT JOIN info i ON NOT v.invalid AND i.entity = v.entity),
+st AS (SELECT res.*, s.risk_score, s.pct, s.lag_1, s.lag_3_mean_obs, s.lag_5_mean_obs, s.periods_since_last_obs,
+         CASE WHEN invalid THEN 'invalid' WHEN NOT known THEN 'unknown_entity' WHEN smax IS NULL THEN 'no_scoreable_period'
+              WHEN s.entity IS NULL THEN 'period_unavailable' ELSE 'ok' END AS status
+       FROM res LEFT JOIN scp s ON NOT res.invalid AND s.entity = res.entity AND s.period = res.resolved)
+SELECT request_id, raw_key, entity,
+  CASE WHEN status = 'ok' THEN resolved ELSE as_of_period END AS as_of_period, status,
+  CASE WHEN status = 'ok' THEN risk_score END AS risk_score,
+  'fixed-params' AS model_version, 'logistic_fixed_params' AS model_type,
+  CASE WHEN invalid THEN NULL ELSE status = 'ok' END AS as_of_period_available,
+  CASE WHEN status IN ('ok', 'period_unavailable') THEN smin END AS available_periods_min,
+  CASE WHEN status IN ('ok', 'period_unavailable') THEN smax END AS available_periods_max,
+  CASE WHEN status = 'ok' THEN {r6('pct')} END AS risk_percentile_in_period,
+  CASE WHEN status = 'ok' THEN {r6('lag_1')} END AS feature_lag_1,
+  CASE WHEN status = 'ok' THEN {r6('lag_3_mean_obs')} END AS feature_lag_3_mean_obs,
+  CASE WHEN status = 'ok' THEN {r6('lag_5_mean_obs')} END AS feature_lag_5_mean_obs,
+  CASE WHEN status = 'ok' THEN {r6('CAST(periods_since_last_obs AS DOUBLE)')} END AS feature_periods_since_last_obs,
+  CASE WHEN status = 'ok' AND as_of_period IS NULL
+       THEN 'as_of_period was not provided. Used latest available period (' || CAST(smax AS VARCHAR) || ').' END AS notes
+FROM st"""

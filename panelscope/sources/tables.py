@@ -82,3 +82,42 @@ def supplier_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("entity", "month")
         .agg((_rate(F.col("l_extendedprice"), F.count(F.lit(1))) / 1000).alias("rate"))
     )
+
+
+# Valid request periods for the daily event panel (days since the epoch).
+EVENT_PERIOD_BOUNDS = (0, 365)
+
+
+def event_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scoring request per event: exact, NULL, absent and out-of-range periods;
+    padded, 6-digit, blank, unpadded, unknown (99999) and over-long keys."""
+    ev = read_table(spark, sf_dir, "events")
+    rid = F.col("event_id")
+    padded = _key(F.col("user_id"))
+    raw_key = (
+        F.when(rid % 6 == 0, padded)
+        .when(rid % 6 == 1, F.concat(F.lit("0"), padded))
+        .when(rid % 6 == 2, F.concat(F.lit(" "), F.col("user_id").cast("string"), F.lit(" ")))
+        .when(rid % 6 == 3, F.lit("99999"))
+        .when(rid % 6 == 4, F.lit("   "))
+        .otherwise(F.concat(F.col("user_id").cast("string"), F.lit("12")))
+    )
+    day = F.datediff(F.to_date("ts"), F.lit(EVENTS_EPOCH).cast("date"))
+    as_of = (
+        F.when(rid % 5 == 0, F.lit(None).cast("int"))
+        .when(rid % 5 == 1, F.lit(40))
+        .when(rid % 5 == 2, F.lit(-3))
+        .otherwise(day)
+    )
+    return ev.select(rid.alias("request_id"), raw_key.alias("raw_key"), as_of.cast("int").alias("as_of_period"))
+
+
+def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name lookup records from `part` (name, group code, key, file order)."""
+    p = read_table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_name").alias("name"),
+        F.col("p_brand").alias("group_code"),
+        F.col("p_partkey").cast("string").alias("key"),
+        F.col("p_partkey").alias("ord"),
+    )
