@@ -19,6 +19,7 @@ from ..operators import ranking as RK
 from ..functions import scores as SC
 from ..operators import model as MD
 from ..operators import scoring as SCO
+from ..operators import resolve as RS
 from . import backtest as BT
 from . import jobs as JB
 from ..functions import text as FM
@@ -479,6 +480,26 @@ def q_score_requests_resolve(spark, sf):
         "resolved_period", F.coalesce(F.col("as_of_period"), F.col("available_periods_max")))
 
 
+# ------------------------------------------------------------ name lookup ----
+
+# The finder queries of the name-lookup fixture.
+NAME_QUERIES = ["re", "gear", "blue b", "x"]
+
+
+def name_queries(spark) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(NAME_QUERIES, start=1)), "query_id long, query_text string")
+
+
+def q_resolve_names(spark, sf):
+    return RS.resolve_names(T.part_names(spark, sf), name_queries(spark))
+
+
+def q_display_name(spark, sf):
+    names = RS.clean_lookup(T.part_names(spark, sf))
+    return names.select("key", "name", RS.display_name("name").alias("display_name"),
+                        F.col("norm_name").alias("normalized_name"))
+
+
 QUERIES = {
     "column_mapping": q_column_mapping,
     "normalize_key": q_normalize_key,
@@ -548,4 +569,6 @@ QUERIES = {
     "score_requests": q_score_requests,
     "request_validation": q_request_validation,
     "score_requests_resolve": q_score_requests_resolve,
+    "resolve_names": q_resolve_names,
+    "display_name": q_display_name,
 }

@@ -535,3 +535,38 @@ SELECT request_id, raw_key, entity,
   CASE WHEN status = 'ok' AND as_of_period IS NULL
        THEN 'as_of_period was not provided. Used latest available period (' || CAST(smax AS VARCHAR) || ').' END AS notes
 FROM st"""
+
+# ------------------------------------------------------------ name lookup ----
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def norm_text(x: str) -> str:
+    from ..operators.resolve import ACCENTS_FROM, ACCENTS_TO, _EXTRA_WS
+
+    t = f"translate(lower({x}), {_sql_str(ACCENTS_FROM)}, {_sql_str(ACCENTS_TO)})"
+    t = f"regexp_replace({t}, {_sql_str('[^a-z0-9' + chr(92) + 's' + _EXTRA_WS + ']')}, ' ', 'g')"
+    t = f"regexp_replace({t}, {_sql_str('[' + chr(92) + 's' + _EXTRA_WS + ']+')}, ' ', 'g')"
+    return f"regexp_replace({t}, '^ | $', '', 'g')"
+
+
+def display(x: str) -> str:
+    pat = r"(county|parish|borough|census area|municipality|city and borough|city|municipio)\b"
+    return f"(CASE WHEN regexp_matches(trim({x}), '{pat}', 'i') THEN trim({x}) ELSE trim({x}) || ' County' END)"
+
+
+NAMES = f"""names AS (SELECT trim(p_name) AS name, trim(p_brand) AS group_code, trim(CAST(p_partkey AS VARCHAR)) AS key,
+  p_partkey AS ord, {norm_text('p_name')} AS norm_name FROM part
+  WHERE p_name IS NOT NULL AND p_brand IS NOT NULL AND p_partkey IS NOT NULL)"""
+ORACLES["display_name"] = f"""WITH {NAMES}
+SELECT key, name, {display('name')} AS display_name, norm_name AS normalized_name FROM names"""
+ORACLES["resolve_names"] = f"""WITH {NAMES},
+q AS (SELECT * FROM (VALUES (1, 're'), (2, 'gear'), (3, 'blue b'), (4, 'x')) t(query_id, query_text)),
+qv AS (SELECT * FROM (SELECT query_id, query_text, {norm_text('query_text')} AS q_norm FROM q)
+       WHERE length(trim(query_text)) >= 2 AND length(q_norm) >= 2),
+m AS (SELECT qv.query_id, qv.query_text, n.*, CASE WHEN starts_with(n.norm_name, qv.q_norm) THEN 0 ELSE 1 END AS tier
+      FROM qv JOIN names n ON contains(n.norm_name, qv.q_norm)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, ord) AS rank FROM m)
+SELECT query_id, query_text, rank, key, name, group_code, CASE WHEN tier = 0 THEN 'prefix' ELSE 'contains' END AS match,
+  {display('name')} AS display_name FROM r WHERE rank <= 12"""
