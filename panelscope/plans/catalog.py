@@ -500,6 +500,32 @@ def q_display_name(spark, sf):
                         F.col("norm_name").alias("normalized_name"))
 
 
+# ------------------------------------------------- re-typing after a text trip ----
+
+def _as_text(df: DataFrame) -> DataFrame:
+    """Every column cast to STRING, as after a CSV round trip."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
+def q_feature_table_compat(spark, sf):
+    p = T.orders_yearly(spark, sf).withColumn("implied_exposure", C.implied_exposure())
+    f = FE.yearly_features(C.with_sample_weight(p), unique_keys=True).drop("outcome_period")
+    return _r(JB.standardize_features(_as_text(f)), FEATURE_DOUBLES)
+
+
+def q_standardize_features(spark, sf):
+    f = events_features(spark, sf)
+    blanked = f.withColumn("sample_weight", F.when(F.col("period") % 7 == 0, F.lit(None)).otherwise(F.col("sample_weight")))
+    return _r(JB.standardize_features(_as_text(blanked)), FEATURE_DOUBLES)
+
+
+def q_split_semi_anti(spark, sf):
+    lab = TR.labelled_rows(events_features(spark, sf))
+    held = TR.latest_k_periods(lab, 2, "outcome_period")
+    train, test = TR.split_by_periods_join(lab, held, "outcome_period")
+    return _split_frame(train, test, ["entity", "period", "outcome_period", "y"])
+
+
 QUERIES = {
     "column_mapping": q_column_mapping,
     "normalize_key": q_normalize_key,
@@ -571,4 +597,7 @@ QUERIES = {
     "score_requests_resolve": q_score_requests_resolve,
     "resolve_names": q_resolve_names,
     "display_name": q_display_name,
+    "feature_table_compat": q_feature_table_compat,
+    "standardize_features": q_standardize_features,
+    "split_semi_anti": q_split_semi_anti,
 }

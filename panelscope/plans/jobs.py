@@ -46,6 +46,24 @@ def standardize_features(df: DataFrame) -> DataFrame:
     )
 
 
+def standardize_monthly_features(df: DataFrame) -> DataFrame:
+    """Re-type a monthly feature table read back from text."""
+    return df.select(
+        repad_key("entity").alias("entity"),
+        F.to_date(F.col("month").cast("string")).alias("month"),
+        F.col("y").try_cast("double").cast("int").alias("y"),
+        *[F.col(c).try_cast("double").alias(c) for c in ["lag_1", "lag_3_mean", "lag_12_mean"]],
+        F.col("month_of_year").try_cast("double").cast("int").alias("month_of_year"),
+    )
+
+
+def metrics_summary(metrics: DataFrame) -> DataFrame:
+    """The compact metrics summary kept in metadata (six keys and `overall`)."""
+    keys = ["test_rows", "test_period_start", "test_period_end", "auc", "precision_at_0_5", "recall_at_0_5"]
+    present = [k for k in keys if k in metrics.columns]
+    return metrics.select(*present, F.struct(*present).alias("overall"))
+
+
 def load_or_build_features(spark: SparkSession, path: str, build, rebuild: bool = True) -> DataFrame:
     """Read a written feature table, or build and write it first (X15: rebuild by default)."""
     if not rebuild:

@@ -570,3 +570,22 @@ m AS (SELECT qv.query_id, qv.query_text, n.*, CASE WHEN starts_with(n.norm_name,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, ord) AS rank FROM m)
 SELECT query_id, query_text, rank, key, name, group_code, CASE WHEN tier = 0 THEN 'prefix' ELSE 'contains' END AS match,
   {display('name')} AS display_name FROM r WHERE rank <= 12"""
+
+# ------------------------------------------------- re-typing after a text trip ----
+
+def _retyped(src: str, outcome: str) -> str:
+    w = "coalesce(TRY_CAST(sample_weight AS DOUBLE), 1.0)"
+    return f"""SELECT {repad_key('entity')} AS entity, TRY_CAST(period AS INTEGER) AS period, {outcome} AS outcome_period,
+  CAST(TRY_CAST(y AS DOUBLE) AS INTEGER) AS y, {r6('TRY_CAST(lag_1 AS DOUBLE)')} AS lag_1,
+  {r6('TRY_CAST(lag_3_mean_obs AS DOUBLE)')} AS lag_3_mean_obs, {r6('TRY_CAST(lag_5_mean_obs AS DOUBLE)')} AS lag_5_mean_obs,
+  CAST(TRY_CAST(periods_since_last_obs AS DOUBLE) AS INTEGER) AS periods_since_last_obs, {r6(w)} AS sample_weight
+FROM {src}"""
+
+
+ORACLES["feature_table_compat"] = f"""WITH b1 AS ({B2}), {weighted()}, {features_ctes()},
+features AS ({FEATURES_RAW_SELECT})
+{_retyped('features', 'CAST(period AS INTEGER) + 1')}"""
+ORACLES["standardize_features"] = f"""WITH {FEATURES_B1},
+blanked AS (SELECT * REPLACE (CASE WHEN period % 7 = 0 THEN NULL ELSE sample_weight END AS sample_weight) FROM features)
+{_retyped('blanked', 'outcome_period')}"""
+ORACLES["split_semi_anti"] = ORACLES["split_by_outcome"]
