@@ -151,9 +151,24 @@ def _band_table(vals: DataFrame, keys: list[str], probs: list[float], direct_lim
     return bands
 
 
+def _attach(vals: DataFrame, keys: list[str], bands: DataFrame) -> DataFrame:
+    """Each value row with its group's bands: a (size-checked broadcast) join on the
+    group keys, or, for the single global group, its one row inlined as literals."""
+    if keys != [_G]:
+        return vals.join(bands, keys, "inner")
+    row = bands.first()
+    if row is None:
+        return vals.limit(0).join(bands, keys, "inner")
+    lit_bands = F.array(*[
+        F.struct(*[F.lit(b[f]).alias(f) for f in ("__pidx", "__rlo", "__rhi", "__frac", "__blo", "__bhi")])
+        for b in row["__bands"]
+    ])
+    return vals.select("*", F.lit(row["__n"]).alias("__n"), lit_bands.alias("__bands"))
+
+
 def _pick(vals: DataFrame, keys: list[str], bands: DataFrame, n_probs: int) -> DataFrame:
     """Values at the two target ranks of every (group, prob); NULL where the band missed."""
-    joined = vals.join(bands, keys, "inner")
+    joined = _attach(vals, keys, bands)
     v = F.col(_V)
     # Rows under each band are only counted (map-side partial sums, no replication).
     below = joined.groupBy(*keys).agg(
