@@ -97,6 +97,7 @@ def top_share_flags(
     tiebreak: Sequence[str],
     out: str = "predicted_top_quartile",
     share: float = 0.25,
+    direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Per group flag the `max(1, ceil(share * n))` highest scores; ties at the
     cut are resolved by `tiebreak` ascending. Only rows tied at the cut score are
@@ -104,7 +105,7 @@ def top_share_flags(
     by = list(by)
     neg = "__neg_score"
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__cnt")).withColumn(neg, -F.col(score))
-    pre = ordered_prefix_sums(counts, by, neg, ["__cnt"]).select(
+    pre = ordered_prefix_sums(counts, by, neg, ["__cnt"], direct_limit).select(
         *by, score, "__cnt", F.col("__cnt_before").alias("__above"),
         F.greatest(F.lit(1), F.ceil(F.col("__cnt_total") * F.lit(share))).cast("long").alias("__k"),
     )
@@ -113,13 +114,73 @@ def top_share_flags(
         F.col("__above") >= F.col("__k"), F.lit(0)
     )
     clear = rows.where(decided.isNotNull()).withColumn(out, decided)
-    cut = rows.where(decided.isNull())
-    w = Window.partitionBy(*by, score).orderBy(*tiebreak)
-    cut = cut.withColumn(out, (F.row_number().over(w) <= F.col("__k") - F.col("__above")).cast("int"))
+    cut = rows.where(decided.isNull()).withColumn("__need", F.col("__k") - F.col("__above"))
     cols = [*df.columns, out]
+    if max_group_size(cut, by) <= direct_limit:
+        w = Window.partitionBy(*by, score).orderBy(*tiebreak)
+        cut = cut.withColumn(out, (F.row_number().over(w) <= F.col("__need")).cast("int"))
+    else:
+        cut = _flag_first_by_descent(cut, by, tiebreak, out)
     return clear.select(*cols).unionByName(cut.select(*cols))
 
 
+def _order_key(cols: Sequence[str], df: DataFrame) -> F.Column:
+    """One string whose byte order is the order of `cols` (strings as is, integers
+    offset and zero-padded), joined by a separator below every printable char."""
+    parts = []
+    types = dict(df.dtypes)
+    for c in cols:
+        if types[c] in ("int", "bigint", "smallint", "tinyint"):
+            offset = F.lit("9223372036854775808").cast("decimal(20,0)")
+            parts.append(F.lpad((F.col(c).cast("decimal(20,0)") + offset).cast("decimal(20,0)").cast("string"), 20, "0"))
+        else:
+            parts.append(F.col(c).cast("string"))
+    return F.concat_ws("\u0001", *parts)
+
+
+def _flag_first_by_descent(cut: DataFrame, by: list[str], tiebreak: Sequence[str], out: str) -> DataFrame:
+    """Exact and distributed: per group, find the `__need`-th smallest tie-break key
+    among the rows tied at the cut one character at a time. Each step is a small
+    counting aggregate (groups x next characters) -- no group is ever sorted in one
+    task. Used only when a cut tie group is larger than the direct limit."""
+    keyed = cut.withColumn("__key", _order_key(tiebreak, cut)).persist()
+    state = {tuple(r[b] for b in by): ["", int(r["__need"])]
+             for r in keyed.select(*by, "__need").distinct().collect()}  # one row per group
+    done: dict = {}
+    level = 0
+    while len(done) < len(state):
+        open_groups = [(g, v) for g, v in state.items() if g not in done]
+        spark = keyed.sparkSession
+        st = spark.createDataFrame([(*g, v[0]) for g, v in open_groups],
+                                   [*by, "__prefix"]).hint("broadcast")
+        cand = keyed.join(st, by).where(F.substring("__key", 1, level) == F.col("__prefix"))
+        counts = cand.groupBy(*by, F.substring("__key", level + 1, 1).alias("__c")).count().collect()
+        per: dict = {}
+        for r in counts:
+            per.setdefault(tuple(r[b] for b in by), []).append((r["__c"], r["count"]))
+        for g, v in open_groups:
+            need = v[1]
+            for ch, cnt in sorted(per.get(g, [])):
+                if need <= cnt:
+                    if ch == "":
+                        done[g] = (v[0], need)  # key found; `need` rows among its exact copies
+                    else:
+                        v[0] += ch
+                    break
+                need -= cnt
+            v[1] = need
+        level += 1
+    cuts = keyed.sparkSession.createDataFrame([(*g, k, n) for g, (k, n) in done.items()],
+                                              [*by, "__cut", "__left"]).hint("broadcast")
+    j = keyed.join(cuts, by)
+    below = j.where(F.col("__key") < F.col("__cut")).withColumn(out, F.lit(1))
+    above = j.where(F.col("__key") > F.col("__cut")).withColumn(out, F.lit(0))
+    same = j.where(F.col("__key") == F.col("__cut"))
+    w = Window.partitionBy(*by, "__key").orderBy(F.lit(1))
+    same = same.withColumn(out, (F.row_number().over(w) <= F.col("__left")).cast("int"))
+    return below.unionByName(above).unionByName(same)
+
+
 def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "risk_score") -> DataFrame:
     """Exact ROC AUC per group, ties counted half; NULL when a group has one class.
 

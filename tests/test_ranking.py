@@ -67,3 +67,20 @@ def test_percentile_is_cume_dist(spark):
     for _, r in out.sample(30, random_state=1).iterrows():
         sub = pdf[pdf.outcome_period == r.outcome_period]
         assert r.risk_percentile == pytest.approx((sub.risk_score <= r.risk_score).mean() * 100)
+
+
+def test_top_share_flags_hot_tie_at_cut_uses_distributed_descent(spark):
+    # a third of each period ties at the cut score: the tie pass must still be exact
+    rows = []
+    for g in (1, 2):
+        for i in range(90):
+            score = 0.5 if i % 3 == 0 else (0.9 if i % 3 == 1 and i < 30 else 0.1)
+            rows.append((f"{(i * 37) % 1000:05d}", g - 1, g, int(i % 2), score))
+    pdf = pd.DataFrame(rows, columns=["entity", "period", "outcome_period", "y", "risk_score"])
+    df = spark.createDataFrame(pdf)
+    out = RK.top_share_flags(df, ["outcome_period"], "risk_score", ["entity", "period"], direct_limit=5).toPandas()
+    for g, sub in pdf.groupby("outcome_period"):
+        k = max(1, int(np.ceil(0.25 * len(sub))))
+        want = set(sub.sort_values(["risk_score", "entity", "period"], ascending=[False, True, True]).head(k).entity)
+        got = set(out[(out.outcome_period == g) & (out.predicted_top_quartile == 1)].entity)
+        assert got == want and len(out[out.outcome_period == g]) == len(sub)
