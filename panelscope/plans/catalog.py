@@ -168,6 +168,12 @@ def q_yearly_features_orders(spark, sf):
     return _r(f, {"lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "sample_weight"})
 
 
+def q_yearly_features_raw(spark, sf):
+    """W6 from the raw text rows, whose keys repeat: copies are averaged first."""
+    f = FE.yearly_features(C.clean_panel(R.raw_yearly_text(spark, sf)), on_duplicates="average")
+    return _r(f, {"lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "sample_weight"})
+
+
 def q_lag_features_monthly(spark, sf):
     f = FE.lag_features_monthly(T.supplier_monthly(spark, sf))
     return _r(f.select("entity", "month", *FE.MONTHLY_FEATURE_COLUMNS), {"lag_1", "lag_3_mean", "lag_12_mean"})
@@ -547,6 +553,7 @@ QUERIES = {
     "outcome_observed": q_outcome_observed,
     "yearly_features": q_yearly_features,
     "yearly_features_orders": q_yearly_features_orders,
+    "yearly_features_raw": q_yearly_features_raw,
     "lag_features_monthly": q_lag_features_monthly,
     "next_month_label": q_next_month_label,
     "monthly_features": q_monthly_features,

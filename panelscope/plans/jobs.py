@@ -184,6 +184,6 @@ def export_training_audit(features: DataFrame, out_dir: str) -> None:
     write_table(TR.training_filter_counts(features).coalesce(1), f"{out_dir}/training_filter_counts", "csv")
 
 
-def build_yearly_features(raw: DataFrame) -> DataFrame:
+def build_yearly_features(raw: DataFrame, on_duplicates: str = "error") -> DataFrame:
     """Raw text -> clean panel -> yearly features (the CLI's build step)."""
-    return FE.yearly_features(C.clean_panel(raw))
+    return FE.yearly_features(C.clean_panel(raw), on_duplicates=on_duplicates)

@@ -589,3 +589,8 @@ ORACLES["standardize_features"] = f"""WITH {FEATURES_B1},
 blanked AS (SELECT * REPLACE (CASE WHEN period % 7 = 0 THEN NULL ELSE sample_weight END AS sample_weight) FROM features)
 {_retyped('blanked', 'outcome_period')}"""
 ORACLES["split_semi_anti"] = ORACLES["split_by_outcome"]
+
+ORACLES["yearly_features_raw"] = f"""WITH {CLEAN_RAW_CTES.replace('panel AS (', 'wpanel AS (')},
+panel AS (SELECT entity, period, avg(rate) AS rate, avg(sample_weight) AS sample_weight FROM wpanel GROUP BY 1, 2),
+{features_ctes()}
+{YEARLY_FEATURES_SELECT}"""
