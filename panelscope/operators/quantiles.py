@@ -44,9 +44,13 @@ def exact_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     direct_limit: int = DIRECT_LIMIT,
+    size_bound: int | None = None,
 ) -> DataFrame:
     """One row per group: `by` columns, `n` (non-null values) and one column per prob.
 
+    `size_bound`, when given, is a proven upper bound on the input's row count
+    (so on every group); at or under `direct_limit` it spares the size check.
+
     NULL and NaN values are ignored, as pandas' `quantile` skips missing values.
     The input is scanned three times; persist it first when it is expensive.
     """
@@ -63,7 +67,7 @@ def exact_quantiles(
         vals = vals.withColumn(_G, F.lit(0))
     vals = vals.where(F.col(_V).isNotNull() & ~F.isnan(F.col(_V)))
 
-    if max_group_size(vals, keys) <= direct_limit:
+    if fits(vals, keys, direct_limit, size_bound):
         out = _direct(vals, keys, probs, names)
         return out.drop(_G) if not by else out
 
@@ -89,6 +93,13 @@ def exact_quantiles(
     return out
 
 
+def fits(df: DataFrame, keys: list[str], direct_limit: int, size_bound: int | None = None) -> bool:
+    """True when every group has at most `direct_limit` rows (proven bound, else one aggregate)."""
+    if size_bound is not None and size_bound <= direct_limit:
+        return True
+    return max_group_size(df, keys) <= direct_limit
+
+
 def max_group_size(df: DataFrame, keys: list[str]) -> int:
     """Largest group's row count: one small aggregate, decides the plan shape."""
     m = df.groupBy(*keys).count().agg(F.max("count")).first()[0]

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import DIRECT_LIMIT, SKETCH_ACCURACY, max_group_size
+from .quantiles import DIRECT_LIMIT, SKETCH_ACCURACY, fits
 from .util import broadcast_if_small, materialize
 
 BUCKETS = 512
@@ -33,12 +33,13 @@ def ordered_prefix_sums(
     order: str,
     sums: Sequence[str],
     direct_limit: int = DIRECT_LIMIT,
+    size_bound: int | None = None,
 ) -> DataFrame:
     """Adds `{c}_before` (strictly earlier in `order`) and `{c}_total` per group for each c."""
     by = list(by)
     keys = by if by else [_G]
     rows = df if by else df.withColumn(_G, F.lit(0))
-    if max_group_size(rows, keys) <= direct_limit:
+    if fits(rows, keys, direct_limit, size_bound):
         # Every group fits one task: a single running-sum window (lazy, one shuffle).
         w = Window.partitionBy(*keys)
         wo = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,10 +81,11 @@ def ordered_prefix_sums(
     return out.drop(_G) if not by else out
 
 
-def percentile_in_group(df: DataFrame, by: Sequence[str], score: str, out: str = "risk_percentile") -> DataFrame:
+def percentile_in_group(df: DataFrame, by: Sequence[str], score: str, out: str = "risk_percentile",
+                        size_bound: int | None = None) -> DataFrame:
     """100 x share of the group's scores that are <= this row's score (`cume_dist`)."""
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__cnt"))
-    pre = ordered_prefix_sums(counts, by, score, ["__cnt"])
+    pre = ordered_prefix_sums(counts, by, score, ["__cnt"], size_bound=size_bound)
     pct = pre.select(
         *by, score, ((F.col("__cnt_before") + F.col("__cnt")) / F.col("__cnt_total") * F.lit(100.0)).alias(out)
     )
@@ -98,6 +100,7 @@ def top_share_flags(
     out: str = "predicted_top_quartile",
     share: float = 0.25,
     direct_limit: int = DIRECT_LIMIT,
+    size_bound: int | None = None,
 ) -> DataFrame:
     """Per group flag the `max(1, ceil(share * n))` highest scores; ties at the
     cut are resolved by `tiebreak` ascending. Only rows tied at the cut score are
@@ -105,7 +108,7 @@ def top_share_flags(
     by = list(by)
     neg = "__neg_score"
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__cnt")).withColumn(neg, -F.col(score))
-    pre = ordered_prefix_sums(counts, by, neg, ["__cnt"], direct_limit).select(
+    pre = ordered_prefix_sums(counts, by, neg, ["__cnt"], direct_limit, size_bound).select(
         *by, score, "__cnt", F.col("__cnt_before").alias("__above"),
         F.greatest(F.lit(1), F.ceil(F.col("__cnt_total") * F.lit(share))).cast("long").alias("__k"),
     )
@@ -116,7 +119,7 @@ def top_share_flags(
     clear = rows.where(decided.isNotNull()).withColumn(out, decided)
     cut = rows.where(decided.isNull()).withColumn("__need", F.col("__k") - F.col("__above"))
     cols = [*df.columns, out]
-    if max_group_size(cut, by) <= direct_limit:
+    if fits(cut, by, direct_limit, size_bound):
         w = Window.partitionBy(*by, score).orderBy(*tiebreak)
         cut = cut.withColumn(out, (F.row_number().over(w) <= F.col("__need")).cast("int"))
     else:
@@ -181,7 +184,8 @@ def _flag_first_by_descent(cut: DataFrame, by: list[str], tiebreak: Sequence[str
     return below.unionByName(above).unionByName(same)
 
 
-def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "risk_score") -> DataFrame:
+def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "risk_score",
+            size_bound: int | None = None) -> DataFrame:
     """Exact ROC AUC per group, ties counted half; NULL when a group has one class.
 
     AUC = sum over scores of pos * (2 * negatives_below + neg) / (2 * P * N): integer
@@ -190,7 +194,7 @@ def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "ri
     counts = df.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) == 0).alias("__neg")
     )
-    pre = ordered_prefix_sums(counts, by, score, ["__pos", "__neg"])
+    pre = ordered_prefix_sums(counts, by, score, ["__pos", "__neg"], size_bound=size_bound)
     keys = by if by else []
     agg = pre.groupBy(*keys).agg(
         F.sum(F.col("__pos") * (F.lit(2) * F.col("__neg_before") + F.col("__neg"))).alias("__num"),
@@ -202,13 +206,14 @@ def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "ri
     return agg.select(*keys, auc.alias("auc"))
 
 
-def roc_points(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "risk_score") -> DataFrame:
+def roc_points(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "risk_score",
+               size_bound: int | None = None) -> DataFrame:
     """A10: (fpr, tpr) at every distinct score used as threshold (`score >= threshold`)."""
     by = list(by)
     counts = df.groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("__pos"), F.count_if(F.col(label) == 0).alias("__neg")
     ).withColumn("__neg_score", -F.col(score))
-    pre = ordered_prefix_sums(counts, by, "__neg_score", ["__pos", "__neg"])
+    pre = ordered_prefix_sums(counts, by, "__neg_score", ["__pos", "__neg"], size_bound=size_bound)
     tp = F.col("__pos_before") + F.col("__pos")
     fp = F.col("__neg_before") + F.col("__neg")
     return pre.select(

@@ -66,6 +66,7 @@ def score_requests(
     model_version: str,
     model_type: str,
     bounds: tuple[int, int] = YEAR_BOUNDS,
+    size_bound: int | None = None,
 ) -> DataFrame:
     """`requests(request_id, raw_key, as_of_period)` -> one scored row per request.
 
@@ -76,14 +77,15 @@ def score_requests(
     info = entity_bounds(features, model_features)
     resolved = keys.join(info, "entity", "left").withColumn(
         "resolved_period", F.coalesce(F.col("as_of_period"), F.col("available_periods_max"))
-    )
+    ).persist()  # read by the period filter and by the final join
 
     scoreable = features.dropna(subset=list(model_features))
     periods = broadcast_if_small(resolved.where(F.col("resolved_period").isNotNull())
                                  .select(F.col("resolved_period").alias("period")).distinct())
     in_periods = scoreable.join(periods, "period", "left_semi")
     scored = score(in_periods).select("entity", "period", "risk_score", *model_features)
-    scored = percentile_in_group(scored, ["period"], "risk_score", out="risk_percentile_in_period")
+    scored = percentile_in_group(scored, ["period"], "risk_score", out="risk_percentile_in_period",
+                                 size_bound=size_bound)
 
     hit = resolved.join(
         scored.withColumnRenamed("period", "resolved_period").withColumn("__hit", F.lit(True)),

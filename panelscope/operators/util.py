@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 BROADCAST_ROW_LIMIT = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only after checking the row count; else leave it to a shuffle join.
 
     `df` should be small by construction (one row per period, per group, per request
     batch); the check is what makes that a proven bound instead of an assumption.
+    `known_rows` is an already proven upper bound (e.g. a counted input), which
+    spares the counting job.
     """
+    if known_rows is not None and known_rows <= limit:
+        return F.broadcast(df)
     if df.limit(limit + 1).count() <= limit:
         return F.broadcast(df)
     return df

@@ -6,6 +6,8 @@ Computed doubles are rounded to 6 digits so the SQL oracle can compare values.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,17 +32,32 @@ from ..sources import tables as T
 
 # ----------------------------------------------------------------- panels ----
 
-def weighted_events_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """B1 with implied exposure and capped sample weight (persisted: it feeds several passes)."""
+class EventsPipeline(NamedTuple):
+    panel: DataFrame      # B1 with implied exposure and capped weight
+    features: DataFrame   # yearly feature table (persisted)
+    rows: int             # panel rows: a proven bound on every group derived from it
+    periods: int          # distinct periods
+
+
+def events_pipeline(spark: SparkSession, sf: str) -> EventsPipeline:
+    """B1 panel (persisted; it feeds several passes), its profile, and the features.
+
+    The profile (one small aggregate) gives a proven row bound that spares the
+    per-operator group-size checks on everything derived from this panel."""
     p = T.events_daily(spark, sf).withColumn("implied_exposure", C.implied_exposure()).persist()
-    return C.with_sample_weight(p)
+    rows, periods = FE.panel_profile(p)
+    w = C.with_sample_weight(p, size_bound=rows)
+    f = FE.yearly_features(w, unique_keys=True, profile=(rows, periods)).persist()
+    return EventsPipeline(w, f, rows, periods)
 
 
-def events_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Yearly feature table over B1 (keys unique by construction: one groupBy).
+def weighted_events_panel(spark: SparkSession, sf: str) -> DataFrame:
+    return events_pipeline(spark, sf).panel
 
-    Persisted: splits, fits and reports read it several times."""
-    return FE.yearly_features(weighted_events_panel(spark, sf), unique_keys=True).persist()
+
+def events_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly feature table over B1 (keys unique by construction: one groupBy)."""
+    return events_pipeline(spark, sf).features
 
 
 FEATURE_DOUBLES = {"lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "sample_weight"}
@@ -260,13 +277,19 @@ def fixed_score() -> F.Column:
     return round6(SC.logistic_score(FIXED_INTERCEPT, FIXED_COEFFICIENTS)).alias("risk_score")
 
 
-def fixed_holdout_detail(spark, sf, holdout_count: int = 2) -> DataFrame:
-    """E1 with fixed parameters: the last `holdout_count` outcome periods, scored and flagged."""
-    f = events_features(spark, sf)
+def fixed_detail_bound(spark, sf, holdout_count: int = 2) -> tuple[DataFrame, int, DataFrame]:
+    """E1 with fixed parameters: the last `holdout_count` outcome periods, scored and
+    flagged; with the panel row bound and the feature table."""
+    ev = events_pipeline(spark, sf)
+    f = ev.features
     held = [r[0] for r in TR.latest_k_periods(TR.labelled_rows(f), holdout_count, "outcome_period").collect()]
     _, test = TR.split_by_outcome(f, held)
     scored = test.select("entity", "period", "outcome_period", "y", fixed_score())
-    return MT.flag_top_quartile(scored).persist()
+    return MT.flag_top_quartile(scored, size_bound=ev.rows).persist(), ev.rows, f
+
+
+def fixed_holdout_detail(spark, sf, holdout_count: int = 2) -> DataFrame:
+    return fixed_detail_bound(spark, sf, holdout_count)[0]
 
 
 def q_score_with_params(spark, sf):
@@ -279,22 +302,22 @@ def q_flag_top_quartile(spark, sf):
 
 
 def q_naive_flags(spark, sf):
-    d = fixed_holdout_detail(spark, sf)
-    return _r(MT.naive_flags(d, events_features(spark, sf)), {"lag_1"})
+    d, n, f = fixed_detail_bound(spark, sf)
+    return _r(MT.naive_flags(d, f, size_bound=n), {"lag_1"})
 
 
 def q_naive_join_guard(spark, sf):
-    d = fixed_holdout_detail(spark, sf)
-    lag = events_features(spark, sf).select("entity", "period", "lag_1")
+    d, _, f = fixed_detail_bound(spark, sf)
+    lag = f.select("entity", "period", "lag_1")
     return d.join(lag, ["entity", "period"], "left").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("lag_1").isNull()).alias("missing_lag_1")
     )
 
 
 def q_risk_percentile(spark, sf):
-    f = events_features(spark, sf).dropna(subset=FE.YEARLY_FEATURE_COLUMNS)
-    scored = f.select("entity", "period", fixed_score())
-    return _r(RK.percentile_in_group(scored, ["period"], "risk_score"), {"risk_percentile"})
+    ev = events_pipeline(spark, sf)
+    scored = ev.features.dropna(subset=FE.YEARLY_FEATURE_COLUMNS).select("entity", "period", fixed_score())
+    return _r(RK.percentile_in_group(scored, ["period"], "risk_score", size_bound=ev.rows), {"risk_percentile"})
 
 
 def q_precision_recall_at_half(spark, sf):
@@ -302,37 +325,43 @@ def q_precision_recall_at_half(spark, sf):
 
 
 def q_top_quartile_metrics(spark, sf):
-    return _r(MT.top_quartile_metrics(fixed_holdout_detail(spark, sf)), {"positive_rate", "auc"})
+    d, n, _ = fixed_detail_bound(spark, sf)
+    return _r(MT.top_quartile_metrics(d, size_bound=n), {"positive_rate", "auc"})
 
 
 def q_backtest_summary(spark, sf):
-    return _r(MT.backtest_summary(fixed_holdout_detail(spark, sf)), {"auc"})
+    d, n, _ = fixed_detail_bound(spark, sf)
+    return _r(MT.backtest_summary(d, size_bound=n), {"auc"})
 
 
 def q_roc_auc(spark, sf):
-    return _r(RK.roc_auc(fixed_holdout_detail(spark, sf), ["outcome_period"]), {"auc"})
+    d, n, _ = fixed_detail_bound(spark, sf)
+    return _r(RK.roc_auc(d, ["outcome_period"], size_bound=n), {"auc"})
 
 
 def q_calibration_deciles(spark, sf):
-    return _r(MT.calibration_deciles(fixed_holdout_detail(spark, sf)), {"mean_pred", "observed_rate"})
+    d, n, _ = fixed_detail_bound(spark, sf)
+    return _r(MT.calibration_deciles(d, size_bound=n), {"mean_pred", "observed_rate"})
 
 
 def q_score_distribution(spark, sf):
-    return _r(MT.score_distribution(fixed_holdout_detail(spark, sf)), set(MT.DISTRIBUTION_NAMES))
+    d, n, _ = fixed_detail_bound(spark, sf)
+    return _r(MT.score_distribution(d, size_bound=n), set(MT.DISTRIBUTION_NAMES))
 
 
 def q_roc_points(spark, sf):
-    return _r(RK.roc_points(fixed_holdout_detail(spark, sf), []), {"fpr", "tpr"})
+    d, n, _ = fixed_detail_bound(spark, sf)
+    return _r(RK.roc_points(d, [], size_bound=n), {"fpr", "tpr"})
 
 
 def q_auc_delta(spark, sf):
     """Model AUC minus naive (lag_1) AUC, in basis points, for the last-1 and last-2 holdouts."""
     out = None
     for k in (1, 2):
-        d = fixed_holdout_detail(spark, sf, k)
-        naive = d.join(events_features(spark, sf).select("entity", "period", "lag_1"), ["entity", "period"])
-        m = RK.roc_auc(d, []).select(F.col("auc").alias("model_auc"))
-        n = RK.roc_auc(naive, [], score="lag_1").select(F.col("auc").alias("naive_auc"))
+        d, bound, f = fixed_detail_bound(spark, sf, k)
+        naive = d.join(f.select("entity", "period", "lag_1"), ["entity", "period"])
+        m = RK.roc_auc(d, [], size_bound=bound).select(F.col("auc").alias("model_auc"))
+        n = RK.roc_auc(naive, [], score="lag_1", size_bound=bound).select(F.col("auc").alias("naive_auc"))
         row = m.withColumn("__k", F.lit(1)).join(n.withColumn("__k", F.lit(1)), "__k")
         row = row.select(F.lit(k).alias("holdout_periods"), round6("model_auc").alias("model_auc"),
                          round6("naive_auc").alias("naive_auc"),
@@ -364,7 +393,8 @@ def q_period_ranges(spark, sf):
 
 
 def q_format_metrics(spark, sf):
-    s = MT.backtest_summary(fixed_holdout_detail(spark, sf))
+    d, n, _ = fixed_detail_bound(spark, sf)
+    s = MT.backtest_summary(d, size_bound=n)
     return s.select("outcome_period", "level", FM.pct_text("precision_at_top_quartile").alias("precision_text"),
                     FM.pct_text("recall_at_top_quartile").alias("recall_text"), FM.auc_text("auc").alias("auc_text"))
 
@@ -463,10 +493,12 @@ def q_model_metadata(spark, sf):
 # --------------------------------------------------------- request scoring ----
 
 def q_score_requests(spark, sf):
+    ev = events_pipeline(spark, sf)
     out = SCO.score_requests(
-        T.event_requests(spark, sf), events_features(spark, sf),
+        T.event_requests(spark, sf), ev.features,
         lambda df: df.withColumn("risk_score", fixed_score()),
         FE.YEARLY_FEATURE_COLUMNS, "fixed-params", "logistic_fixed_params", bounds=T.EVENT_PERIOD_BOUNDS,
+        size_bound=ev.rows,
     )
     return _r(out.drop("features_used"), {"risk_percentile_in_period", "feature_lag_1", "feature_lag_3_mean_obs",
                                           "feature_lag_5_mean_obs", "feature_periods_since_last_obs"})
