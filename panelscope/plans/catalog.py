@@ -201,9 +201,14 @@ def q_next_month_label(spark, sf):
     return FE.next_month_label_window(flagged).select("entity", "month", "y")
 
 
+def supplier_features(spark, sf) -> DataFrame:
+    """Monthly feature table over B3 (panel persisted and profiled once)."""
+    p = T.supplier_monthly(spark, sf).persist()
+    return FE.monthly_features(p, unique_keys=True, profile=FE.panel_profile(p, "month")).persist()
+
+
 def q_monthly_features(spark, sf):
-    f = FE.monthly_features(T.supplier_monthly(spark, sf), unique_keys=True)
-    return _r(f, {"lag_1", "lag_3_mean", "lag_12_mean"})
+    return _r(supplier_features(spark, sf), {"lag_1", "lag_3_mean", "lag_12_mean"})
 
 
 # --------------------------------------------------------------- training ----
@@ -243,7 +248,7 @@ def q_split_by_outcome(spark, sf):
 
 
 def q_split_by_month(spark, sf):
-    fm = FE.monthly_features(T.supplier_monthly(spark, sf), unique_keys=True).persist()
+    fm = supplier_features(spark, sf)
     train, test, _ = TR.split_by_month(fm, 6)
     return _split_frame(train, test, ["entity", "month", "y"])
 
@@ -444,8 +449,7 @@ def q_score_latest(spark, sf):
 
 
 def q_fit_monthly_logit(spark, sf):
-    fm = FE.monthly_features(T.supplier_monthly(spark, sf), unique_keys=True).persist()
-    out = JB.train_monthly_job(fm, 6)
+    out = JB.train_monthly_job(supplier_features(spark, sf), 6)
     m = out["model"]
     return spark.createDataFrame(list(zip(["intercept", *m.features], [m.intercept, *m.coefficients])),
                                  "term string, coefficient double")
