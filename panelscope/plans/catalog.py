@@ -361,18 +361,17 @@ def q_roc_points(spark, sf):
 
 def q_auc_delta(spark, sf):
     """Model AUC minus naive (lag_1) AUC, in basis points, for the last-1 and last-2 holdouts."""
-    out = None
+    rows = []
     for k in (1, 2):
         d, bound, f = fixed_detail_bound(spark, sf, k)
         naive = d.join(f.select("entity", "period", "lag_1"), ["entity", "period"])
-        m = RK.roc_auc(d, [], size_bound=bound).select(F.col("auc").alias("model_auc"))
-        n = RK.roc_auc(naive, [], score="lag_1", size_bound=bound).select(F.col("auc").alias("naive_auc"))
-        row = m.withColumn("__k", F.lit(1)).join(n.withColumn("__k", F.lit(1)), "__k")
-        row = row.select(F.lit(k).alias("holdout_periods"), round6("model_auc").alias("model_auc"),
-                         round6("naive_auc").alias("naive_auc"),
-                         round6((F.col("model_auc") - F.col("naive_auc")) * 10000).alias("delta_bps"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        m = RK.roc_auc(d, [], size_bound=bound).first()["auc"]
+        n = RK.roc_auc(naive, [], score="lag_1", size_bound=bound).first()["auc"]
+        rows.append((k, m, n))
+    # Two scalar pairs computed by distributed jobs; the small result row is built here.
+    out = spark.createDataFrame(rows, "holdout_periods int, model_auc double, naive_auc double")
+    return out.select("holdout_periods", round6("model_auc").alias("model_auc"), round6("naive_auc").alias("naive_auc"),
+                      round6((F.col("model_auc") - F.col("naive_auc")) * 10000).alias("delta_bps"))
 
 
 def q_top_predicted(spark, sf):
