@@ -20,6 +20,7 @@ pandas' default and of SQL `quantile_cont` / `percentile_cont`.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,9 @@ from .util import materialize
 
 SKETCH_ACCURACY = 20000
 BAND_HALF_WIDTH = 4.0 / SKETCH_ACCURACY
-DIRECT_LIMIT = 1_000_000
+# Largest group ranked in one task. Overridable (set before import) so that tests
+# can push small data through the sketch / bucket paths used at scale.
+DIRECT_LIMIT = int(os.environ.get("PANELSCOPE_DIRECT_LIMIT", "1000000"))
 BROADCAST_GROUP_LIMIT = 200_000
 
 _G = "__qgrp"
