@@ -31,6 +31,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PANELSCOPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove checkpoint files once their DataFrames are garbage-collected.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in JOB_CONF.items():
         builder = builder.config(key, value)

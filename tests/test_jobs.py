@@ -42,6 +42,10 @@ def test_load_or_build_reuses_or_rebuilds(spark):
     a = JB.load_or_build_features(spark, f"{d}/f", build, rebuild=False)
     b = JB.load_or_build_features(spark, f"{d}/f", build, rebuild=False)
     assert len(calls) == 1 and a.count() == b.count()
+    # partitioned by period: a period filter prunes partitions
+    latest = b.agg({"period": "max"}).first()[0]
+    plan = spark.read.parquet(f"{d}/f").where(f"period = {latest}")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan
 
 
 def test_monthly_standardize(spark):
