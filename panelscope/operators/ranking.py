@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quantiles import DIRECT_LIMIT, SKETCH_ACCURACY, fits
-from .util import broadcast_if_small, materialize
+from .util import broadcast_if_small, materialize, with_count_below
 
 BUCKETS = 512
 _G = "__pgrp"
@@ -57,18 +57,18 @@ def ordered_prefix_sums(
     )
     if by:
         stats = broadcast_if_small(materialize(stats))
-        bucket = F.when(F.col("__n") <= direct_limit, F.lit(0)).otherwise(
-            F.size(F.filter("__edges", lambda e: e < F.col(order)))
-        )
-        rows = rows.join(stats, keys).withColumn(_B, bucket).drop("__edges")
+        rows = rows.join(stats, keys)
+        # Groups that fit one task stay one bucket (no edges to search).
+        rows = rows.withColumn("__edges", F.when(F.col("__n") > direct_limit, F.col("__edges")).otherwise(
+            F.array().cast("array<double>")))
     else:
         # One global group: its single stats row is inlined as literals (no join at all).
         st = stats.first()
-        edges = F.array(*[F.lit(float(e)) for e in st["__edges"]])
         rows = rows.select(
             "*", F.lit(st["__n"]).alias("__n"), *[F.lit(st[f"{c}_total"]).alias(f"{c}_total") for c in sums],
-            F.size(F.filter(edges, lambda e: e < F.col(order))).alias(_B),
+            F.array(*[F.lit(float(e)) for e in st["__edges"]]).alias("__edges"),
         )
+    rows = with_count_below(rows, "__edges", order, _B, BUCKETS - 1).drop("__edges")
     btot = rows.groupBy(*keys, _B).agg(*[F.sum(c).alias(f"__bt_{c}") for c in sums])
     wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     boff = btot.select(*keys, _B, *[F.coalesce(F.sum(f"__bt_{c}").over(wb), F.lit(0)).alias(f"__bo_{c}") for c in sums])

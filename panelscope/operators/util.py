@@ -37,6 +37,33 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def with_count_below(df: DataFrame, edges: str, value: str, out: str, max_edges: int) -> DataFrame:
+    """`out` = number of entries of the ascending array `edges` that are < `value`.
+
+    A binary search in log2(max_edges) plain comparisons, one projection per step
+    (each step reads the previous position once), so it stays inside whole-stage
+    codegen instead of scanning the array with a higher-order function. Short
+    arrays (up to 16 edges) use one projection summing plain comparisons."""
+    if max_edges <= 16:
+        hits = [F.when(F.try_element_at(F.col(edges), F.lit(i)) < F.col(value), 1).otherwise(0)
+                for i in range(1, max_edges + 1)]
+        total = hits[0]
+        for h in hits[1:]:
+            total = total + h
+        return df.withColumn(out, total)
+    step = 1
+    while step * 2 <= max_edges:
+        step *= 2
+    df = df.withColumn(out, F.lit(0))
+    size = F.size(edges)
+    while step >= 1:
+        nxt = F.col(out) + F.lit(step)
+        probe = F.try_element_at(F.col(edges), nxt)  # 1-based: the (pos + step)-th edge
+        df = df.withColumn(out, F.when((nxt <= size) & (probe < F.col(value)), nxt).otherwise(F.col(out)))
+        step //= 2
+    return df
+
+
 def require_columns(df: DataFrame, columns, what: str = "input") -> None:
     """Raise before any job runs when required columns are absent."""
     missing = sorted(set(columns) - set(df.columns))
