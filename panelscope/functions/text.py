@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..operators.util import round6  # noqa: F401  (re-exported for callers)
 
 
 def _half_up(c: Column, digits: int) -> Column:

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from panelscope.functions.keys import normalize_key, normalize_key_numeric, normalize_key_request, repad_key
 from panelscope.functions.values import coerce_double, coerce_int_truncated, month_floor
 

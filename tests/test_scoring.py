@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from panelscope.functions.scores import logistic_score
 from panelscope.operators import scoring as SCO
 
