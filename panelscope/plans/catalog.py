@@ -454,6 +454,14 @@ def q_fit_monthly_logit(spark, sf):
                                  "term string, coefficient double")
 
 
+def q_score_latest_monthly(spark, sf):
+    """M9 (monthly): the monthly table keeps labelled rows only, so its latest month is the
+    last labelled one (SURVEY X3); train on the rest, score that month."""
+    fm = supplier_features(spark, sf)
+    model = JB.train_monthly_job(fm, 6)["model"]
+    return MD.score_rows(model, TR.latest_period_rows(fm, "month"), keys=("entity", "month"))
+
+
 def q_model_params(spark, sf):
     model, _ = _trained(spark, sf)
     return model.params_frame(spark)
@@ -626,6 +634,7 @@ QUERIES = {
     "score_rows": q_score_rows,
     "score_latest": q_score_latest,
     "fit_monthly_logit": q_fit_monthly_logit,
+    "score_latest_monthly": q_score_latest_monthly,
     "model_params": q_model_params,
     "holdout_detail": q_holdout_detail,
     "evaluate_half": q_evaluate_half,
