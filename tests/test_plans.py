@@ -36,3 +36,16 @@ def test_scan_prunes_columns(spark):
     df = T.events_daily(spark, SF)
     phys = plan_text(df)
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in df._jdf.queryExecution().executedPlan().toString() or "event_type" not in phys
+
+
+def test_no_nested_loop_cartesian_or_python_in_registered_queries(spark):
+    from panelscope.plans.catalog import QUERIES
+
+    names = ["clean_panel", "sample_weight", "yearly_features", "monthly_features", "training_filter_counts",
+             "split_semi_anti", "flag_top_quartile", "naive_flags", "backtest_summary", "calibration_deciles",
+             "score_distribution", "roc_points", "auc_delta", "risk_percentile", "score_requests", "resolve_names",
+             "latest_period_rows", "format_metrics"]
+    for name in names:
+        phys = plan_text(QUERIES[name](spark, SF))
+        for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in phys, f"{name}: {bad}"

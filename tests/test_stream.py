@@ -16,9 +16,11 @@ def test_stream_equals_batch(spark):
     feats = CAT.events_features(spark, SF)
     score = lambda df: df.withColumn("risk_score", CAT.fixed_score())
     q = start_request_stream(spark, f"{tmp}/requests", feats, score, YEARLY_FEATURE_COLUMNS, f"{tmp}/out",
-                             f"{tmp}/ckpt", bounds=T.EVENT_PERIOD_BOUNDS)
+                             f"{tmp}/ckpt", bounds=T.EVENT_PERIOD_BOUNDS, max_files_per_trigger=1)
     q.awaitTermination(300)
-    streamed = spark.read.parquet(f"{tmp}/out").drop("batch_id", "features_used")
+    out = spark.read.parquet(f"{tmp}/out")
+    assert out.select("batch_id").distinct().count() >= 3  # one file per micro-batch
+    streamed = out.drop("batch_id", "features_used")
     batch = SCO.score_requests(reqs, feats, score, YEARLY_FEATURE_COLUMNS, "dev",
                                "calibrated_weighted_logistic_regression", T.EVENT_PERIOD_BOUNDS).drop("features_used")
     assert streamed.count() == reqs.count()
