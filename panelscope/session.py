@@ -23,6 +23,21 @@ JOB_CONF = {
 }
 
 
+# Recommended settings for a large cluster (applied by whoever builds the cluster
+# session; jobs never override the cluster's own `spark.checkpoint.dir`).
+CLUSTER_CONF = {
+    **JOB_CONF,
+    # Start with many shuffle partitions; AQE coalesces them to ~advisory size.
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Broadcasts are hinted only behind counts; keep the automatic threshold modest.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panelscope") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
