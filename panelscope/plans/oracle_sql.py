@@ -428,7 +428,8 @@ ORACLES["calibration_deciles"] = f"""WITH {detail_ctes(2)},
 e AS (SELECT list_sort(list_distinct(quantile_cont(risk_score, {_edges}))) AS edges,
              min(risk_score) < max(risk_score) AS spread FROM detail),
 b AS (SELECT d.*, CASE WHEN NOT e.spread THEN 0
-        ELSE greatest(len(list_filter(e.edges, lambda x: x < d.risk_score)), 1) - 1 END AS decile FROM detail d, e)
+        ELSE CAST(greatest(len(list_filter(e.edges, lambda x: x < d.risk_score)), 1) - 1 AS INTEGER) END AS decile
+      FROM detail d, e)
 SELECT decile, count(*) AS count, {r6('avg(risk_score)')} AS mean_pred, {r6('avg(CAST(y AS DOUBLE))')} AS observed_rate
 FROM b GROUP BY decile"""
 _q = ", ".join(f"{r6(f'quantile_cont(risk_score, {p})')} AS {n}" for p, n in
@@ -440,8 +441,8 @@ FROM detail GROUP BY GROUPING SETS ((outcome_period), ())"""
 ORACLES["roc_points"] = f"""WITH {detail_ctes(2)},
 c AS (SELECT risk_score AS threshold, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg
       FROM detail GROUP BY 1),
-r AS (SELECT threshold, sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS true_positives,
-        sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS false_positives,
+r AS (SELECT threshold, CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS true_positives,
+        CAST(sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS false_positives,
         sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM c)
 SELECT threshold, true_positives, false_positives,
   {r6('CASE WHEN n > 0 THEN CAST(false_positives AS DOUBLE) / n END')} AS fpr,
@@ -568,7 +569,8 @@ qv AS (SELECT * FROM (SELECT query_id, query_text, {norm_text('query_text')} AS
 m AS (SELECT qv.query_id, qv.query_text, n.*, CASE WHEN starts_with(n.norm_name, qv.q_norm) THEN 0 ELSE 1 END AS tier
       FROM qv JOIN names n ON contains(n.norm_name, qv.q_norm)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tier, ord) AS rank FROM m)
-SELECT query_id, query_text, rank, key, name, group_code, CASE WHEN tier = 0 THEN 'prefix' ELSE 'contains' END AS match,
+SELECT CAST(query_id AS BIGINT) AS query_id, query_text, CAST(rank AS INTEGER) AS rank, key, name, group_code,
+  CASE WHEN tier = 0 THEN 'prefix' ELSE 'contains' END AS match,
   {display('name')} AS display_name FROM r WHERE rank <= 12"""
 
 # ------------------------------------------------- re-typing after a text trip ----
