@@ -48,17 +48,22 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="panelscope-bench")
-    results = {}
+    results, errors = {}, {}
     for name in names:
-        run_once(spark, name, sf_dir)  # warm-up
-        results[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
+        try:
+            run_once(spark, name, sf_dir)  # warm-up
+            results[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(repeats)), 3)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not hide the others' numbers
+            results[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc).splitlines()[0][:200] if str(exc) else ''}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(results.values()), 3),
+        "value": round(sum(v for v in results.values() if v is not None), 3),
         "unit": "sec",
         "queries": results,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
