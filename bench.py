@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -47,7 +48,14 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="panelscope-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage / task times without the UI: Spark's event log in a fresh scratch folder.
+        log_dir = tempfile.mkdtemp(prefix="panelscope-events-")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+        print(f"event log: {log_dir}", file=sys.stderr)
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="panelscope-bench",
+                          extra_conf=extra)
     results, errors = {}, {}
     for name in names:
         try:

@@ -38,7 +38,8 @@ CLUSTER_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panelscope") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panelscope",
+                  extra_conf: dict | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -49,7 +50,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Remove checkpoint files once their DataFrames are garbage-collected.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    for key, value in JOB_CONF.items():
+    for key, value in {**JOB_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
