@@ -497,6 +497,21 @@ def q_backtest_report(spark, sf):
     return BT.backtest_report(events_features(spark, sf))["comparison"]
 
 
+def q_train_final(spark, sf):
+    """E5 (final): the model trained on every training row, as its parameter row."""
+    return JB.train_final(events_features(spark, sf)).params_frame(spark)
+
+
+def q_score_requests_model(spark, sf):
+    """R1 with the final fitted model (the original's serving path); NULL periods
+    resolve to each entity's latest scoreable period (M10)."""
+    ev = events_pipeline(spark, sf)
+    model = JB.train_final(ev.features)
+    out = SCO.score_requests(T.event_requests(spark, sf), ev.features, model.transform, FE.YEARLY_FEATURE_COLUMNS,
+                             "final", JB.MODEL_TYPE, bounds=T.EVENT_PERIOD_BOUNDS, size_bound=ev.rows)
+    return out.drop("features_used")
+
+
 def q_model_metadata(spark, sf):
     return JB.train_job(spark, events_features(spark, sf), source=sf)["metadata"]
 
@@ -643,6 +658,8 @@ QUERIES = {
     "train_job": q_train_job,
     "backtest_report": q_backtest_report,
     "model_metadata": q_model_metadata,
+    "train_final": q_train_final,
+    "score_requests_model": q_score_requests_model,
     "score_requests": q_score_requests,
     "request_validation": q_request_validation,
     "score_requests_resolve": q_score_requests_resolve,
