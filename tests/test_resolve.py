@@ -26,3 +26,12 @@ def test_prefix_first_then_contains_in_file_order(spark):
     assert keys[:3] == ["06059", "35013", "06060"]  # prefix match first, then file order
     assert out[0].match == "prefix" and all(r.match == "contains" for r in out[1:])
     assert "00000" not in keys  # record with a missing field is dropped
+
+
+def test_hot_query_ships_partial_top_k(spark):
+    # "an" matches every name: still 12 results, and the limit runs per task before the shuffle
+    q = spark.createDataFrame([(1, "an")], "query_id long, query_text string")
+    out = RS.resolve_names(lookup(spark), q)
+    assert out.count() == 12
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
