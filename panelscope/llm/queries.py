@@ -6,19 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.llm import neardup
+from panelscope.llm import language, neardup, quality_rank, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rank.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_quality_ranking": op7_quality_ranking,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
