@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.llm import language, neardup, quality_rank, quality_rules
+from panelscope.llm import host_reputation, language, mixture, neardup, quality_rank, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def op7_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rank.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_reputation.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.report(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,7 +41,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_quality_ranking": op7_quality_ranking,
+    "op8_url_reputation": op8_url_reputation,
+    "op9_source_mix": op9_source_mix,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_source_mix": mixture.ORACLE,
+}

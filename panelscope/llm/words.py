@@ -18,8 +18,15 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _BASE = 0x9E3779B97F4A7C15  # odd: has an inverse modulo 2**64
-_POWERS = np.cumprod(np.concatenate([[1], np.full(SLICE_BYTES, _BASE, np.uint64)]).astype(np.uint64))
-_INVERSES = np.cumprod(np.concatenate([[1], np.full(SLICE_BYTES, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64))
+
+
+def _powers(base: int) -> np.ndarray:
+    out = np.full(SLICE_BYTES + 1, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POWERS, _INVERSES = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
