@@ -87,20 +87,28 @@ class Words:
         self.ends = np.zeros(1 << 12, np.int64)  # of each word's ids
         self.n = 0
 
-    def encoded(self, word: str) -> list[int]:
-        if not self.parts or not self._plain.fullmatch(word) or any(t in word for t in self.special):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        low, model = word.lower(), self.tokenizer.model
-        parts = [low] if low.isascii() and low.isalpha() else self.parts.findall(low)
-        out = []
-        for part in parts:
-            part = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            out += [t.id for t in model.tokenize(part)]
-        return out
+    def encoded(self, words: list[str]) -> Iterator[list[int]]:
+        """Ids of each word."""
+        together = "".join(words)
+        plain = self.parts is not None and not any(t in together for t in self.special)
+        all_plain = plain and self._plain.fullmatch(together) is not None
+        tokenize, split = self.tokenizer.model.tokenize, self.parts and self.parts.findall
+        for word in words:
+            if not all_plain and not (plain and self._plain.fullmatch(word)):
+                yield self.tokenizer.encode(word, add_special_tokens=False).ids
+                continue
+            low = word.lower()
+            if low.isascii():
+                if low.isalpha():
+                    yield [t.id for t in tokenize(low)]
+                else:
+                    yield [t.id for part in split(low) for t in tokenize(part)]
+            else:
+                yield [t.id for part in split(low) for t in tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(self.letters))]
 
     def add(self, words: list[bytes]) -> None:
-        ids = [self.encoded(w.decode()) for w in words]
-        sizes = np.array([len(x) for x in ids], np.int64)
+        ids = list(self.encoded(b" ".join(words).decode().split(" ")))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         used = int(self.ends[self.n])
         while used + len(flat) > len(self.ids):
@@ -118,11 +126,13 @@ class Words:
             self.clear()
         split = [t.split() for t in texts]
         flat = list(chain.from_iterable(split))
-        numbers = list(map(self.number.get, flat))
-        if None in numbers:
-            self.add(list(dict.fromkeys(w for w, k in zip(flat, numbers, strict=True) if k is None)))
-            numbers = list(map(self.number.get, flat))
-        at = np.array(numbers, np.int64)
+        get = self.number.get
+        at = np.fromiter((get(w, 0) for w in flat), np.int64, len(flat))
+        new = np.flatnonzero(at == 0)
+        if len(new):
+            missed = [flat[k] for k in new.tolist()]
+            self.add(list(dict.fromkeys(missed)))
+            at[new] = [get(w) for w in missed]
         sizes = self.ends[at] - self.ends[at - 1]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(self.ends[at - 1] - upto[:-1], sizes) + np.arange(upto[-1])] if len(at) else np.zeros(0, np.uint32)

@@ -6,17 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.llm import host_reputation, language, mixture, neardup, quality_rank, quality_rules
+from panelscope.llm import fingerprint, host_reputation, language, mixture, neardup, packing, quality_rank, quality_rules, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's file, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op3_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packs(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_quartile_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,7 +57,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
+    "op3_sequence_packing": op3_sequence_packing,
+    "op4_quartile_fingerprint": op4_quartile_fingerprint,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_quality_ranking": op7_quality_ranking,
     "op8_url_reputation": op8_url_reputation,
