@@ -294,3 +294,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"),
     )
+
+
+def kept(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, that near_duplicates() keeps; of equal rows (id and text) one."""
+    ids = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    stay = docs.join(ids, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return stay.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")

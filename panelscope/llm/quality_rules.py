@@ -166,3 +166,19 @@ def quality_rules(docs: DataFrame, labels: DataFrame, least_score: float = LEAST
     """Statistics, base verdict, final verdict and score (llr) of each row of `docs` (doc_id, text); `labels` has doc_id, quality, toxic."""
     run = judge(log_ratios(docs, labels), least_score)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + SCHEMA)
+
+
+def kept(docs: DataFrame, labels: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `docs`, with all their columns, that quality_rules() keeps. Judged where they lie: nothing is shuffled."""
+    run = judge(log_ratios(docs, labels), least_score)
+    names = docs.columns
+    at = [names.index("doc_id"), names.index("text")]
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays([batch.column(k) for k in at], names=["doc_id", "text"])
+            verdicts = [v.column(7) for v in run(iter([pair]))]
+            if verdicts:
+                yield batch.filter(pa.concat_arrays(verdicts))
+
+    return docs.mapInArrow(keep, docs.schema)

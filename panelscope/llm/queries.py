@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.llm import fingerprint, host_reputation, language, mixture, neardup, packing, quality_rank, quality_rules, secret_scan
+from panelscope.llm import fingerprint, host_reputation, html_main, language, mixture, neardup, packing, quality_rank, quality_rules, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rank.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sequence_packing": op3_sequence_packing,
     "op4_quartile_fingerprint": op4_quartile_fingerprint,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_main_text": op6_main_text,
     "op7_quality_ranking": op7_quality_ranking,
     "op8_url_reputation": op8_url_reputation,
     "op9_source_mix": op9_source_mix,
