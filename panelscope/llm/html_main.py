@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from panelscope.llm.boosting import Trees
 from panelscope.llm.dom import INLINE, Node, parse
 
-PAGES = 400
+PAGES = 700
 BATCH_CHARS = 1 << 20
 
 # Elements without text of their own, and words that class and id names use.
@@ -288,9 +288,14 @@ def layouts(n: int, seed: int = 7) -> Iterator[str]:
         return out
 
     for _ in range(n):
-        before = "".join(part() for part, p in ((notice, 0.3), (header, 0.5), (menu, 0.8), (advert, 0.5), (form, 0.15), (sidebar, 0.2)) if chance(p))
-        after = "".join(part() for part, p in ((share, 0.2), (comments, 0.45), (sidebar, 0.4), (advert, 0.3), (form, 0.25), (notice, 0.15), (footer, 0.85)) if chance(p))
-        inner = before + article() + after
+        before = [part() for part, p in ((notice, 0.3), (header, 0.5), (menu, 0.8), (advert, 0.5), (form, 0.15), (sidebar, 0.2)) if chance(p)]
+        after = [part() for part, p in ((share, 0.2), (comments, 0.45), (sidebar, 0.4), (advert, 0.3), (form, 0.25), (notice, 0.15), (footer, 0.85)) if chance(p)]
+        if chance(0.3):  # any part at any place
+            parts = before + after
+            rng.shuffle(parts)
+            cut = int(rng.integers(0, len(parts) + 1))
+            before, after = parts[:cut], parts[cut:]
+        inner = "".join([*before, article(), *after])
         if chance(0.25):
             inner = tag("div", pick("wrapper", "container", "page", ""), inner)
         yield f"<!DOCTYPE html><html><head><title>{text(2, 8)}</title><script>var a='</p>';</script></head><body>{inner}" + pick("</body></html>", "")
@@ -303,7 +308,7 @@ def model() -> Trees:
         found = blocks(parse(page))
         x += features(found)
         y += [float(b.main) for b in found]
-    return Trees(np.array(x), np.array(y), rounds=40)
+    return Trees(np.array(x), np.array(y), rounds=60)
 
 
 def extracted(pages: list[str], trees: Trees) -> list[str]:

@@ -24,7 +24,8 @@ is a table in the shared folder.
 
 Edge cases: a null or empty text, or one without words, has the empty set: it is
 alone in its component and kept. Rows with equal ids are separate documents with
-that id. Other columns are not read, so their names can't clash.
+that id. Documents without an id are linked with nothing, have a null component
+and are kept. Other columns are not read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -272,7 +273,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = stored(signatures(docs), "signatures")
     per_text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     nodes = stored(
-        signed.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")),
+        signed.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("root"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")),
         "nodes",
     )
     every = nodes.select(F.explode("keys").alias("key"), "node")
@@ -290,15 +291,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = named.groupBy("label").agg(F.min("root").alias("component_id"))
     of_node = nodes.select("node", "root").join(named.select("node", "label"), "node", "left").join(least, "label", "left")
     of_node = of_node.select("node", F.coalesce("component_id", "root").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return signed.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"),
+        "doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
     )
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, with all their columns, that near_duplicates() keeps; of equal rows (id and text) one."""
-    ids = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    """The rows of `docs`, with all their columns, that near_duplicates() keeps; of rows with equal id and text one stays."""
+    ids = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
     stay = docs.join(ids, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return stay.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    stay = stay.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    return stay.union(docs.where("doc_id is null"))

@@ -5,7 +5,7 @@ URL escapes (%41), Unicode escapes (\\u0041, \\x41, &#65;, &#x41;) and base64
 tokens. The layer with its escapes of one sort decoded is a new layer, as is a
 decoded base64 token and what a base64 token decompresses
 to (gzip, zlib, bzip2 or xz), and goes back on the worklist until nothing new
-appears. Layers already seen in the same document are not opened again, which
+appears. A layer already seen for the same range is not opened again, which
 ends cycles; each decoding shortens the text, except decompression, which ends
 at MOST_UNPACKED bytes: a larger layer is counted in n_too_large, not cut.
 
@@ -189,19 +189,22 @@ def _inner(text: str) -> tuple[list[Layer], int]:
 def secrets(text: str) -> tuple[list[tuple[int, int, str]], set[tuple[int, int, str]], int, int]:
     """Base spans, all spans, number of decoded layers, and of layers that were too large."""
     base = scan(text)
-    spans, seen, layers, large = set(base), {text}, 0, 0
+    spans, seen, layers, large = set(base), {(text, 0, len(text))}, 0, 0
     work: list[tuple[str, Map | None]] = [(text, None)]
     while work:
         layer, place = work.pop()
         inner, n = _inner(layer)
         large += n
         for decoded, starts, ends in inner:
-            if decoded in seen:
+            if not decoded:
                 continue
-            seen.add(decoded)
-            layers += 1
             if place:
                 starts, ends = [place[0][i] for i in starts], [place[1][i - 1] for i in ends]
+            key = decoded, starts[0], ends[-1]
+            if key in seen:
+                continue
+            seen.add(key)
+            layers += 1
             for a, b, kind in scan(decoded):
                 spans.add((min(starts[a:b]), max(ends[a:b]), kind))
             work.append((decoded, (starts, ends)))
