@@ -47,7 +47,7 @@ PERCENT = 75  # least similarity of a link
 COORDINATES = 192
 TOGETHER = 4  # coordinates of one posting
 MATCHES = 111  # least equal coordinates of a candidate pair
-BLOCK = 256  # nodes of a block
+BLOCK = 512  # nodes of a block
 
 _rng = np.random.default_rng(20240501)
 _FACTORS = _rng.integers(0, 1 << 31, COORDINATES).astype(np.uint32) * np.uint32(2) + np.uint32(1)
@@ -180,11 +180,17 @@ def _candidates_kept(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def _sets(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, members) of the nodes of the documents with the ids `root` in `rows`; no other text is read into a set."""
+    roots = rows.select(F.col("root").alias("doc_id")).distinct()
+    found = docs.join(roots, "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node binary, members array<long>")
+    return stored(found.join(rows.select("node").distinct(), "node", "left_semi"), "shingle-sets")
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) confirmed on the full sets; only texts of candidate nodes are read into sets."""
+    """Pairs (a, b) confirmed on the full sets."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    roots = wanted.join(nodes.select("node", "root"), "node").select(F.col("root").alias("doc_id")).distinct()
-    sets = stored(docs.join(roots, "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node binary, members array<long>"), "shingle-sets")
+    sets = _sets(wanted.join(nodes.select("node", "root"), "node"), docs)
     links = stored(
         pairs.join(sets.toDF("a", "members_a"), "a").join(sets.toDF("b", "members_b"), "b").mapInArrow(_confirmed, "a binary, b binary"), "links"
     )
@@ -208,66 +214,146 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _cell(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
-    """Pairs across the two blocks of a cell (or within its one block), of different components and alike by sketch."""
-    sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, COORDINATES)
-    node, label, size, side = (rows[c].to_numpy() for c in ("node", "label", "n_shingles", "side"))
-    right = np.flatnonzero(side == 1)
-    left = np.flatnonzero(side == 0)
-    one = not len(right)
-    right = left if one else right
-    out = []
-    for k, i in enumerate(left):
-        fit = right[k + 1 :] if one else right
-        fit = fit[(label[fit] != label[i]) & (100 * np.minimum(size[i], size[fit]) >= PERCENT * np.maximum(size[i], size[fit]))]
-        fit = fit[(sketches[fit] == sketches[i]).sum(1) >= MATCHES]
-        out += [(min(node[i], node[j]), max(node[i], node[j])) for j in fit]
-    return out
+class _Forest:
+    """Union-find over the rows of a cell."""
 
+    def __init__(self, n: int):
+        self.parent = list(range(n))
 
-def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of rows of one cell, sorted together; a cell may span batches and holds two blocks at most."""
-    rest = None
-    for batch in batches:
-        rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if not len(rest):
-            continue
-        cell = rest[["key", "block", "block_2"]].to_numpy()
-        cuts = [0, *(np.flatnonzero((cell[1:] != cell[:-1]).any(1)) + 1)]
-        found = {p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in _cell(rest.iloc[a:b])}
-        rest = rest.iloc[cuts[-1] :].reset_index(drop=True)
-        yield pd.DataFrame(sorted(found), columns=["a", "b"])
-    if rest is not None and len(rest):
-        yield pd.DataFrame(sorted(set(_cell(rest))), columns=["a", "b"])
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
 
+    def joined(self, x: int, y: int) -> bool:
+        """Join two trees; False if they were one."""
+        x, y = self.find(x), self.find(y)
+        self.parent[x] = y
+        return x != y
 
-def _unsettled(postings: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs between components, out of the lists that still hold more than one (of two nodes, one is the hub: done)."""
-    members = (
-        postings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        .join(nodes.select("node", "n_shingles", "sketch"), "node")
-    )
-    live = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("key", "n")
-    rows = stored(members.join(live, "key"), "live-postings")
-    # Blocks by set size: a list of n members has ceil(n / BLOCK) blocks, cut at the ranks of its sizes' histogram.
-    sizes = rows.groupBy("key", "n_shingles").agg(F.count("*").alias("m"))
+
+def _sides(rows: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of the left block with the rows to compare it to: of another component and of a size that allows a link."""
+    label, size, side = (rows[c].to_numpy() for c in ("label", "n_shingles", "side"))
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for k, i in enumerate(left):
+        fit = right if len(right) else left[k + 1 :]
+        yield i, fit[(label[fit] != label[i]) & (100 * np.minimum(size[i], size[fit]) >= PERCENT * np.maximum(size[i], size[fit]))]
+
+
+def _edges(node: np.ndarray, found: list[tuple[int, int]]) -> list[tuple[bytes, bytes]]:
+    return [(min(node[i], node[j]), max(node[i], node[j])) for i, j in found]
+
+
+def _alike_cell(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the pairs that are alike by sketch."""
+    sketches = np.frombuffer(b"".join(rows["payload"]), np.uint8).reshape(-1, COORDINATES)
+    forest = _Forest(len(rows))
+    found = [(i, j) for i, fit in _sides(rows) for j in fit[(sketches[fit] == sketches[i]).sum(1) >= MATCHES] if forest.joined(i, j)]
+    return _edges(rows["node"].to_numpy(), found)
+
+
+def _linked_cell(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the links, by intersection counts over an inverted list of the cell's shingles."""
+    sets, size = rows["payload"].tolist(), rows["n_shingles"].to_numpy()
+    cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    owner = (np.searchsorted(cuts, order, "right") - 1).astype(np.int64)
+    new = np.concatenate([[True], flat[order][1:] != flat[order][:-1]])
+    start = np.flatnonzero(new)
+    length = np.diff(np.append(start, len(flat)))
+    place = np.empty(len(flat), np.int64)
+    place[order] = np.cumsum(new) - 1
+    forest, found = _Forest(len(rows)), []
+    for i, fit in _sides(rows):
+        if not len(fit):
+            continue
+        at = place[cuts[i] : cuts[i + 1]]
+        many = length[at]
+        upto = np.cumsum(many)
+        both = np.bincount(owner[np.repeat(start[at] - upto + many, many) + np.arange(upto[-1])], minlength=len(rows))
+        fit = fit[100 * both[fit] >= PERCENT * (size[i] + size[fit] - both[fit])]
+        found += [(i, j) for j in fit if forest.joined(i, j)]
+    return _edges(rows["node"].to_numpy(), found)
+
+
+def _cells(of_cell):
+    """Map function over rows sorted by cell; a cell may span batches and holds two blocks at most."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: list[pd.DataFrame] = []  # of the cell that is not complete
+        last = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            cell = list(zip(batch["key"], batch["block"], batch["block_2"], strict=True))
+            cuts = [0, *(k for k in range(1, len(cell)) if cell[k] != cell[k - 1]), len(cell)]
+            found = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if parts and cell[a] != last:
+                    found += of_cell(pd.concat(parts, ignore_index=True))
+                    parts = []
+                parts.append(batch.iloc[a:b])
+                last = cell[a]
+            yield pd.DataFrame(sorted(set(found)), columns=["a", "b"])
+        if parts:
+            yield pd.DataFrame(sorted(set(of_cell(pd.concat(parts, ignore_index=True)))), columns=["a", "b"])
+
+    return run
+
+
+def _compared(rows: DataFrame, of_cell) -> DataFrame:
+    """Pairs (a, b) that `of_cell` finds among the rows (node, label, n_shingles, payload) of each key; n is the key's row count.
+
+    The rows of a key are cut into blocks of about BLOCK by set size, and every two
+    blocks whose sizes allow a link meet in a cell: no task holds a whole key.
+    """
+    rows = stored(rows, "members")
+    sizes = rows.where(F.col("n") > 2 * BLOCK).groupBy("key", "n_shingles").agg(F.count("*").alias("m"))
     by_size = Window.partitionBy("key").orderBy("n_shingles").rowsBetween(Window.unboundedPreceding, 0)
     upto = sizes.select("key", "n_shingles", (F.sum("m").over(by_size) - F.col("m")).alias("before"), "m")
     spread = F.floor((F.col("before") + F.pmod(F.xxhash64("node"), F.col("m"))) / BLOCK)
-    placed = rows.join(upto, ["key", "n_shingles"]).withColumn("block", F.when(F.col("n") <= 2 * BLOCK, F.lit(0)).otherwise(spread).cast("int"))
-    reach = placed.groupBy("key", "block").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
+    long = rows.where(F.col("n") > 2 * BLOCK).join(upto, ["key", "n_shingles"]).withColumn("block", spread.cast("int"))
+    reach = long.groupBy("key", "block").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
     other = reach.toDF("key", "block_2", "lo_2", "hi_2")
     meet = reach.join(other, "key").where((F.col("block") <= F.col("block_2")) & (100 * F.col("hi") >= PERCENT * F.col("lo_2"))).select("key", "block", "block_2")
-    wide = placed.select("key", "block", "node", "label", "n_shingles", "sketch")
+    wide = long.select("key", "block", "node", "label", "n_shingles", "payload")
     left = wide.join(meet, ["key", "block"]).withColumn("side", F.lit(0))
     right = wide.withColumnRenamed("block", "block_2").join(meet.where("block <> block_2"), ["key", "block_2"]).withColumn("side", F.lit(1))
-    cells = left.unionByName(right)
+    short = rows.where(F.col("n") <= 2 * BLOCK).select("key", "node", "label", "n_shingles", "payload", F.lit(0).alias("block"), F.lit(0).alias("block_2"), F.lit(0).alias("side"))
+    cells = left.unionByName(right).unionByName(short)
     together = cells.repartition("key", "block", "block_2").sortWithinPartitions("key", "block", "block_2")
-    found = stored(together.mapInPandas(_cells, "a binary, b binary").distinct(), "late-pairs")
+    found = stored(together.mapInPandas(_cells(of_cell), "a binary, b binary").distinct(), "compared")
     released(rows)
     return found
 
 
+def _later_links(postings: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between components, out of the lists that still hold more than one (of two nodes, one is the hub: done).
+
+    Nodes of such a list that are alike by sketch across components form families;
+    within a family, links are found on the full sets.
+    """
+    members = (
+        postings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        .join(nodes.select("node", "n_shingles", F.col("sketch").alias("payload")), "node")
+    )
+    live = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low <> high and n > 2").select("key", "n")
+    alike = _compared(members.join(live, "key"), _alike_cell)
+    families = components(alike).toDF("node", "key")
+    families = families.join(families.groupBy("key").agg(F.count("*").alias("n")), "key")
+    sets = _sets(families.join(nodes.select("node", "root"), "node"), docs)
+    whole = (
+        families.join(nodes.select("node", "n_shingles"), "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        .join(sets.withColumnRenamed("members", "payload"), "node")
+    )
+    links = _compared(whole, _linked_cell)
+    released(sets, alike)
+    return links
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable), kept (doc_id = component_id); `docs` has doc_id and text."""
     signed = stored(signatures(docs), "signatures")
@@ -283,9 +369,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = stored(_candidates_kept(first, nodes), "pairs")
     linked = _links(pairs, nodes, per_text)
     labels = components(linked)
-    later = _unsettled(postings.select("key", "node"), nodes, labels)
+    more = _later_links(postings.select("key", "node"), nodes, labels, per_text)
     released(postings, pairs)
-    more = _links(later, nodes, per_text)
     labels = components(linked.union(more))
     named = labels.join(nodes.select("node", "root"), "node")
     least = named.groupBy("label").agg(F.min("root").alias("component_id"))
