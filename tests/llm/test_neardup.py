@@ -68,7 +68,7 @@ def test_hot_groups_equal_brute_force(spark, family, monkeypatch):
 def test_odd_rows(spark, odd, nothing):
     rows = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(odd).collect()), key=str)
     assert rows == sorted(
-        [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True), (4, 1, 4, True), (5, 1, 5, True), (None, 1, None, True), (6, 55, 6, True)], key=str
+        [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (4, 1, 4, True), (4, 1, 4, True), (5, 1, 5, True), (None, 1, None, True), (6, *brute([(6, "ÉÈ 你好 Ω" * 30)])[6])], key=str
     )
     assert N.near_duplicates(nothing).count() == 0
     kept = N.kept(odd)
