@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Key width and the request rule's one extra digit.
+# Fixed value: key width of the built-in data sets; wider keys are an argument.
 KEY_WIDTH = 5
-REQUEST_LONG_WIDTH = 6
 
 
 def _col(c: Column | str) -> Column:
@@ -29,16 +28,16 @@ def digits_only(c: Column | str) -> Column:
     return F.regexp_replace(_col(c).cast("string"), "[^0-9]", "")
 
 
-def _pad_if_fits(d: Column) -> Column:
-    return F.when((F.length(d) >= 1) & (F.length(d) <= KEY_WIDTH), F.lpad(d, KEY_WIDTH, "0"))
+def _pad_if_fits(d: Column, width: int) -> Column:
+    return F.when((F.length(d) >= 1) & (F.length(d) <= width), F.lpad(d, width, "0"))
 
 
-def normalize_key(c: Column | str) -> Column:
-    """Loader rule (P3, P6): keep digits; 1..5 digits -> left-pad to 5; else NULL."""
-    return _pad_if_fits(digits_only(c))
+def normalize_key(c: Column | str, width: int = KEY_WIDTH) -> Column:
+    """Loader rule (P3, P6): keep digits; 1..width digits -> left-pad to width; else NULL."""
+    return _pad_if_fits(digits_only(c), width)
 
 
-def normalize_key_numeric(c: Column | str) -> Column:
+def normalize_key_numeric(c: Column | str, width: int = KEY_WIDTH) -> Column:
     """Monthly-loader rule (P4): text like `39049.0` is read as a number first.
 
     A stripped value made of digits with exactly one '.' becomes its integer part
@@ -48,14 +47,14 @@ def normalize_key_numeric(c: Column | str) -> Column:
     is_decimal_text = t.rlike(r"^([0-9]+\.[0-9]*|\.[0-9]+)$")
     int_part = F.regexp_replace(F.regexp_extract(t, r"^([0-9]*)\.", 1), "^0+", "")
     as_number = F.when(int_part == "", F.lit("0")).otherwise(int_part)
-    return normalize_key(F.when(is_decimal_text, as_number).otherwise(t))
+    return normalize_key(F.when(is_decimal_text, as_number).otherwise(t), width)
 
 
-def normalize_key_request(c: Column | str) -> Column:
-    """Request rule (P5): 6 digits with a leading 0 keep the last 5; >5 otherwise invalid."""
+def normalize_key_request(c: Column | str, width: int = KEY_WIDTH) -> Column:
+    """Request rule (P5): width + 1 digits with a leading 0 keep the last ones; more than width otherwise invalid."""
     d = digits_only(strip_ws(c))
-    d = F.when((F.length(d) == REQUEST_LONG_WIDTH) & d.startswith("0"), F.substring(d, 2, KEY_WIDTH)).otherwise(d)
-    return _pad_if_fits(d)
+    d = F.when((F.length(d) == width + 1) & d.startswith("0"), F.substring(d, 2, width)).otherwise(d)
+    return _pad_if_fits(d, width)
 
 
 def repad_key(c: Column | str) -> Column:

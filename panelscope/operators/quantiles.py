@@ -2,17 +2,11 @@
 
 Spark's exact `percentile` merges a value->count map of a whole group inside one
 task, which does not survive a period holding a billion rows. Here a group is
-never gathered whole:
-
-1. one aggregate pass gives each group's size and a mergeable quantile sketch
-   (`percentile_approx`, bounded memory, map-side partial aggregation);
-2. the sketch brackets every wanted rank in a narrow value band
-   (about 0.04% of the group); rows below the band are only counted;
-3. only band rows are ranked (`row_number` per group and probability).
-
-Groups at or under `direct_limit` rows skip the sketch band and are ranked whole.
-The bracket is checked; a group whose ranks fall outside its band is recomputed
-with a full band, so the result is always exact.
+never gathered whole: rows are counted per (group, value) with map-side partial
+sums, so a value that half the rows share is one row; running counts over the
+distinct values (`ordered_prefix_sums`, in ordered buckets when a group is large)
+give each value its range of ranks; and the value whose range holds a wanted
+rank is picked by one aggregate.
 
 Interpolation is `lo + (hi - lo) * frac` with `h = (n - 1) * p`, the rule of
 pandas' default and of SQL `quantile_cont` / `percentile_cont`.
@@ -20,23 +14,14 @@ pandas' default and of SQL `quantile_cont` / `percentile_cont`.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import materialize
-
-SKETCH_ACCURACY = 20000
-BAND_HALF_WIDTH = 4.0 / SKETCH_ACCURACY
-# Largest group ranked in one task. Overridable (set before import) so that tests
-# can push small data through the sketch / bucket paths used at scale.
-DIRECT_LIMIT = int(os.environ.get("PANELSCOPE_DIRECT_LIMIT", "1000000"))
-BROADCAST_GROUP_LIMIT = 200_000
+from .prefix import ordered_prefix_sums
 
 _G = "__qgrp"
-_P = "__pidx"
 _V = "__qval"
 
 
@@ -46,7 +31,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    direct_limit: int = DIRECT_LIMIT,
+    direct_limit: int | None = None,
     size_bound: int | None = None,
 ) -> DataFrame:
     """One row per group: `by` columns, `n` (non-null values) and one column per prob.
@@ -55,156 +40,30 @@ def exact_quantiles(
     (so on every group); at or under `direct_limit` it spares the size check.
 
     NULL and NaN values are ignored, as pandas' `quantile` skips missing values.
-    The input is scanned three times; persist it first when it is expensive.
     """
     probs = [float(p) for p in probs]
     if not probs or any(p < 0 or p > 1 for p in probs):
         raise ValueError(f"probabilities must be in [0, 1]: {probs}")
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     by = list(by)
-    keys = by if by else [_G]
 
     v = F.col(value) if isinstance(value, str) else value
     vals = df.select(*[F.col(b) for b in by], v.cast("double").alias(_V))
-    if not by:
-        vals = vals.withColumn(_G, F.lit(0))
     vals = vals.where(F.col(_V).isNotNull() & ~F.isnan(F.col(_V)))
+    counts = vals.groupBy(*by, _V).agg(F.count(F.lit(1)).alias("__cnt"))
+    ranked = ordered_prefix_sums(counts, by, _V, ["__cnt"], direct_limit, size_bound)
 
-    if fits(vals, keys, direct_limit, size_bound):
-        out = _direct(vals, keys, probs, names)
-        return out.drop(_G) if not by else out
-
-    bands = _band_table(vals, keys, probs, direct_limit)
-    picked = materialize(_pick(vals, keys, bands, len(probs)))
-    missing = picked.where(F.col("__vlo").isNull() | F.col("__vhi").isNull()).select(*keys).distinct()
-    if missing.limit(1).count() > 0:
-        # The sketch bracket missed (should not happen): redo those groups on full bands.
-        full = F.transform(
-            "__bands",
-            lambda b: b.withField("__blo", F.lit(float("-inf"))).withField("__bhi", F.lit(float("inf"))),
-        )
-        redo = bands.join(missing, keys, "left_semi").withColumn("__bands", full)
-        picked = picked.join(missing, keys, "left_anti").unionByName(_pick(vals, keys, redo, len(probs)))
-
-    value_col = F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")
-    out = picked.groupBy(*keys).agg(
-        F.first("__n").alias("n"),
-        *[F.max(F.when(F.col(_P) == i, value_col)).alias(name) for i, name in enumerate(names)],
-    )
-    if not by:
-        out = out.drop(_G)
-    return out
-
-
-def fits(df: DataFrame, keys: list[str], direct_limit: int, size_bound: int | None = None) -> bool:
-    """True when every group has at most `direct_limit` rows (proven bound, else one aggregate)."""
-    if size_bound is not None and size_bound <= direct_limit:
-        return True
-    return max_group_size(df, keys) <= direct_limit
-
-
-def max_group_size(df: DataFrame, keys: list[str]) -> int:
-    """Largest group's row count: one small aggregate, decides the plan shape."""
-    m = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(m or 0)
-
-
-def _direct(vals: DataFrame, keys: list[str], probs: list[float], names: list[str]) -> DataFrame:
-    """Every group is at most `direct_limit` rows: rank each group in one sort (lazy)."""
-    w = Window.partitionBy(*keys).orderBy(_V)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    ranked = vals.select(*keys, _V, (F.row_number().over(w) - 1).alias("__r"), n.alias("n"))
-    h = [(F.col("n") - 1).cast("double") * F.lit(p) for p in probs]
-    wanted = F.lit(False)
-    for hi in h:
-        wanted = wanted | (F.col("__r") == F.floor(hi)) | (F.col("__r") == F.ceil(hi))
-    picked = ranked.where(wanted)
-    aggs = []
-    for i, hi in enumerate(h):
-        aggs += [
-            F.max(F.when(F.col("__r") == F.floor(hi), F.col(_V))).alias(f"__lo{i}"),
-            F.max(F.when(F.col("__r") == F.ceil(hi), F.col(_V))).alias(f"__hi{i}"),
-            F.first(hi - F.floor(hi)).alias(f"__f{i}"),
-        ]
-    g = picked.groupBy(*keys).agg(F.first("n").alias("n"), *aggs)
-    return g.select(
-        *keys, "n",
-        *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(name)
-          for i, name in enumerate(names)],
-    )
-
-
-def _band_table(vals: DataFrame, keys: list[str], probs: list[float], direct_limit: int) -> DataFrame:
-    """One row per group: size and, per probability, target ranks and value band."""
-    band_probs: list[float] = []
-    for p in probs:
-        band_probs += [max(0.0, p - BAND_HALF_WIDTH), min(1.0, p + BAND_HALF_WIDTH)]
-    stats = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx(_V, band_probs, SKETCH_ACCURACY).alias("__sketch"),
-    )
-    n = F.col("__n")
-    direct = n <= direct_limit
-    per_prob = []
+    n, before, upto = F.col("__cnt_total"), F.col("__cnt_before"), F.col("__cnt_before") + F.col("__cnt")
+    aggs = [F.first(n).alias("n")]
     for i, p in enumerate(probs):
         h = (n - 1).cast("double") * F.lit(p)
-        per_prob.append(
-            F.struct(
-                F.lit(i).alias(_P),
-                F.floor(h).cast("long").alias("__rlo"),
-                F.ceil(h).cast("long").alias("__rhi"),
-                (h - F.floor(h)).alias("__frac"),
-                F.when(direct, F.lit(float("-inf"))).otherwise(F.col("__sketch")[2 * i]).alias("__blo"),
-                F.when(direct, F.lit(float("inf"))).otherwise(F.col("__sketch")[2 * i + 1]).alias("__bhi"),
-            )
-        )
-    bands = materialize(stats.select(*keys, "__n", F.array(*per_prob).alias("__bands")))
-    # One row per group; broadcast only behind a checked size, else a shuffle join.
-    if bands.count() <= BROADCAST_GROUP_LIMIT:
-        bands = F.broadcast(bands)
-    return bands
-
-
-def _attach(vals: DataFrame, keys: list[str], bands: DataFrame) -> DataFrame:
-    """Each value row with its group's bands: a (size-checked broadcast) join on the
-    group keys, or, for the single global group, its one row inlined as literals."""
-    if keys != [_G]:
-        return vals.join(bands, keys, "inner")
-    row = bands.first()
-    if row is None:
-        return vals.limit(0).join(bands, keys, "inner")
-    lit_bands = F.array(*[
-        F.struct(*[F.lit(b[f]).alias(f) for f in ("__pidx", "__rlo", "__rhi", "__frac", "__blo", "__bhi")])
-        for b in row["__bands"]
-    ])
-    return vals.select("*", F.lit(row["__n"]).alias("__n"), lit_bands.alias("__bands"))
-
-
-def _pick(vals: DataFrame, keys: list[str], bands: DataFrame, n_probs: int) -> DataFrame:
-    """Values at the two target ranks of every (group, prob); NULL where the band missed."""
-    joined = _attach(vals, keys, bands)
-    v = F.col(_V)
-    # Rows under each band are only counted (map-side partial sums, no replication).
-    below = joined.groupBy(*keys).agg(
-        F.array(
-            *[F.sum(F.when(v < F.col("__bands")[i]["__blo"], 1).otherwise(0)) for i in range(n_probs)]
-        ).alias("__lt")
-    ).select(*keys, F.posexplode("__lt").alias(_P, "__below"))
-    in_band = joined.select(
-        *keys,
-        v,
-        F.explode(F.filter("__bands", lambda b: (v >= b["__blo"]) & (v <= b["__bhi"]))).alias("__b"),
-    ).select(*keys, v, F.col("__b")[_P].alias(_P), F.col("__b.__rlo").alias("__rlo"), F.col("__b.__rhi").alias("__rhi"))
-    w = Window.partitionBy(*keys, _P).orderBy(_V)
-    ranked = (
-        in_band.join(below, [*keys, _P], "left")
-        .withColumn("__rank", F.row_number().over(w) - 1 + F.coalesce(F.col("__below"), F.lit(0)))
-        .where((F.col("__rank") == F.col("__rlo")) | (F.col("__rank") == F.col("__rhi")))
-    )
-    picked = ranked.groupBy(*keys, _P).agg(
-        F.max(F.when(F.col("__rank") == F.col("__rlo"), v)).alias("__vlo"),
-        F.max(F.when(F.col("__rank") == F.col("__rhi"), v)).alias("__vhi"),
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((before <= rank) & (rank < upto), F.col(_V))).alias(f"__{side}{i}"))
+        aggs.append(F.first(h - F.floor(h)).alias(f"__f{i}"))
+    keys = by if by else [F.lit(0).alias(_G)]
+    picked = ranked.groupBy(*keys).agg(*aggs)
+    return picked.select(
+        *by, "n",
+        *[(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(name)
+          for i, name in enumerate(names)],
     )
-    # Keep every (group, prob), even when its band missed both ranks.
-    base = bands.select(*keys, "__n", F.inline(F.transform("__bands", lambda b: F.struct(b[_P].alias(_P), b["__frac"].alias("__frac")))))
-    return base.join(picked, [*keys, _P], "left")

@@ -1,15 +1,8 @@
-"""Ranks, running counts and top-share flags without gathering a group in one task.
-
-`ordered_prefix_sums` is the shared primitive: over rows that are unique per
-(group, order value) -- pre-aggregate first, so hot values collapse to one row --
-it adds, for each summed column, the total over the rows of the same group that
-come strictly earlier in the order. A group larger than `direct_limit` is cut
-into ordered buckets at sketch edges (`percentile_approx`); bucket totals get a
-running sum over at most `BUCKETS` rows per group, and rows get a running sum
-inside their bucket only. Smaller groups are one bucket.
-
-On top of it: within-period percentiles (W10), top-share flags with an exact
-tie rule (W8, W9), and exact ROC AUC with ties counted half (A6).
+"""Ranks, top-share flags and ROC AUC without gathering a group in one task.
+
+All count per (group, score) first, so hot scores collapse to one row, and build
+on `ordered_prefix_sums`: within-period percentiles (W10), top-share flags with
+an exact tie rule (W8, W9), and exact ROC AUC with ties counted half (A6).
 """
 
 from __future__ import annotations
@@ -19,66 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import DIRECT_LIMIT, SKETCH_ACCURACY, fits
-from .util import broadcast_if_small, materialize, with_count_below
-
-BUCKETS = 512
-_G = "__pgrp"
-_B = "__bucket"
-
-
-def ordered_prefix_sums(
-    df: DataFrame,
-    by: Sequence[str],
-    order: str,
-    sums: Sequence[str],
-    direct_limit: int = DIRECT_LIMIT,
-    size_bound: int | None = None,
-) -> DataFrame:
-    """Adds `{c}_before` (strictly earlier in `order`) and `{c}_total` per group for each c."""
-    by = list(by)
-    keys = by if by else [_G]
-    rows = df if by else df.withColumn(_G, F.lit(0))
-    if fits(rows, keys, direct_limit, size_bound):
-        # Every group fits one task: a single running-sum window (lazy, one shuffle).
-        w = Window.partitionBy(*keys)
-        wo = w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        out = rows.select(
-            *rows.columns,
-            *[F.sum(c).over(w).alias(f"{c}_total") for c in sums],
-            *[F.coalesce(F.sum(c).over(wo), F.lit(0)).alias(f"{c}_before") for c in sums],
-        )
-        return out.drop(_G) if not by else out
-    edges_p = [i / BUCKETS for i in range(1, BUCKETS)]
-    stats = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.sum(c).alias(f"{c}_total") for c in sums],
-        F.percentile_approx(order, edges_p, SKETCH_ACCURACY).alias("__edges"),
-    )
-    if by:
-        stats = broadcast_if_small(materialize(stats))
-        rows = rows.join(stats, keys)
-        # Groups that fit one task stay one bucket (no edges to search).
-        rows = rows.withColumn("__edges", F.when(F.col("__n") > direct_limit, F.col("__edges")).otherwise(
-            F.array().cast("array<double>")))
-    else:
-        # One global group: its single stats row is inlined as literals (no join at all).
-        st = stats.first()
-        rows = rows.select(
-            "*", F.lit(st["__n"]).alias("__n"), *[F.lit(st[f"{c}_total"]).alias(f"{c}_total") for c in sums],
-            F.array(*[F.lit(float(e)) for e in st["__edges"]]).alias("__edges"),
-        )
-    rows = with_count_below(rows, "__edges", order, _B, BUCKETS - 1).drop("__edges")
-    btot = rows.groupBy(*keys, _B).agg(*[F.sum(c).alias(f"__bt_{c}") for c in sums])
-    wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    boff = btot.select(*keys, _B, *[F.coalesce(F.sum(f"__bt_{c}").over(wb), F.lit(0)).alias(f"__bo_{c}") for c in sums])
-    wl = Window.partitionBy(*keys, _B).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.join(boff, [*keys, _B]).select(
-        *rows.columns,
-        *[(F.col(f"__bo_{c}") + F.coalesce(F.sum(c).over(wl), F.lit(0))).alias(f"{c}_before") for c in sums],
-    )
-    out = out.drop(_B, "__n")
-    return out.drop(_G) if not by else out
+from .prefix import limit_of, max_group_size, ordered_prefix_sums
+from .util import materialize
 
 
 def percentile_in_group(df: DataFrame, by: Sequence[str], score: str, out: str = "risk_percentile",
@@ -99,89 +34,57 @@ def top_share_flags(
     tiebreak: Sequence[str],
     out: str = "predicted_top_quartile",
     share: float = 0.25,
-    direct_limit: int = DIRECT_LIMIT,
+    direct_limit: int | None = None,
     size_bound: int | None = None,
 ) -> DataFrame:
     """Per group flag the `max(1, ceil(share * n))` highest scores; ties at the
-    cut are resolved by `tiebreak` ascending. Only rows tied at the cut score are
-    ranked with a window; all others are decided by running counts."""
+    cut are resolved by `tiebreak` ascending (NULLs first). Only rows tied at the cut
+    score are ranked; all others are decided by running counts. Rows with a NULL score
+    are not ranked and get a NULL flag; a NULL group is a group of its own."""
     by = list(by)
     neg = "__neg_score"
+    unranked = df.where(F.col(score).isNull()).withColumn(out, F.lit(None).cast("int"))
+    df = df.where(F.col(score).isNotNull())
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__cnt")).withColumn(neg, -F.col(score))
     pre = ordered_prefix_sums(counts, by, neg, ["__cnt"], direct_limit, size_bound).select(
         *by, score, "__cnt", F.col("__cnt_before").alias("__above"),
         F.greatest(F.lit(1), F.ceil(F.col("__cnt_total") * F.lit(share))).cast("long").alias("__k"),
     )
-    rows = df.join(pre, [*by, score], "inner")
+    same = F.col(f"l.{score}") == F.col(f"r.{score}")
+    for b in by:
+        same = same & F.col(f"l.{b}").eqNullSafe(F.col(f"r.{b}"))
+    rows = df.alias("l").join(pre.alias("r"), same).select("l.*", "r.__cnt", "r.__above", "r.__k")
     decided = F.when(F.col("__above") + F.col("__cnt") <= F.col("__k"), F.lit(1)).when(
         F.col("__above") >= F.col("__k"), F.lit(0)
     )
     clear = rows.where(decided.isNotNull()).withColumn(out, decided)
     cut = rows.where(decided.isNull()).withColumn("__need", F.col("__k") - F.col("__above"))
     cols = [*df.columns, out]
-    if fits(cut, by, direct_limit, size_bound):
+    limit = limit_of(direct_limit)
+    if (size_bound is not None and size_bound <= limit) or max_group_size(cut, by) <= limit:
         w = Window.partitionBy(*by, score).orderBy(*tiebreak)
         cut = cut.withColumn(out, (F.row_number().over(w) <= F.col("__need")).cast("int"))
     else:
-        cut = _flag_first_by_descent(cut, by, tiebreak, out)
-    return clear.select(*cols).unionByName(cut.select(*cols))
-
-
-def _order_key(cols: Sequence[str], df: DataFrame) -> F.Column:
-    """One string whose byte order is the order of `cols` (strings as is, integers
-    offset and zero-padded), joined by a separator below every printable char."""
-    parts = []
-    types = dict(df.dtypes)
-    for c in cols:
-        if types[c] in ("int", "bigint", "smallint", "tinyint"):
-            offset = F.lit("9223372036854775808").cast("decimal(20,0)")
-            parts.append(F.lpad((F.col(c).cast("decimal(20,0)") + offset).cast("decimal(20,0)").cast("string"), 20, "0"))
-        else:
-            parts.append(F.col(c).cast("string"))
-    return F.concat_ws("\u0001", *parts)
-
-
-def _flag_first_by_descent(cut: DataFrame, by: list[str], tiebreak: Sequence[str], out: str) -> DataFrame:
-    """Exact and distributed: per group, find the `__need`-th smallest tie-break key
-    among the rows tied at the cut one character at a time. Each step is a small
-    counting aggregate (groups x next characters) -- no group is ever sorted in one
-    task. Used only when a cut tie group is larger than the direct limit."""
-    keyed = cut.withColumn("__key", _order_key(tiebreak, cut)).persist()
-    state = {tuple(r[b] for b in by): ["", int(r["__need"])]
-             for r in keyed.select(*by, "__need").distinct().collect()}  # one row per group
-    done: dict = {}
-    level = 0
-    while len(done) < len(state):
-        open_groups = [(g, v) for g, v in state.items() if g not in done]
-        spark = keyed.sparkSession
-        st = spark.createDataFrame([(*g, v[0]) for g, v in open_groups],
-                                   [*by, "__prefix"]).hint("broadcast")
-        cand = keyed.join(st, by).where(F.substring("__key", 1, level) == F.col("__prefix"))
-        counts = cand.groupBy(*by, F.substring("__key", level + 1, 1).alias("__c")).count().collect()
-        per: dict = {}
-        for r in counts:
-            per.setdefault(tuple(r[b] for b in by), []).append((r["__c"], r["count"]))
-        for g, v in open_groups:
-            need = v[1]
-            for ch, cnt in sorted(per.get(g, [])):
-                if need <= cnt:
-                    if ch == "":
-                        done[g] = (v[0], need)  # key found; `need` rows among its exact copies
-                    else:
-                        v[0] += ch
-                    break
-                need -= cnt
-            v[1] = need
-        level += 1
-    cuts = keyed.sparkSession.createDataFrame([(*g, k, n) for g, (k, n) in done.items()],
-                                              [*by, "__cut", "__left"]).hint("broadcast")
-    j = keyed.join(cuts, by)
-    below = j.where(F.col("__key") < F.col("__cut")).withColumn(out, F.lit(1))
-    above = j.where(F.col("__key") > F.col("__cut")).withColumn(out, F.lit(0))
-    same = j.where(F.col("__key") == F.col("__cut"))
-    w = Window.partitionBy(*by, "__key").orderBy(F.lit(1))
-    same = same.withColumn(out, (F.row_number().over(w) <= F.col("__left")).cast("int"))
-    return below.unionByName(above).unionByName(same)
+        cut = _flag_first_by_ranges(cut, by, tiebreak, out)
+    return clear.select(*cols).unionByName(cut.select(*cols)).unionByName(unranked.select(*cols))
+
+
+def _flag_first_by_ranges(cut: DataFrame, by: list[str], tiebreak: Sequence[str], out: str) -> DataFrame:
+    """Per group, flag the `__need` first rows by tie-break: rows are dealt to ranges of
+    (group, tie-break), a running count over a group's ranges gives each range its first
+    rank, and rows are ranked inside their range only."""
+    dealt = cut.repartitionByRange(*by, *tiebreak).withColumn("__range", F.spark_partition_id())
+    dealt = materialize(dealt)  # a range's number must not change between the two reads
+    sizes = dealt.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__rows"))
+    earlier = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select(*by, "__range", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__first"))
+    inside = Window.partitionBy(*by, "__range").orderBy(*tiebreak)
+    ranked = dealt.withColumn("__rank", F.row_number().over(inside)).alias("l")
+    same = F.col("l.__range") == F.col("r.__range")
+    for b in by:
+        same = same & F.col(f"l.{b}").eqNullSafe(F.col(f"r.{b}"))
+    ranked = ranked.join(first.alias("r"), same).select("l.*", "r.__first")
+    return ranked.withColumn(out, (F.col("__first") + F.col("__rank") <= F.col("__need")).cast("int"))
 
 
 def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "risk_score",
@@ -196,13 +99,15 @@ def roc_auc(df: DataFrame, by: Sequence[str], label: str = "y", score: str = "ri
     )
     pre = ordered_prefix_sums(counts, by, score, ["__pos", "__neg"], size_bound=size_bound)
     keys = by if by else []
+    # Decimals: positives times negatives pass 2**63 from a few billion rows on.
+    pos, pairs = F.col("__pos").cast("decimal(18,0)"), (F.lit(2) * F.col("__neg_before") + F.col("__neg")).cast("decimal(19,0)")
     agg = pre.groupBy(*keys).agg(
-        F.sum(F.col("__pos") * (F.lit(2) * F.col("__neg_before") + F.col("__neg"))).alias("__num"),
+        F.sum((pos * pairs).cast("decimal(38,0)")).alias("__num"),
         F.first("__pos_total").alias("__p"),
         F.first("__neg_total").alias("__n"),
     )
     auc = F.when((F.col("__p") > 0) & (F.col("__n") > 0),
-                 F.col("__num").cast("double") / (F.lit(2.0) * F.col("__p") * F.col("__n")))
+                 F.col("__num").cast("double") / (F.lit(2.0) * F.col("__p") * F.col("__n")))  # doubles from here on
     return agg.select(*keys, auc.alias("auc"))
 
 

@@ -12,6 +12,7 @@ third of all names still ships only k rows per task.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import DataFrame, Window
@@ -30,27 +31,36 @@ _EXTRA_WS_CODEPOINTS = [0x00A0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
 _EXTRA_WS = "".join(chr(c) for c in _EXTRA_WS_CODEPOINTS)
 
 
-def _accent_table() -> tuple[str, str]:
-    """Latin letters with marks -> base letter, built by rule from Unicode NFKD
-    (letter + combining marks only) over Latin-1 Supplement and Latin Extended-A/B."""
-    src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Characters of the basic plane whose NFKD, without marks, is letters or digits of ASCII,
+    by rule: those that give one character (for translate), and those that give several."""
+    src, dst, longer = [], [], {}
+    for cp in [*range(0x00A0, 0xD800), *range(0xF900, 0x10000)]:
         ch = chr(cp)
-        parts = unicodedata.normalize("NFKD", ch)
-        base, marks = parts[:1], parts[1:]
-        if len(parts) > 1 and base.isascii() and base.isalpha() and all(unicodedata.combining(m) for m in marks):
+        folded = re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFKD", ch.lower()))
+        if folded == ch or not re.fullmatch("[a-z0-9]+", folded.lower()):
+            continue
+        if len(folded) == 1:
             src.append(ch)
-            dst.append(base.lower())
-    return "".join(src), "".join(dst)
+            dst.append(folded)
+        elif len(folded) > 1:
+            longer.setdefault(folded, "")
+            longer[folded] += ch
+    return "".join(src), "".join(dst), longer
 
 
-ACCENTS_FROM, ACCENTS_TO = _accent_table()
+ACCENTS_FROM, ACCENTS_TO, LIGATURES = _folds()
+# The combining marks that folding removes, and ligatures' first letters that names use.
+_MARKS = "[\u0300-\u036f]"
 
 
 def normalize_text(c) -> F.Column:
-    """Lower case, fold accents, non-alphanumerics to blanks, collapse blanks, trim."""
+    """Lower case, fold to base letters (NFKD without marks), non-alphanumerics to blanks, collapse blanks, trim."""
     c = F.col(c) if isinstance(c, str) else c
-    t = F.translate(F.lower(c), ACCENTS_FROM, ACCENTS_TO)
+    t = F.translate(F.regexp_replace(F.lower(c), _MARKS, ""), ACCENTS_FROM, ACCENTS_TO)
+    for letters in ("ff", "fi", "fl", "ffi", "ffl", "st", "ij", "lj", "nj", "dz"):
+        if letters in LIGATURES:
+            t = F.regexp_replace(t, f"[{LIGATURES[letters]}]", letters)
     t = F.regexp_replace(t, f"[^a-z0-9\\s{_EXTRA_WS}]", " ")
     t = F.regexp_replace(t, f"[\\s{_EXTRA_WS}]+", " ")
     return F.regexp_replace(t, "^ | $", "")

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count proved it at or under this many rows.
-BROADCAST_ROW_LIMIT = 1_000_000
+# A side is broadcast only when a count proved its size at or under this many bytes.
+BROADCAST_BYTES = 128 << 20
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None) -> DataFrame:
+def broadcast_if_small(df: DataFrame, known_rows: int | None = None, row_bytes: int = 256) -> DataFrame:
     """Hint a broadcast only after checking the row count; else leave it to a shuffle join.
 
     `df` should be small by construction (one row per period, per group, per request
     batch); the check is what makes that a proven bound instead of an assumption.
-    `known_rows` is an already proven upper bound (e.g. a counted input), which
-    spares the counting job.
+    `row_bytes` is what a row of `df` takes at most; `known_rows` is an already proven
+    upper bound (e.g. a counted input), which spares the counting job.
     """
+    limit = max(1, BROADCAST_BYTES // row_bytes)
     if known_rows is not None and known_rows <= limit:
         return F.broadcast(df)
     if df.limit(limit + 1).count() <= limit:

@@ -64,19 +64,24 @@ def metrics_summary(metrics: DataFrame) -> DataFrame:
     return metrics.select(*present, F.struct(*present).alias("overall"))
 
 
-def load_or_build_features(spark: SparkSession, path: str, build, rebuild: bool = True) -> DataFrame:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at `path`, in whatever file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def load_or_build_features(spark: SparkSession, path: str, build, rebuild: bool = True, time: str = "period") -> DataFrame:
     """Read a written feature table, or build and write it first (X15: rebuild by default).
 
-    The table is written partitioned by period: latest-period scoring and
-    per-period reads then prune partitions instead of scanning the table, and
-    the written table cuts the lineage of the panel build."""
-    if not rebuild:
-        try:
-            return standardize_features(spark.read.parquet(path))
-        except Exception:  # noqa: BLE001 - absent table: build it
-            pass
-    write_table(build(), path, partition_by=["period"])
-    return standardize_features(spark.read.parquet(path))
+    `time` is `period` for the yearly table and `month` for the monthly one. The
+    table is written partitioned by it: latest-period scoring and per-period reads
+    then prune partitions instead of scanning the table, and the written table cuts
+    the lineage of the panel build. A table that is there but can't be read raises;
+    it is never overwritten unless `rebuild` asks for that."""
+    standardize = {"period": standardize_features, "month": standardize_monthly_features}[time]
+    if rebuild or not table_exists(spark, path):
+        write_table(build(), path, partition_by=[time])
+    return standardize(spark.read.parquet(path))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:

@@ -84,19 +84,19 @@ def rolling_mean(col: str, k: int, w: str = "w") -> str:
 
 # ---------------------------------------------------------------- inputs ----
 
-B1 = """SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS entity,
+B1 = """SELECT (CASE WHEN length(CAST(user_id AS VARCHAR)) < 5 THEN lpad(CAST(user_id AS VARCHAR), 5, '0') ELSE CAST(user_id AS VARCHAR) END) AS entity,
        CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS period,
        CAST(count(*) AS DOUBLE) AS exposure_count,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS rate
 FROM events GROUP BY 1, 2"""
 
-B2 = """SELECT lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS entity,
+B2 = """SELECT (CASE WHEN length(CAST(o_custkey AS VARCHAR)) < 5 THEN lpad(CAST(o_custkey AS VARCHAR), 5, '0') ELSE CAST(o_custkey AS VARCHAR) END) AS entity,
        CAST(year(o_orderdate) AS INTEGER) AS period,
        CAST(count(*) AS DOUBLE) AS exposure_count,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS rate
 FROM orders GROUP BY 1, 2"""
 
-B3 = """SELECT lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS entity,
+B3 = """SELECT (CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 5 THEN lpad(CAST(l_suppkey AS VARCHAR), 5, '0') ELSE CAST(l_suppkey AS VARCHAR) END) AS entity,
        CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000 AS rate
 FROM lineitem GROUP BY 1, 2"""
@@ -485,8 +485,8 @@ SELECT outcome_period, level, {_pct('precision_at_top_quartile')} AS precision_t
 # --------------------------------------------------------- request scoring ----
 
 REQUESTS = """SELECT event_id AS request_id,
-  CASE WHEN event_id % 6 = 0 THEN lpad(CAST(user_id AS VARCHAR), 5, '0')
-       WHEN event_id % 6 = 1 THEN '0' || lpad(CAST(user_id AS VARCHAR), 5, '0')
+  CASE WHEN event_id % 6 = 0 THEN (CASE WHEN length(CAST(user_id AS VARCHAR)) < 5 THEN lpad(CAST(user_id AS VARCHAR), 5, '0') ELSE CAST(user_id AS VARCHAR) END)
+       WHEN event_id % 6 = 1 THEN '0' || (CASE WHEN length(CAST(user_id AS VARCHAR)) < 5 THEN lpad(CAST(user_id AS VARCHAR), 5, '0') ELSE CAST(user_id AS VARCHAR) END)
        WHEN event_id % 6 = 2 THEN ' ' || CAST(user_id AS VARCHAR) || ' '
        WHEN event_id % 6 = 3 THEN '99999'
        WHEN event_id % 6 = 4 THEN '   '

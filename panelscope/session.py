@@ -61,16 +61,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
-    On a cluster the setting must name a shared file system and is left alone.
-    Only when it is unset (local tests) do we point it at a fresh scratch folder.
+    A folder already set on the context wins, then the setting. Only a local
+    session (one machine) may have neither; it then gets a fresh scratch folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local_dir = tempfile.mkdtemp(prefix="panelscope-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local_dir)
-    spark.sparkContext.setCheckpointDir(local_dir)
-    return local_dir
+    of_context = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if of_context.isDefined():
+        return of_context.get()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="panelscope-ckpt-")
+    spark.sparkContext.setCheckpointDir(configured)
+    return configured

@@ -29,7 +29,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _key(c) -> F.Column:
-    return F.lpad(c.cast("string"), KEY_WIDTH, "0")
+    """Zero-padded to the key width; a longer id stays whole, so ids never merge."""
+    text = c.cast("string")
+    return F.when(F.length(text) < KEY_WIDTH, F.lpad(text, KEY_WIDTH, "0")).otherwise(text)
 
 
 def _rate(total, count) -> F.Column:

@@ -1,5 +1,7 @@
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelscope.operators import clean as C
@@ -75,3 +77,36 @@ def test_train_job_writes_artifacts_and_audit(spark):
     JB.export_training_audit(f, f"{d}/audit")
     counts = spark.read.option("header", True).csv(f"{d}/audit/training_filter_counts")
     assert counts.count() == 10
+
+
+def test_monthly_load_or_build_round_trip(spark):
+    d = tempfile.mkdtemp()
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.createDataFrame(
+            [("00001", "2020-01-01", 1, 0.5, 0.5, 0.25, 1)],
+            "entity string, month string, y int, lag_1 double, lag_3_mean double, lag_12_mean double, month_of_year int",
+        )
+
+    a = JB.load_or_build_features(spark, f"{d}/m", build, rebuild=False, time="month")
+    b = JB.load_or_build_features(spark, f"{d}/m", build, rebuild=False, time="month")
+    assert len(built) == 1
+    assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()]
+    assert str(b.first().month) == "2020-01-01"
+
+
+def test_a_corrupt_table_raises_and_stays(spark):
+    d = tempfile.mkdtemp()
+    os.makedirs(f"{d}/t")
+    for name in ("part-0.parquet", "other.txt"):
+        with open(f"{d}/t/{name}", "w") as f:
+            f.write("not a table")
+
+    def build():
+        raise AssertionError("must not be built")
+
+    with pytest.raises(Exception):  # noqa: B017 - whatever Spark's reader raises
+        JB.load_or_build_features(spark, f"{d}/t", build, rebuild=False).collect()
+    assert sorted(os.listdir(f"{d}/t")) == ["other.txt", "part-0.parquet"]

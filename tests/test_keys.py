@@ -38,3 +38,19 @@ def test_month_floor(spark):
     got = apply(spark, month_floor, ["2024-03-17", "2024-03", "03/17/2024", "2024-03-17 10:11:12.5", "x", None])
     m = dt.date(2024, 3, 1)
     assert got == [m, m, m, m, None, None]
+
+
+def test_wider_request_keys(spark):
+    df = spark.createDataFrame([(v,) for v in ["100000", "01000001", "12345678", "7"]], "x string")
+    got = [r[0] for r in df.select(normalize_key_request("x", 7)).collect()]
+    assert got == ["0100000", "1000001", None, "0000007"]
+
+
+def test_panel_keys_never_merge(spark, tmp_path):
+    rows = [(10000, "2024-01-02 00:00:00", 1.0), (100000, "2024-01-02 00:00:00", 2.0), (1000001, "2024-01-02 00:00:00", 3.0), (7, "2024-01-02 00:00:00", 4.0)]
+    events = spark.createDataFrame(rows, "user_id long, ts string, value double").selectExpr("user_id", "cast(ts as timestamp) as ts", "value")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    from panelscope.sources.tables import events_daily
+
+    got = {r.entity for r in events_daily(spark, str(tmp_path)).collect()}
+    assert got == {"10000", "100000", "1000001", "00007"}

@@ -25,7 +25,7 @@ def test_direct_path_matches_numpy(spark):
     _check(spark, {"a": rng.normal(size=50).tolist(), "b": [1, 1, 1, 2], "c": [5]}, 10**6)
 
 
-def test_sketch_band_path_matches_numpy(spark):
+def test_bucketed_path_matches_numpy(spark):
     rng = np.random.default_rng(2)
     big = rng.exponential(size=3000).round(3).tolist()  # many ties
     _check(spark, {"a": big, "b": rng.normal(size=700).tolist(), "c": [3, 1, 2]}, direct_limit=100)
@@ -37,6 +37,27 @@ def test_hot_value_group(spark):
     _check(spark, {"hot": vals}, direct_limit=50)
 
 
+def test_no_task_holds_the_copies_of_a_hot_value(spark):
+    """Half of all rows are one value: what is ranked are distinct values, in buckets."""
+    from unittest import mock
+
+    from panelscope.operators import quantiles
+
+    df = spark.range(4000).selectExpr("case when id % 2 = 0 then 9.0d else cast(id as double) / 7 end as v")
+    seen = {}
+
+    def spy(counts, *args, **kwargs):
+        seen["rows"] = counts.count()
+        return real(counts, *args, **kwargs)
+
+    real = quantiles.ordered_prefix_sums
+    with mock.patch.object(quantiles, "ordered_prefix_sums", spy):
+        r = exact_quantiles(df, "v", [0.25, 0.5], names=["a", "b"], direct_limit=100).first()
+    values = np.array([9.0 if i % 2 == 0 else i / 7 for i in range(4000)])
+    assert (r.a, r.b) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5])), rel=1e-12)
+    assert seen["rows"] == len(set(values))
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=60))
 def test_property_any_small_list(spark, xs):

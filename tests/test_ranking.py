@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from panelscope.operators import ranking as RK
 
@@ -69,7 +70,7 @@ def test_percentile_is_cume_dist(spark):
         assert r.risk_percentile == pytest.approx((sub.risk_score <= r.risk_score).mean() * 100)
 
 
-def test_top_share_flags_hot_tie_at_cut_uses_distributed_descent(spark):
+def test_top_share_flags_hot_tie_at_cut_in_ranges(spark):
     # a third of each period ties at the cut score: the tie pass must still be exact
     rows = []
     for g in (1, 2):
@@ -84,3 +85,25 @@ def test_top_share_flags_hot_tie_at_cut_uses_distributed_descent(spark):
         want = set(sub.sort_values(["risk_score", "entity", "period"], ascending=[False, True, True]).head(k).entity)
         got = set(out[(out.outcome_period == g) & (out.predicted_top_quartile == 1)].entity)
         assert got == want and len(out[out.outcome_period == g]) == len(sub)
+
+
+def test_top_share_flags_keep_null_scores_and_groups(spark):
+    rows = [("a", 1, 0.9), ("b", 1, None), ("c", 1, 0.1), ("d", None, 0.5), ("e", None, 0.4), ("f", None, None)]
+    df = spark.createDataFrame(rows, "entity string, period int, risk_score double")
+    for limit in (10**6, 0):
+        out = RK.top_share_flags(df, ["period"], "risk_score", ["entity"], out="f", direct_limit=limit)
+        assert {r.entity: r.f for r in out.collect()} == {"a": 1, "b": None, "c": 0, "d": 1, "e": 0, "f": None}
+
+
+def test_auc_of_billions_of_rows(spark):
+    from unittest import mock
+
+    from panelscope.operators import ranking
+
+    pre = spark.createDataFrame(
+        [(4 * 10**9, 0, 0, 4 * 10**9, 6 * 10**9), (0, 6 * 10**9, 0, 4 * 10**9, 6 * 10**9)],
+        "__pos long, __neg long, __neg_before long, __pos_total long, __neg_total long",
+    ).withColumn("__neg_before", F.when(F.col("__pos") > 0, F.lit(6 * 10**9)).otherwise(F.lit(0)))
+    rows = spark.createDataFrame([(1, 0.5), (0, 0.2)], "y int, risk_score double")
+    with mock.patch.object(ranking, "ordered_prefix_sums", return_value=pre):
+        assert ranking.roc_auc(rows, []).first().auc == 1.0

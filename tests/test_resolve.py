@@ -35,3 +35,11 @@ def test_hot_query_ships_partial_top_k(spark):
     assert out.count() == 12
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_folding_of_marks_and_widths(spark):
+    from panelscope.operators.resolve import normalize_text
+
+    names = ["Doña Ana", "Nguyễn", "Ａbc", "Straße", "ﬁord", "O’Brien 2²"]
+    df = spark.createDataFrame([(n,) for n in names], "x string")
+    assert [r[0] for r in df.select(normalize_text("x")).collect()] == ["dona ana", "nguyen", "abc", "stra e", "fiord", "o brien 22"]

@@ -1,7 +1,7 @@
 """The sketch / bucket code paths used at scale, checked against SQL on real data.
 
-With PANELSCOPE_DIRECT_LIMIT=40 every group above 40 rows takes the distributed
-path (sketch bands for quantiles, bucketed prefix sums for ranks and AUC)."""
+With a direct limit of 40 every group above 40 values takes the distributed path
+(bucketed prefix sums for quantiles, ranks and AUC; ranges for ties at a cut)."""
 
 import os
 import subprocess
@@ -13,8 +13,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def test_oracles_hold_on_the_scale_paths():
     names = ["sample_weight", "period_threshold_flag", "yearly_features", "risk_percentile", "flag_top_quartile",
              "roc_auc", "score_distribution", "calibration_deciles", "roc_points", "monthly_features"]
-    env = dict(os.environ, PANELSCOPE_DIRECT_LIMIT="40")
-    out = subprocess.run([sys.executable, os.path.join(ROOT, "tools", "oracle_check.py"), *names],
-                         env=env, capture_output=True, text=True, timeout=1500)
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "tools", "oracle_check.py"), "--direct-limit", "40", *names],
+                         capture_output=True, text=True, timeout=1500)
     assert out.returncode == 0, out.stdout[-3000:]
     assert out.stdout.count(" OK ") == len(names)
