@@ -97,3 +97,53 @@ def judged(pages: DataFrame, labels: DataFrame) -> DataFrame:
     rule, verdict = rule_columns(F.col("host"), F.col("path"))
     by_method = F.when(F.col("bound") > MOST_BAD, "block").otherwise("allow")
     return parts.join(bounds, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"), F.round("rate", 6).alias("bad_rate"))
+
+
+def _level(name: str, source: str, parent: str) -> str:
+    """CTEs that shrink the rates of `source` (n, bad, parent: its parent's rate)."""
+    return f"""
+{name}_in AS ({parent}),
+{name}_m AS (
+  SELECT round(1 / greatest(least(coalesce(
+      sum(n * (bad / n - parent) * (bad / n - parent) / (parent * (1 - parent)) - 1) / nullif(sum(n - 1), 0),
+      {RHO_LOW}::DOUBLE), {RHO_HIGH}::DOUBLE), {RHO_LOW}::DOUBLE) - 1, 6) AS m
+  FROM {name}_in WHERE parent > 0 AND parent < 1),
+{name} AS (
+  SELECT i.*, m, (bad + m * parent) / (n + m) AS rate FROM {source} i, {name}_m)"""
+
+
+_NAMES = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
+_CASES = [
+    (f"(host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{start}')", name + start, says)
+    for name, start, says in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+]
+ORACLE = rf"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s).*?://([^/?#]*)', 1), ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(?s).*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+o AS (
+  SELECT doc_id::BIGINT AS number, 1 - min(quality) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND quality IN (0, 1) GROUP BY 1),
+h AS (
+  SELECT host, count(*)::DOUBLE AS n, sum(o.bad)::DOUBLE AS bad FROM u
+  JOIN o ON o.number = try_cast(nullif(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1), '') AS BIGINT)
+  WHERE host <> '' GROUP BY 1),
+hosts AS (
+  SELECT *, CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_NAMES})
+           THEN array_to_string(string_split(host, '.')[-3:], '.') ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain,
+         CASE WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_NAMES})
+           THEN array_to_string(string_split(host, '.')[-2:], '.') ELSE string_split(host, '.')[-1] END AS suffix FROM h),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2),
+suffixes AS (
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT sum(bad) / sum(n) FROM hosts) AS parent FROM hosts GROUP BY 1),{
+    _level("s", "s_in", "SELECT * FROM suffixes")},{
+    _level("d", "d_in", "SELECT domains.*, s.rate AS parent FROM domains JOIN s USING (suffix)")},{
+    _level("r", "r_in", "SELECT hosts.*, d.rate AS parent FROM hosts JOIN d USING (domain, suffix)")}
+SELECT page_id, u.host, path,
+  CASE {" ".join(f"WHEN {fits} THEN '{rule}'" for fits, rule, _ in [(c.replace("host", "u.host"), n, v) for c, n, v in _CASES])} END AS rule,
+  CASE {" ".join(f"WHEN {fits} THEN '{says}'" for fits, _, says in [(c.replace("host", "u.host"), n, v) for c, n, v in _CASES])}
+    WHEN rate - {Z}::DOUBLE * sqrt(rate * (1 - rate) / (r.n + m + 1)) > {MOST_BAD}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict,
+  round(rate, 6) AS bad_rate
+FROM u LEFT JOIN r ON r.host = u.host
+"""

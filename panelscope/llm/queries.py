@@ -74,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op8_url_reputation": host_reputation.ORACLE,
     "op9_source_mix": mixture.ORACLE,
 }
