@@ -1,9 +1,9 @@
 """Name lookup: text normalisation, display names and batch name resolution.
 
 Resolution is an equi-join, not a scan of all (name, query) pairs: each
-normalised name emits its substrings of exactly the lengths that occur among
-the queries (a handful), tagged with their start position, and those are
-joined to the queries on (length, text). Position 0 is a prefix match (tier 0),
+normalised name emits its distinct substrings of exactly the lengths that occur
+among the queries (a handful), each once with its first position, and those are
+joined to the queries on (length, text), so a query meets a name once. Position 0 is a prefix match (tier 0),
 any other position a contained match (tier 1). The first `max_results` per
 query by (tier, file order) come from a `row_number() <= k` filter, which Spark
 turns into a per-task partial top-k before the shuffle, so a query matching a
@@ -94,17 +94,19 @@ def resolve_names(lookup: DataFrame, queries: DataFrame, max_results: int = MAX_
     names = clean_lookup(lookup)
     lens = lens or [MIN_QUERY_LENGTH]  # no valid query: same plan, empty result
     nlen = F.length("norm_name")
-    grams = F.flatten(F.transform(
-        F.filter(F.array(*[F.lit(n) for n in lens]), lambda n: n <= nlen),
-        lambda n: F.transform(F.sequence(F.lit(1), nlen - n + 1),
-                              lambda i: F.struct(n.alias("q_len"), (i - 1).alias("pos"),
-                                                 F.substring("norm_name", i, n).alias("gram"))),
-    ))
+
+    def of_length(n):
+        """Each distinct substring of the length, with its first position."""
+        every = F.transform(F.sequence(F.lit(1), nlen - n + 1), lambda i: F.substring("norm_name", i, n))
+        return F.transform(
+            F.array_distinct(every),
+            lambda g: F.struct(n.alias("q_len"), (F.array_position(every, g) - 1).alias("pos"), g.alias("gram")),
+        )
+
+    grams = F.flatten(F.transform(F.filter(F.array(*[F.lit(n) for n in lens]), lambda n: n <= nlen), of_length))
     cand = names.select("key", "name", "group_code", "ord", F.inline(grams))
     matches = cand.join(broadcast_if_small(q), (cand["q_len"] == q["q_len"]) & (cand["gram"] == q["q_norm"]))
-    best = matches.groupBy("query_id", "query_text", "key", "name", "group_code", "ord").agg(
-        F.min(F.when(F.col("pos") == 0, 0).otherwise(1)).alias("tier")
-    )
+    best = matches.withColumn("tier", F.when(F.col("pos") == 0, 0).otherwise(1))
     w = Window.partitionBy("query_id").orderBy("tier", "ord")
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_results).select(
         "query_id", "query_text", "rank", "key", "name", "group_code",

@@ -58,6 +58,17 @@ def entity_bounds(features: DataFrame, model_features: Sequence[str]) -> DataFra
     )
 
 
+def scored_table(
+    features: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    model_features: Sequence[str],
+    size_bound: int | None = None,
+) -> DataFrame:
+    """Scores and within-period percentiles of all scoreable rows of `features`."""
+    scored = score(features.dropna(subset=list(model_features))).select("entity", "period", "risk_score", *model_features)
+    return percentile_in_group(scored, ["period"], "risk_score", out="risk_percentile_in_period", size_bound=size_bound)
+
+
 def score_requests(
     requests: DataFrame,
     features: DataFrame,
@@ -67,25 +78,27 @@ def score_requests(
     model_type: str,
     bounds: tuple[int, int] = YEAR_BOUNDS,
     size_bound: int | None = None,
+    scored: DataFrame | None = None,
 ) -> DataFrame:
     """`requests(request_id, raw_key, as_of_period)` -> one scored row per request.
 
     `score(df)` adds `risk_score` to feature rows (a fitted model's `transform`
-    or an explicit-parameter expression)."""
+    or an explicit-parameter expression). `scored`, if given, is `scored_table`
+    of the same features, made once for many batches; otherwise only the
+    requested periods are scored. Invalid requests have no entity to look up and
+    go round the joins."""
     req = validate_requests(requests, bounds=bounds)
     keys = req.where(~F.col("invalid")).select("entity", "as_of_period").distinct()
-    info = entity_bounds(features, model_features)
+    wanted = keys.select("entity").distinct()
+    info = entity_bounds(features.join(wanted, "entity", "left_semi"), model_features)
     resolved = keys.join(info, "entity", "left").withColumn(
         "resolved_period", F.coalesce(F.col("as_of_period"), F.col("available_periods_max"))
     ).persist()  # read by the period filter and by the final join
 
-    scoreable = features.dropna(subset=list(model_features))
-    periods = broadcast_if_small(resolved.where(F.col("resolved_period").isNotNull())
-                                 .select(F.col("resolved_period").alias("period")).distinct())
-    in_periods = scoreable.join(periods, "period", "left_semi")
-    scored = score(in_periods).select("entity", "period", "risk_score", *model_features)
-    scored = percentile_in_group(scored, ["period"], "risk_score", out="risk_percentile_in_period",
-                                 size_bound=size_bound)
+    if scored is None:
+        periods = broadcast_if_small(resolved.where(F.col("resolved_period").isNotNull())
+                                     .select(F.col("resolved_period").alias("period")).distinct())
+        scored = scored_table(features.join(periods, "period", "left_semi"), score, model_features, size_bound)
 
     hit = resolved.join(
         scored.withColumnRenamed("period", "resolved_period").withColumn("__hit", F.lit(True)),
@@ -100,7 +113,7 @@ def score_requests(
     hit = (hit.withColumn("status", status)
            .withColumnRenamed("entity", "__h_entity").withColumnRenamed("as_of_period", "__h_as_of"))
     on = (F.col("entity") == F.col("__h_entity")) & F.col("as_of_period").eqNullSafe(F.col("__h_as_of"))
-    out = req.join(hit, on, "left")
+    out = req.where(~F.col("invalid")).join(hit, on, "left").unionByName(req.where("invalid"), allowMissingColumns=True)
     is_ok = F.col("status") == OK
     st = F.when(F.col("invalid"), F.lit(INVALID)).otherwise(F.col("status"))
     features_map = F.create_map(*[x for c in model_features for x in (F.lit(c), F.col(c).cast("double"))])

@@ -2,7 +2,7 @@
 
 Request files landing in a folder are read with `readStream`; each micro-batch
 is scored by the same batch plan as `score_requests` (stream-static join with
-the feature table) and appended to a Parquet sink. The query is stateless, so
+the feature table, whose scores and percentiles are computed once at the start) and appended to a Parquet sink. The query is stateless, so
 no watermark is needed; the checkpoint makes it restartable after a failure
 (exactly-once for the file sink via the batch id in the output path).
 """
@@ -14,7 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.scoring import YEAR_BOUNDS, score_requests
+from ..operators.scoring import YEAR_BOUNDS, score_requests, scored_table
+from ..operators.util import materialize
 
 REQUEST_SCHEMA = "request_id long, raw_key string, as_of_period int"
 
@@ -38,11 +39,14 @@ def start_request_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     requests = reader.parquet(requests_dir)
+    # The static side: scored and ranked once, not for each batch.
+    static = materialize(scored_table(features, score, model_features))
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_requests(batch, features, score, model_features, model_version, model_type, bounds)
+        out = score_requests(batch, features, score, model_features, model_version, model_type, bounds, scored=static)
         # One folder per batch id: a replayed batch overwrites its own output (idempotent).
-        scored.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
+        out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
+        batch.sparkSession.catalog.clearCache()  # what the batch persisted
 
     writer = requests.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
