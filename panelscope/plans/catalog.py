@@ -116,6 +116,15 @@ def q_invalid_row_counts(spark, sf):
     return C.invalid_row_counts(R.raw_yearly_text(spark, sf))
 
 
+def q_invalid_row_counts_monthly(spark, sf):
+    return C.invalid_row_counts_monthly(R.raw_monthly_text(spark, sf))
+
+
+def q_weight_audit(spark, sf):
+    panel = T.events_daily(spark, sf).withColumn("implied_exposure", C.implied_exposure())
+    return _r(C.weight_audit(panel), {"weight_cap"})
+
+
 def q_clean_panel(spark, sf):
     panel = C.clean_panel(R.raw_yearly_text(spark, sf))
     return _r(panel, {"exposure_count", "rate", "implied_exposure", "sample_weight"})
@@ -518,14 +527,24 @@ def q_model_metadata(spark, sf):
 
 # --------------------------------------------------------- request scoring ----
 
-def q_score_requests(spark, sf):
+def _scored_requests(spark, sf):
     ev = events_pipeline(spark, sf)
-    out = SCO.score_requests(
+    return SCO.score_requests(
         T.event_requests(spark, sf), ev.features,
         lambda df: df.withColumn("risk_score", fixed_score()),
         FE.YEARLY_FEATURE_COLUMNS, "fixed-params", "logistic_fixed_params", bounds=T.EVENT_PERIOD_BOUNDS,
         size_bound=ev.rows,
     )
+
+
+def q_features_used(spark, sf):
+    """The nested map of features behind each score, a row for each entry."""
+    out = _scored_requests(spark, sf).select("request_id", F.explode("features_used").alias("feature", "value"))
+    return _r(out, {"value"})
+
+
+def q_score_requests(spark, sf):
+    out = _scored_requests(spark, sf)
     return _r(out.drop("features_used"), {"risk_percentile_in_period", "feature_lag_1", "feature_lag_3_mean_obs",
                                           "feature_lag_5_mean_obs", "feature_periods_since_last_obs"})
 
@@ -583,6 +602,10 @@ def q_standardize_features(spark, sf):
     return _r(JB.standardize_features(_as_text(blanked)), FEATURE_DOUBLES)
 
 
+def q_standardize_monthly_features(spark, sf):
+    return _r(JB.standardize_monthly_features(_as_text(supplier_features(spark, sf))), {"lag_1", "lag_3_mean", "lag_12_mean"})
+
+
 def q_split_semi_anti(spark, sf):
     lab = TR.labelled_rows(events_features(spark, sf))
     held = TR.latest_k_periods(lab, 2, "outcome_period")
@@ -599,6 +622,10 @@ QUERIES = {
     "coerce_numeric": q_coerce_numeric,
     "month_floor": q_month_floor,
     "invalid_row_counts": q_invalid_row_counts,
+    "invalid_row_counts_monthly": q_invalid_row_counts_monthly,
+    "weight_audit": q_weight_audit,
+    "standardize_monthly_features": q_standardize_monthly_features,
+    "features_used": q_features_used,
     "clean_panel": q_clean_panel,
     "clean_panel_monthly": q_clean_panel_monthly,
     "implied_exposure": q_implied_exposure,

@@ -596,3 +596,22 @@ ORACLES["yearly_features_raw"] = f"""WITH {CLEAN_RAW_CTES.replace('panel AS (',
 panel AS (SELECT entity, period, avg(rate) AS rate, avg(sample_weight) AS sample_weight FROM wpanel GROUP BY 1, 2),
 {features_ctes()}
 {YEARLY_FEATURES_SELECT}"""
+
+ORACLES["invalid_row_counts_monthly"] = _raw_monthly(
+    f"""SELECT count(*) AS input_rows, count(*) FILTER (WHERE entity IS NULL) AS null_entity,
+      count(*) FILTER (WHERE entity IS NOT NULL AND month IS NULL) AS null_month,
+      count(*) FILTER (WHERE entity IS NOT NULL AND month IS NOT NULL AND rate IS NULL) AS null_rate,
+      count(*) FILTER (WHERE entity IS NULL OR month IS NULL OR rate IS NULL) AS dropped_rows,
+      count(*) FILTER (WHERE entity IS NOT NULL AND month IS NOT NULL AND rate IS NOT NULL) AS kept_rows
+    FROM (SELECT {norm_key_numeric('"County_FIPS"')} AS entity, {month_floor('"MONTH"')} AS month,
+      {coerce_double('"eviction filing rate"')} AS rate FROM raw)"""
+)
+ORACLES["weight_audit"] = f"""WITH b1 AS ({B1}), {weighted()}
+SELECT count(*) AS rows, count(*) FILTER (WHERE NOT coalesce(implied_exposure > 0, FALSE) OR weight_cap IS NULL) AS default_weight_rows,
+  count(*) FILTER (WHERE implied_exposure > weight_cap) AS capped_rows, {r6('max(weight_cap)')} AS weight_cap
+FROM imp LEFT JOIN cap ON TRUE"""
+ORACLES["standardize_monthly_features"] = ORACLES["monthly_features"]
+ORACLES["features_used"] = ORACLES["score_requests"].rsplit("SELECT request_id", 1)[0] + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT request_id, '{c}' AS feature, {r6(f'CAST({c} AS DOUBLE)')} AS value FROM st WHERE status = 'ok'"
+    for c in ("lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "periods_since_last_obs")
+) + ")"
