@@ -115,6 +115,9 @@ def model_metadata(spark: SparkSession, model: CalibratedLogit, train: DataFrame
     """One metadata row: version, periods, label, features, parameters, metrics, provenance."""
     ranges = period_ranges(train).first()
     params = model.params_row()
+    # Outcomes lie one period on; the monthly table has no such column.
+    outcomes = (train.agg(F.min("outcome_period"), F.max("outcome_period")).first()
+                if "outcome_period" in train.columns else (None, None))
     m = metrics.first().asDict(recursive=True) if metrics is not None else {}
     summary = {k: m.get(k) for k in ("test_rows", "auc", "precision_at_0_5", "recall_at_0_5")}
     row = {
@@ -124,12 +127,18 @@ def model_metadata(spark: SparkSession, model: CalibratedLogit, train: DataFrame
         "training_period_min": ranges["period_min"],
         "training_period_max": ranges["period_max"],
         "training_rows": ranges["rows"],
+        "outcome_period_min": outcomes[0],
+        "outcome_period_max": outcomes[1],
         "label_definition": LABEL_DEFINITION,
         "feature_list": list(model.features),
         "intercept": params["intercept"],
         "coefficients": params["coefficients"],
         "calibration_method": params["calibration"]["method"],
         "chosen_regularization_c": params["chosen_regularization_c"],
+        "regularization_candidates": [float(c) for c in model.c_candidates],
+        "calibration_time_values": [str(v) for v in model.calibration_time_values],
+        "metrics_test_period_start": None if m.get("test_period_start") is None else str(m["test_period_start"]),
+        "metrics_test_period_end": None if m.get("test_period_end") is None else str(m["test_period_end"]),
         "metrics_auc": summary.get("auc"),
         "metrics_precision_at_0_5": summary.get("precision_at_0_5"),
         "metrics_recall_at_0_5": summary.get("recall_at_0_5"),
@@ -146,9 +155,10 @@ def model_metadata(spark: SparkSession, model: CalibratedLogit, train: DataFrame
     }
     schema = (
         "model_version string, model_type string, trained_on_dataset_name string, training_period_min int, "
-        "training_period_max int, training_rows long, label_definition string, feature_list array<string>, "
+        "training_period_max int, training_rows long, outcome_period_min int, outcome_period_max int, label_definition string, feature_list array<string>, "
         "intercept double, coefficients map<string,double>, calibration_method string, "
-        "chosen_regularization_c double, metrics_auc double, metrics_precision_at_0_5 double, "
+        "chosen_regularization_c double, regularization_candidates array<double>, calibration_time_values array<string>, "
+        "metrics_test_period_start string, metrics_test_period_end string, metrics_auc double, metrics_precision_at_0_5 double, "
         "metrics_recall_at_0_5 double, metrics_test_rows long, limitations array<string>, "
         "provenance map<string,string>"
     )

@@ -1,5 +1,7 @@
 """Physical-plan checks: one entity shuffle for all windows, no Python, no cartesian product."""
 
+import re
+
 from panelscope.plans import catalog as CAT
 
 SF = "/root/testdata/sf0.001"
@@ -19,8 +21,6 @@ def test_yearly_features_plan_shape(spark):
     f = FE.yearly_features(p, unique_keys=True)
     plan = f._jdf.queryExecution().optimizedPlan().toString()
     phys = plan_text(f)
-    import re
-
     # lags, gap, label and outcome marker share one Window operator over one entity partitioning
     entity_windows = [ln for ln in phys.splitlines() if re.search(r"Window \[.*\], \[entity#\d+\]", ln)]
     assert len(entity_windows) == 1
@@ -33,9 +33,9 @@ def test_yearly_features_plan_shape(spark):
 def test_scan_prunes_columns(spark):
     from panelscope.sources import tables as T
 
-    df = T.events_daily(spark, SF)
-    phys = plan_text(df)
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in df._jdf.queryExecution().executedPlan().toString() or "event_type" not in phys
+    phys = plan_text(T.events_daily(spark, SF))
+    (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", phys)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"ts", "user_id", "value"}
 
 
 def test_no_nested_loop_cartesian_or_python_in_registered_queries(spark):
