@@ -47,6 +47,7 @@ PERCENT = 75  # least similarity of a link
 COORDINATES = 192
 TOGETHER = 4  # coordinates of one posting
 MATCHES = 111  # least equal coordinates of a candidate pair
+TASK_EDGES = 200_000  # links that one task turns into stars
 BLOCK = 512  # nodes of a block
 
 _rng = np.random.default_rng(20240501)
@@ -198,9 +199,37 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return links
 
 
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The edges of a task as stars: each node with the least node of its local component."""
+    parent: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch["a"], batch["b"], strict=True):
+            a, b = find(parent.setdefault(a, a)), find(parent.setdefault(b, b))
+            parent[max(a, b)] = min(a, b)
+    found = [(root, node) for node in parent if (root := find(node)) != node]
+    yield pd.DataFrame(found, columns=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, label): label is the least node reachable over `links` (a, b); nodes without a link are absent."""
-    edges = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    """(node, label): label is the least node reachable over `links` (a, b); nodes without a link are absent.
+
+    Each task first turns at most about TASK_EDGES links into stars, so that what is
+    propagated has few edges for each node and short ways; then least labels spread
+    over all stars until none changes.
+    """
+    given = stored(links, "given-links")
+    tasks = max(1, -(-given.count() // TASK_EDGES))
+    stars = given.coalesce(tasks).mapInPandas(_stars, "a binary, b binary")
+    stars = stored(stars, "stars")
+    edges = stored(stars.union(stars.select("b", "a")).distinct(), "edges")
+    released(given, stars)
     labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).withColumn("label", F.least("node", "label")), "labels")
     while True:
         near = edges.join(labels.toDF("b", "near"), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
