@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 TIERS = (2048, 1024, 512, 256)
 END = 1
 POOL = 1 << 20  # ids that a task gathers before it packs; at 4 bytes each
-CACHE = 1_000_000  # words
+CACHE = 500_000  # words; some 200 bytes each, kept by a worker over its tasks
 GROUP_TOKENS = 1 << 17
 
 
