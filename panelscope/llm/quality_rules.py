@@ -5,9 +5,8 @@ The ratio compares two multinomials over hashed byte 4-grams: a trusted target
 text's score is the mean log ratio of its n-grams, so it is in nats for each
 n-gram whatever the length. Every text is then held against fixed thresholds.
 
-Raw counts cover all documents. Target counts come from at most TRUSTED
-labelled documents, those with the least hash of their id: a fit on a bounded
-sample. Counts are integers, so reruns agree.
+Raw counts cover all documents, target counts all trusted ones; what is
+collected is a row for each bucket. Counts are integers, so reruns agree.
 
 Edge cases: null text is empty. A text without words has zero counts and score
 0, and fails the base rules (fewer than 20 words). Without any trusted document
@@ -25,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelscope.llm.words import code_points, not_space, slices, window_hashes, word_bounds, word_hashes
+from panelscope.operators.util import broadcast_if_small
 
-TRUSTED = 20_000  # most labelled documents that the target model is fitted on
 GRAM = 4  # bytes
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
@@ -57,34 +56,32 @@ def gram_buckets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return x[np.cumsum(inside[:-1]) > 0], cuts
 
 
-def counter(trusted: np.ndarray):
-    """Map function: n-gram counts of a partition, of all rows and of the trusted ones."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
-            for lo, hi, raw, offsets in slices(batch.column(1)):
-                x, cuts = gram_buckets(raw, offsets)
-                every += np.bincount(x, minlength=BUCKETS)
-                mine = np.isin(ids[lo:hi], trusted) & (batch.column(0).slice(lo, hi - lo).is_valid().to_numpy(zero_copy_only=False))
-                if mine.any():
-                    good += np.bincount(x[np.repeat(mine, np.diff(cuts))], minlength=BUCKETS)
-        seen = np.flatnonzero(every)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(every[seen]), pa.array(good[seen])], names=["bucket", "every", "good"])
-
-    return count
+def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map function over (trusted, text): n-gram counts of a partition, of all rows and of the trusted ones."""
+    every, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        trusted = batch.column(0).to_numpy(zero_copy_only=False)
+        for lo, hi, raw, offsets in slices(batch.column(1)):
+            x, cuts = gram_buckets(raw, offsets)
+            every += np.bincount(x, minlength=BUCKETS)
+            mine = trusted[lo:hi]
+            if mine.any():
+                good += np.bincount(x[np.repeat(mine, np.diff(cuts))], minlength=BUCKETS)
+    seen = np.flatnonzero(every)
+    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(every[seen]), pa.array(good[seen])], names=["bucket", "every", "good"])
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> np.ndarray:
-    """At most `most` ids of documents labelled good and not toxic: those with the least hash."""
+def trusted_flags(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """trusted, text of each row of `docs`: whether its document is labelled good and not toxic. Ids that are few are broadcast, so no text is shuffled."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    return np.sort(np.array([r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()], np.int64))
+    marked = broadcast_if_small(good.withColumn("trusted", F.lit(True)), row_bytes=64)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marked, "doc_id", "left")
+    return rows.select(F.coalesce("trusted", F.lit(False)).alias("trusted"), "text")
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """log p(bucket | target) - log p(bucket | raw), for each of BUCKETS buckets."""
-    counted = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(counter(trusted_ids(labels)), "bucket int, every long, good long")
+    counted = trusted_flags(docs, labels).mapInArrow(count, "bucket int, every long, good long")
     rows = counted.groupBy("bucket").agg(F.sum("every"), F.sum("good")).collect()  # BUCKETS rows at most
     every, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, n, m in rows:

@@ -78,6 +78,24 @@ def test_scores_equal_plain_log_ratios(documents, labels):
         assert abs(got[doc_id] - (ratio[b].mean() if b else 0)) < 1e-6
 
 
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than any fit samples, each with n-grams of its own kind."""
+    n = 24_000
+    docs = spark.range(2 * n).selectExpr("id as doc_id", "concat('w', id % 7, if(id % 2 = 0, ' good ', ' poor '), id % 11) as text")
+    labels = spark.range(2 * n).selectExpr("id as doc_id", "cast(id % 2 = 0 as int) as quality", "0 as toxic").union(spark.createDataFrame([(None, 1, 0), (0, 1, 0)], "doc_id long, quality int, toxic int"))
+    every, good = np.zeros(Q.BUCKETS), np.zeros(Q.BUCKETS)
+    for i in range(2 * n):
+        data = f"w{i % 7}{' poor ' if i % 2 else ' good '}{i % 11}".encode()
+        for k in range(len(data) - 3):
+            b = (int.from_bytes(data[k : k + 4], "little") * 0x9E3779B1 % 2**32) >> 16
+            every[b] += 1
+            good[b] += i % 2 == 0
+    want = np.log((good + 1) / (good + 1).sum()) - np.log((every + 1) / (every + 1).sum())
+    assert np.allclose(Q.log_ratios(docs, labels), want, atol=1e-12)
+    unknown = docs.union(spark.createDataFrame([(None, "no id")], "doc_id long, text string"))
+    assert Q.trusted_flags(unknown, labels).where("trusted").count() == n
+
+
 def test_rules_keep_good_and_drop_bad(documents, labels):
     rows = Q.quality_rules(documents, labels).where("not base_failed").join(labels, "doc_id").collect()
     assert all(r.kept for r in rows if r.quality == 1)
