@@ -4,12 +4,13 @@ A document's strength is a linear function of features of its text. Preference
 pairs (a document labelled 1 beats one labelled 0) give the weights by logistic
 loss on feature differences, with Newton's method and a small L2 penalty. The
 decision threshold is the score quantile at the share of label 0 among the
-labels, and a score is the chance, under the same model, that the document
-beats one that lies on the threshold.
+labelled documents, and a score is the chance, under the same model, that the
+document beats one that lies on the threshold.
 
-Only labels whose crc32(doc_id as text) mod 3 is not 1 are learned from, at most
-SAMPLE for each label (least hash of the id): a bounded sample. Inputs of a
-score are functions of the text alone.
+Only labels whose crc32(doc_id as text) mod 3 is not 1 are learned from: the
+weights from at most SAMPLE for each label (least hash of the id), a bounded
+sample; the threshold, an exact quantile, from all of them. Inputs of a score
+are functions of the text alone.
 
 Edge cases: a null or empty text has all-zero counts and gets a score from
 them. Without labels of both kinds every score is 0.5. Repeated rows are scored
@@ -27,12 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelscope.llm.quality_rules import statistics
+from panelscope.llm.store import released, stored
 from panelscope.llm.words import code_points, slices, word_bounds, word_hashes
+from panelscope.operators.prefix import BUCKET_ROWS
+from panelscope.operators.quantiles import exact_quantiles
+from panelscope.operators.util import broadcast_if_small
 
 SAMPLE = 3000  # most labelled documents of either label that the weights are fitted on
 OPPONENTS = 8  # pairs for each document of the sample
 PENALTY = 1e-2
 STEPS = 25
+DIRECT, RANGES = 250, 64  # the threshold's scores are sorted in this many ranges, or more when a range passes BUCKET_ROWS; up to DIRECT scores in one
 
 
 def _mask(lo: str, hi: str) -> np.ndarray:
@@ -102,7 +108,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class Ranking:
-    """Weights, scaling and threshold."""
+    """Weights, scaling and threshold; the threshold is that of the sample until `fit` sets the one of all labelled documents."""
 
     def __init__(self, good: np.ndarray, bad: np.ndarray, share_bad: float):
         both = np.concatenate([good, bad])
@@ -125,8 +131,11 @@ class Ranking:
         after = scores[order][min(at + 1, len(order) - 1)]
         self.threshold = (scores[order][min(at, len(order) - 1)] + after) / 2
 
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return ((x - self.mean) / self.scale * self.weights).sum(1)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(((x - self.mean) / self.scale * self.weights).sum(1) - self.threshold)
+        return _sigmoid(self.margin(x) - self.threshold)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -141,8 +150,28 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), rows], names=["doc_id", "x"])
 
 
+def threshold(model: Ranking, docs: DataFrame, known: DataFrame, n_known: int) -> float:
+    """The score half way between the last of label 0's share and the next, over all documents of `known` (doc_id, quality)."""
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, raw, offsets in slices(batch.column(2)):
+                margin = np.round(model.margin(features(raw, offsets)), 9)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(lo, hi - lo) for k in (0, 1)), pa.array(margin)], names=["doc_id", "quality", "margin"])
+
+    labelled = broadcast_if_small(known, n_known, row_bytes=64)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(labelled, "doc_id").select("doc_id", "quality", "text")
+    scored = rows.mapInArrow(margins, "doc_id long, quality int, margin double").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("margin").alias("margin"))
+    scored = stored(scored, "rank-margins")
+    n, bad = scored.agg(F.count(F.lit(1)), F.sum(1 - F.col("quality"))).first()
+    at = min(max((bad - 0.5) / (n - 1), 0.0), 1.0)
+    value = exact_quantiles(scored, "margin", [at], names=["cut"], direct_limit=min(BUCKET_ROWS, max(DIRECT, n // RANGES)), size_bound=n).first()["cut"]
+    released(scored)
+    return value
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | None:
-    """Weights from at most `sample` documents of each label; None without both labels."""
+    """Weights from at most `sample` documents of each label, threshold from all labelled ones; None without both labels."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
@@ -162,7 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | N
     x = {label: np.array([r[1] for r in sorted(rows) if chosen[r[0]] == label]) for label in (0, 1)}
     if not len(x[0]) or not len(x[1]):
         return None
-    return Ranking(x[1], x[0], counts[0] / (counts[0] + counts[1]))
+    n_known = counts[0] + counts[1]
+    model = Ranking(x[1], x[0], counts[0] / n_known)
+    model.threshold = threshold(model, docs, known, n_known)
+    return model
 
 
 def scorer(model: Ranking | None):

@@ -25,6 +25,21 @@ def test_pairwise_fit_orders_and_cuts_at_the_quantile():
     assert (model.score(good).mean() > 0.8) and (model.score(bad).mean() < 0.2)
 
 
+def test_threshold_covers_all_labelled_documents(spark):
+    """A small fit sample does not set the cut: as many labelled documents fall below it as have label 0."""
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = R.fit(documents, labels, sample=20)
+    known = labels.where("quality in (0, 1)").where(~R.held_out(labels.doc_id)).select("doc_id", "quality")
+    rows = R.quality_scores(documents, labels, sample=20).join(known, "doc_id").collect()
+    bad = sum(r.quality == 0 for r in rows)
+    texts = sorted(documents.join(known, "doc_id", "left_semi").select("text").collect())
+    raw = [(t.text or "").encode() for t in texts]
+    margins = np.sort(np.round(model.margin(R.features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))), 9))
+    assert len(margins) == len(rows) > 250 and 20 < bad < len(rows)
+    assert abs(model.threshold - (margins[bad - 1] + margins[bad]) / 2) < 1e-8
+    assert abs(sum(r.predicted == 0 for r in rows) - bad) <= 2
+
+
 def test_scores_ignore_order_and_neighbours(spark, documents, labels):
     a = {r.doc_id: r.score for r in R.quality_scores(documents, labels).collect()}
     b = {r.doc_id: r.score for r in R.quality_scores(documents.repartition(7), labels).collect()}
