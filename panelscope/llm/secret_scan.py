@@ -6,28 +6,32 @@ tokens. The layer with its escapes of one sort decoded is a new layer, as is a
 decoded base64 token and what a base64 token decompresses
 to (gzip, zlib, bzip2 or xz), and goes back on the worklist until nothing new
 appears. A layer already seen for the same range is not opened again, which
-ends cycles; each decoding shortens the text, except decompression, which ends
-at MOST_UNPACKED bytes: a larger layer is counted in n_too_large, not cut.
+ends cycles; each decoding shortens the text, except decompression. Compressed
+data is found anywhere in decoded bytes and read through all its members. What
+unpacks to more than MOST_UNPACKED bytes is read on in overlapping windows, up to
+MOST_DECODED bytes for a document. In both cases the token counts in n_too_large
+and is itself a span of kind large, so that redaction takes it out whole.
+
+Decoded bytes that are not readable UTF-8 are only searched for compressed data.
 
 Spans refer to the document's own text. For every layer the code points keep
 the range of the document that they came from, so a secret in a URL-escaped
 segment maps to its exact escapes, one in a base64 token to the groups of four
 characters that hold it, and one in compressed data to the whole token.
 
-Kinds, in order: assign, access, hex. The document's own layer gives the base
+Kinds, in order: assign, access, hex, large. The document's own layer gives the base
 spans (leftmost, not overlapping, for each kind; matches that are too short are
 dropped); decoded layers only add spans. A span that several layers give is
 listed once.
 
 Edge cases: null text is empty; a text without secrets has zero counts, the
 hash of the empty string and empty spans. Bytes that are not UTF-8 after
-URL decoding are read as Latin-1; a base64 token of other bytes is no layer.
+URL decoding are read as Latin-1. n_layers counts the layers that read as text.
 Repeated rows are scanned one by one; other columns are not read.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -35,16 +39,22 @@ import html
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most bytes that a compressed layer may unpack to.
+#: Most bytes that a compressed layer may unpack to in one piece, and how far the windows of a larger one overlap.
 MOST_UNPACKED = 1 << 24
+OVERLAP = 1 << 16
+#: Most bytes that a document's layers may unpack to and be opened with.
+MOST_DECODED = 1 << 28
+CHUNK = 1 << 16
 
 KINDS = ("assign", "access", "hex")
+SPAN_KINDS = (*KINDS, "large")
 # The patterns of the base scan.
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
@@ -54,9 +64,14 @@ LEAST_ASSIGNED = 12
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_NESTED = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
+_PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+_PADDING = re.compile(rb"\x00*")
 _KEY_SIGN = re.compile(r"[:=]")
 
-Map = tuple[list[int], list[int]]  # of each code point: start and end in the document
+Map = tuple[Sequence[int], Sequence[int]]  # of each code point: start and end in the document
+Place = Map | tuple[int, int] | None  # or one range for all of them; None: the document itself
+Range = tuple[int, int]
 
 
 def scan(text: str) -> list[tuple[int, int, str]]:
@@ -70,30 +85,64 @@ def scan(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _readable(data: bytes) -> str | None:
+def _readable(text: str) -> bool:
+    odd = sum(1 for c in text if c < " " and c not in "\t\n\r" or c == "\x7f")
+    return odd * 20 <= len(text)
+
+
+def _texts(data: bytes) -> Iterator[tuple[str, Callable[[], Sequence[int]], bool]]:
+    """Texts that bytes hold: code points, where each begins and the last ends, and whether it reads as text."""
     try:
         text = data.decode("utf-8")
+        yield text, lambda: [*accumulate((len(c.encode("utf-8")) for c in text), initial=0)], _readable(text)
     except UnicodeDecodeError:
+        yield data.decode("latin-1"), lambda: range(len(data) + 1), False
+
+
+def _opened(magic: bytes):
+    if magic[0] == 0x1F:
+        return zlib.decompressobj(31)
+    return bz2.BZ2Decompressor() if magic[0] == 0x42 else lzma.LZMADecompressor() if magic[0] == 0xFD else zlib.decompressobj()
+
+
+def _member(data: bytes, at: int, magic: bytes) -> Iterator[bytes]:
+    """Chunks of one compressed member; returns where it ends, or None if it is broken or cut short."""
+    reader, wait = _opened(magic), b""
+    tail = hasattr(reader, "unconsumed_tail")
+    try:
+        while not reader.eof:
+            if not wait and (tail or reader.needs_input):
+                wait = data[at : at + CHUNK]
+                at += len(wait)
+                if not wait:
+                    if tail:
+                        yield reader.flush()
+                    return None
+            out = reader.decompress(wait, CHUNK)
+            wait = reader.unconsumed_tail if tail else b""
+            yield out
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
         return None
-    odd = sum(1 for c in text if c < " " and c not in "\t\n\r" or c == "\x7f")
-    return text if text and odd * 20 <= len(text) else None
-
-
-def _unpacked(data: bytes) -> tuple[bytes | None, bool]:
-    """Decompressed bytes, or None; True if they are too large."""
-    kinds = (
-        (b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
-        (b"\x78\x01", zlib.decompressobj), (b"\x78\x5e", zlib.decompressobj), (b"\x78\x9c", zlib.decompressobj), (b"\x78\xda", zlib.decompressobj),
-    )
-    for magic, opener in kinds:
-        if data.startswith(magic):
-            reader = opener()
-            try:
-                out = reader.decompress(data, MOST_UNPACKED + 1)
-            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-                return None, False
-            return (None, True) if len(out) > MOST_UNPACKED else (out, False)
-    return None, False
+    return at - len(reader.unused_data)
+
+
+def _unpacked(data: bytes, whole_members: list[Range]) -> Iterator[Iterator[bytes]]:
+    """For each place where compressed data begins, the chunks of it and of the members that follow on it; ranges of whole members are added to the list."""
+    at = 0
+    while found := _PACKED.search(data, at):
+        at = found.start() + 1
+
+        def chunks(m: re.Match | None) -> Iterator[bytes]:
+            nonlocal at
+            while m:
+                end = yield from _member(data, m.start(), m[0])
+                if end is None:
+                    return
+                at = max(at, end)
+                whole_members.append((m.start(), end))
+                m = _PACKED.match(data, _PADDING.match(data, end).end())
+
+        yield chunks(found)
 
 
 Layer = tuple[str, list[int], list[int]]  # text, and where each code point starts and ends in the layer that holds it
@@ -136,84 +185,134 @@ def _escape_decoded(code: str) -> Iterator[tuple[str, int, int]]:
         yield ("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c), 0, len(code)
 
 
-def _from_bytes(data: bytes, at: list[tuple[int, int]]) -> Layer | None:
-    """Readable text of bytes whose ranges are `at`, with the range of each code point."""
-    text = _readable(data)
-    if text is None:
-        return None
-    starts, ends, i = [], [], 0
-    for c in text:
-        n = len(c.encode("utf-8"))
-        starts.append(at[i][0])
-        ends.append(at[i + n - 1][1])
-        i += n
-    return text, starts, ends
-
-
-def _base64_layers(text: str, start: int, end: int) -> tuple[list[Layer], int]:
-    """What a base64 token holds, as it is and decompressed; and the number of layers that were too large."""
-    token = text[start:end].rstrip("=").translate({45: 43, 95: 47})
-    if len(token) % 4 == 1:
-        return [], 0
-    try:
-        data = base64.b64decode(token + "=" * (-len(token) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return [], 0
-    layers, large = [], 0
-    at = [(start + i * 4 // 3, min(start + i * 4 // 3 + 2, end)) for i in range(len(data))]
-    plain = _from_bytes(data, at)
-    if plain:
-        layers.append(plain)
-    for _ in range(8):  # compressed data within compressed data
-        data, too_large = _unpacked(data)
-        large += too_large
-        if data is None:
-            break
-        inner = _readable(data)
-        if inner:
-            layers.append((inner, [start] * len(inner), [end] * len(inner)))
-    return layers, large
+def _span(place: Place, a: int, b: int) -> Range:
+    """Range of the document that code points a to b of a layer came from."""
+    if place is None:
+        return a, b
+    return place if isinstance(place[0], int) else (min(place[0][a:b]), max(place[1][a:b]))
+
 
+def _within(place: Place, starts: Sequence[int], ends: Sequence[int]) -> Place:
+    """Place of a layer that has these ranges in a layer at `place`."""
+    if place is None:
+        return starts, ends
+    return place if isinstance(place[0], int) else ([place[0][i] for i in starts], [place[1][i - 1] for i in ends])
 
-def _inner(text: str) -> tuple[list[Layer], int]:
-    """Layers that one layer holds, with ranges in it."""
-    whole = [_replaced(text, _URL, _url_decoded) if "%" in text else None, _replaced(text, _ESCAPE, _escape_decoded) if "\\" in text or "&#" in text else None]
-    layers, large = [x for x in whole if x], 0
+
+def _tokens(text: str) -> Iterator[tuple[str, Sequence[int], int, int]]:
+    """Base64 characters of a token, their places in the text, and the token's start and end."""
     for m in _BASE64.finditer(text):
-        more, n = _base64_layers(text, m.start(), m.end())
-        layers += more
-        large += n
-    return layers, large
+        token = m[0].rstrip("=")
+        yield token, range(m.start(), m.start() + len(token)), m.start(), m.end()
+
+
+def _decoded(token: str) -> Iterator[tuple[bytes, int]]:
+    """Bytes of a base64 token, and the character that they begin at."""
+    token = token.translate({45: 43, 95: 47})
+    for k in range(1):
+        n = len(token) - k
+        n -= n % 4 == 1
+        yield binascii.a2b_base64(token[k : k + n] + "=" * (-n % 4)), k
+
+
+#: Text, its bytes if it was decoded from bytes, range in the document, a function for its place, and whether it reads as text.
+Inner = tuple[str | None, bytes | None, Range, Callable[[], Place], bool]
+
+
+def _of_bytes(data: bytes, whole: Range) -> Iterator[Inner]:
+    for k, (text, _, readable) in enumerate(_texts(data)):
+        yield text, None if k else data, whole, lambda: whole, readable
+
+
+def _of_stream(chunks: Iterator[bytes], whole: Range, left: list[int]) -> Iterator[Inner]:
+    """Layers of unpacked data; a None text first where they may not be all of it."""
+    held, flagged = bytearray(), False
+    for chunk in chunks:
+        held += chunk
+        left[0] -= len(chunk)
+        if not flagged and (len(held) > MOST_UNPACKED or left[0] < 0):
+            flagged = True
+            yield None, None, whole, lambda: whole, False
+        if len(held) > MOST_UNPACKED:
+            yield from _of_bytes(bytes(held), whole)
+            del held[: -min(OVERLAP, MOST_UNPACKED // 2)]
+        if left[0] < 0:
+            break
+    if held:
+        yield from _of_bytes(bytes(held), whole)
+
+
+def _inner(text: str, data: bytes | None, whole: Range, place: Place, left: list[int], members: list[Range]) -> Iterator[Inner]:
+    """Layers that one layer holds; `whole` is the range of the token that it was decoded from, `members` gets what was unpacked."""
+    for chunks in _unpacked(data, members) if data else ():
+        yield from _of_stream(chunks, whole, left)
+    replaced = [_replaced(text, _URL, _url_decoded) if "%" in text else None, _replaced(text, _ESCAPE, _escape_decoded) if "\\" in text or "&#" in text else None]
+    for layer in replaced:
+        if layer and layer[0]:
+            decoded, starts, ends = layer
+            yield decoded, None, _span(place, starts[0], ends[-1]), lambda s=starts, e=ends: _within(place, s, e), True
+    for token, at, start, end in _tokens(text):
+        of = _span(place, start, end)
+        for raw, first in _decoded(token):
+            for k, (decoded, offsets, readable) in enumerate(_texts(raw)):
+
+                def placed(first=first, offsets=offsets, at=at, n=len(raw)) -> Place:
+                    cuts = [min(i, n) for i in offsets()]
+                    return _within(place, [at[first + i * 4 // 3] for i in cuts[:-1]], [at[first + (i - 1) * 4 // 3 + 1] + 1 for i in cuts[1:]])
+
+                yield decoded, None if k else raw, of, placed, readable
+
+
+def _key(text: str) -> str | bytes:
+    return text if len(text) <= 64 else hashlib.blake2b(text.encode("utf-8", "surrogatepass")).digest()
 
 
 def secrets(text: str) -> tuple[list[tuple[int, int, str]], set[tuple[int, int, str]], int, int]:
     """Base spans, all spans, number of decoded layers, and of layers that were too large."""
     base = scan(text)
-    spans, seen, layers, large = set(base), {(text, 0, len(text))}, 0, 0
-    work: list[tuple[str, Map | None]] = [(text, None)]
+    spans, seen, layers, large = set(base), {(_key(text), 0, len(text))}, 0, 0
+    left = [MOST_DECODED]
+
+    def listed(found: list[tuple[int, int, str]], place: Place, members: Sequence[Range] = ()) -> None:
+        for a, b, kind in found:
+            if not any(x <= a and b <= y for x, y in members):  # what compressed data shows as it is has been read unpacked
+                spans.add((*_span(place, a, b), kind))
+
+    work = [(_inner(text, None, (0, len(text)), None, left, []), lambda: None)]
     while work:
-        layer, place = work.pop()
-        inner, n = _inner(layer)
-        large += n
-        for decoded, starts, ends in inner:
-            if not decoded:
-                continue
-            if place:
-                starts, ends = [place[0][i] for i in starts], [place[1][i - 1] for i in ends]
-            key = decoded, starts[0], ends[-1]
-            if key in seen:
-                continue
-            seen.add(key)
-            layers += 1
-            for a, b, kind in scan(decoded):
-                spans.add((min(starts[a:b]), max(ends[a:b]), kind))
-            work.append((decoded, (starts, ends)))
+        item = next(work[-1][0], None)
+        if item is None:
+            work.pop()[1]()
+            continue
+        decoded, data, whole, placed, readable = item
+        if decoded is None:
+            large += 1
+            spans.add((*whole, "large"))
+            continue
+        key = _key(decoded), *whole
+        if not decoded or key in seen:
+            continue
+        seen.add(key)
+        layers += readable
+        found = scan(decoded) if readable else []
+        deeper = readable and _NESTED.search(decoded) or data and _PACKED.search(data)
+        place = placed() if found or deeper else None
+        if not deeper or left[0] < 0:
+            listed(found, place)
+        if deeper and left[0] < 0:
+            large += 1
+            spans.add((*whole, "large"))
+        elif deeper:
+            left[0] -= len(decoded) + 64
+            members: list[Range] = []
+            of = members if data and len(data) == len(decoded) else ()
+            work.append((_inner(decoded, data, whole, place, left, members), lambda f=found, p=place, m=of: listed(f, p, m)))
     return base, spans, layers, large
 
 
 def joined(spans: Iterator[tuple[int, int, str]]) -> str:
     """kind:start:end by start, then kind as listed, then end; joined by commas."""
-    return ",".join(f"{kind}:{a}:{b}" for a, b, kind in sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
+    return ",".join(f"{kind}:{a}:{b}" for a, b, kind in sorted(spans, key=lambda s: (s[0], SPAN_KINDS.index(s[2]), s[1])))
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +339,7 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 
 def redacted_text(text: str) -> str:
     """The text with every span replaced by its kind in angle brackets; overlapping spans count as one."""
-    spans = sorted(secrets(text)[1], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+    spans = sorted(secrets(text)[1], key=lambda s: (s[0], SPAN_KINDS.index(s[2]), s[1]))
     out, at = [], 0
     k = 0
     while k < len(spans):

@@ -75,6 +75,28 @@ def test_cycles_bombs_and_junk(monkeypatch):
     assert S.secrets(b64(gzip.compress(b"0 " * 5000)))[3] == 1
 
 
+def kinds(text):
+    return {k for _, _, k in S.secrets(text)[1]}
+
+
+def test_large_nested_and_concatenated_layers(monkeypatch):
+    noise = b"filler words, " * 700
+    deep = f"key {SECRET} end".encode()
+    for _ in range(12):
+        deep = gzip.compress(deep)
+    assert "access" in kinds(b64(deep))
+    parts = [f"key {SECRET[:9]}".encode(), f"{SECRET[9:]} end".encode()]
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zlib.compress):
+        assert "access" in kinds(b64(b"".join(pack(p) for p in parts)))
+    monkeypatch.setattr(S, "CHUNK", 256)
+    monkeypatch.setattr(S, "MOST_UNPACKED", 1000)
+    for body in (f"{SECRET} ".encode() + noise, noise + f" {SECRET} ".encode() + noise, noise + f" {SECRET}".encode()):
+        token = b64(gzip.compress(body))
+        assert {"access", "large"} <= kinds(f"a {token} b") and S.redacted_text(f"a {token} b") in ("a <access> b", "a <large> b")
+    monkeypatch.setattr(S, "MOST_DECODED", 3000)
+    assert S.redacted_text(f"a {b64(gzip.compress(noise * 20 + SECRET.encode()))} b") == "a <large> b"
+
+
 def test_odd_rows(odd, nothing):
     rows = {(r.doc_id, r.n_assign + r.n_access + r.n_hex, r.spans, r.base_sha256) for r in S.secret_spans(odd).collect()}
     assert {r[1:] for r in rows} == {(0, "", hashlib.sha256(b"").hexdigest())}
