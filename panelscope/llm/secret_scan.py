@@ -12,7 +12,8 @@ unpacks to more than MOST_UNPACKED bytes is read on in overlapping windows, up t
 MOST_DECODED bytes for a document. In both cases the token counts in n_too_large
 and is itself a span of kind large, so that redaction takes it out whole.
 
-Decoded bytes that are not readable UTF-8 are only searched for compressed data.
+Decoded bytes are read as UTF-8, or else as Latin-1; stretches with a NUL at
+every other byte also as UTF-16.
 
 Spans refer to the document's own text. For every layer the code points keep
 the range of the document that they came from, so a secret in a URL-escaped
@@ -65,6 +66,7 @@ _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _NESTED = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
+_WIDE = re.compile(rb"(?:[^\x00]\x00){15,}[^\x00]?")
 _PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
 _PADDING = re.compile(rb"\x00*")
 _KEY_SIGN = re.compile(r"[:=]")
@@ -97,6 +99,10 @@ def _texts(data: bytes) -> Iterator[tuple[str, Callable[[], Sequence[int]], bool
         yield text, lambda: [*accumulate((len(c.encode("utf-8")) for c in text), initial=0)], _readable(text)
     except UnicodeDecodeError:
         yield data.decode("latin-1"), lambda: range(len(data) + 1), False
+    if b"\x00" in data:
+        for m in _WIDE.finditer(data):
+            wide = m[0][::2].decode("latin-1")
+            yield wide, lambda a=m.start(), n=len(wide): range(a, a + 2 * n + 1, 2), True
 
 
 def _opened(magic: bytes):
@@ -294,8 +300,8 @@ def secrets(text: str) -> tuple[list[tuple[int, int, str]], set[tuple[int, int,
             continue
         seen.add(key)
         layers += readable
-        found = scan(decoded) if readable else []
-        deeper = readable and _NESTED.search(decoded) or data and _PACKED.search(data)
+        found = scan(decoded)
+        deeper = _NESTED.search(decoded) or data and _PACKED.search(data)
         place = placed() if found or deeper else None
         if not deeper or left[0] < 0:
             listed(found, place)

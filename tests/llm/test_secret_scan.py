@@ -97,6 +97,15 @@ def test_large_nested_and_concatenated_layers(monkeypatch):
     assert S.redacted_text(f"a {b64(gzip.compress(noise * 20 + SECRET.encode()))} b") == "a <large> b"
 
 
+@pytest.mark.parametrize(
+    "data",
+    [f"café {SECRET} é".encode("latin-1"), f"key {SECRET} end".encode("utf-16-le"), f"key {SECRET} end".encode("utf-16"), f"key {SECRET} end".encode("utf-16-be"), b"\x00\x01\xff\xfe\x02" * 30 + SECRET.encode() + b"\x00\x9c" * 40],
+)
+def test_bytes_that_are_not_utf8(data):
+    for token in (b64(data), b64(gzip.compress(data)), b64(gzip.compress(b64(data).encode()))):
+        assert "access" in kinds(f"a {token} b")
+
+
 def test_odd_rows(odd, nothing):
     rows = {(r.doc_id, r.n_assign + r.n_access + r.n_hex, r.spans, r.base_sha256) for r in S.secret_spans(odd).collect()}
     assert {r[1:] for r in rows} == {(0, "", hashlib.sha256(b"").hexdigest())}
