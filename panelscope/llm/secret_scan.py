@@ -12,8 +12,10 @@ unpacks to more than MOST_UNPACKED bytes is read on in overlapping windows, up t
 MOST_DECODED bytes for a document. In both cases the token counts in n_too_large
 and is itself a span of kind large, so that redaction takes it out whole.
 
-Decoded bytes are read as UTF-8, or else as Latin-1; stretches with a NUL at
-every other byte also as UTF-16.
+A base64 token is a run of base64 characters, also one that goes on over single
+line breaks. It is decoded at each of its four alignments, so a prefix before a
+slash or a dash does not hide what follows. Decoded bytes are read as UTF-8, or
+else as Latin-1; stretches with a NUL at every other byte also as UTF-16.
 
 Spans refer to the document's own text. For every layer the code points keep
 the range of the document that they came from, so a secret in a URL-escaped
@@ -41,7 +43,7 @@ import lzma
 import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,7 +67,9 @@ LEAST_ASSIGNED = 12
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-_NESTED = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_NESTED = re.compile(r"%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}|[A-Za-z0-9+/_-]\r?\n[ \t]*[A-Za-z0-9+/_-]")
 _WIDE = re.compile(rb"(?:[^\x00]\x00){15,}[^\x00]?")
 _PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
 _PADDING = re.compile(rb"\x00*")
@@ -210,12 +214,16 @@ def _tokens(text: str) -> Iterator[tuple[str, Sequence[int], int, int]]:
     for m in _BASE64.finditer(text):
         token = m[0].rstrip("=")
         yield token, range(m.start(), m.start() + len(token)), m.start(), m.end()
+    for m in _WRAPPED.finditer(text) if "\n" in text else ():
+        lines = [(x.start(), x.end()) for x in _LINE.finditer(text, m.start(), m.end())]
+        if sum(b - a for a, b in lines) >= 16:
+            yield "".join(text[a:b] for a, b in lines), [*chain.from_iterable(range(a, b) for a, b in lines)], m.start(), m.end()
 
 
 def _decoded(token: str) -> Iterator[tuple[bytes, int]]:
     """Bytes of a base64 token, and the character that they begin at."""
     token = token.translate({45: 43, 95: 47})
-    for k in range(1):
+    for k in range(4):
         n = len(token) - k
         n -= n % 4 == 1
         yield binascii.a2b_base64(token[k : k + n] + "=" * (-n % 4)), k

@@ -106,6 +106,28 @@ def test_bytes_that_are_not_utf8(data):
         assert "access" in kinds(f"a {token} b")
 
 
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("width", [17, 64, 76])
+def test_wrapped_base64(newline, width):
+    def wrapped(token):
+        return newline.join(token[k : k + width] for k in range(0, len(token), width))
+
+    long = "é filler text over lines " * 3
+    for data in (f"{long}{SECRET} {long}".encode(), gzip.compress((long + SECRET + hashlib.sha512(b"x").hexdigest().upper() * 3).encode())):
+        for before in ("data: ", "Body\n"):
+            text = f"{before}{wrapped(b64(data))}\n\nend"
+            assert "access" in kinds(text)
+            assert "end" in S.redacted_text(text)
+
+
+@pytest.mark.parametrize("before", ["/path/", "id-", "a_b/", "x"])
+def test_base64_after_a_prefix(before):
+    for data in (f"key {SECRET} end", gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())):
+        for cut in range(3):
+            token = b64(data).rstrip("=")
+            assert "access" in kinds(f"see {before}{token}{'/more'[:cut]} end")
+
+
 def test_odd_rows(odd, nothing):
     rows = {(r.doc_id, r.n_assign + r.n_access + r.n_hex, r.spans, r.base_sha256) for r in S.secret_spans(odd).collect()}
     assert {r[1:] for r in rows} == {(0, "", hashlib.sha256(b"").hexdigest())}
