@@ -36,9 +36,9 @@ _SECOND, _FIRST = np.roll(_VECTORS, 1, axis=1), np.roll(_VECTORS, 2, axis=1)
 
 
 def _slot_table() -> np.ndarray:
-    """Slot of each code point of the basic plane: letters by their lower-case form, all else 0."""
-    table = np.zeros(1 << 16, np.uint8)
-    for c in range(1 << 16):
+    """Slot of each code point: letters by their lower-case form, all else 0."""
+    table = np.zeros(0x110000, np.uint8)
+    for c in range(0x110000):
         if 0xD800 <= c < 0xE000 or not chr(c).isalpha():
             continue
         low = ord(chr(c).lower()[0])
@@ -52,7 +52,7 @@ _SLOTS = _slot_table()
 def letters(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots of all code points with a 0 before and after each row, and the rows' offsets into them."""
     text = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-    slots = np.where(text < 1 << 16, _SLOTS[np.minimum(text, 0xFFFF)], 27 + (text % 101)).astype(np.uint8)
+    slots = _SLOTS[text]
     lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     at = lead[offsets]
     return np.insert(slots, at[:-1], 0), at + np.arange(len(at))

@@ -33,6 +33,16 @@ def test_odd_rows(odd, nothing):
     assert {r.lang_pred for r in untaught.collect()} <= {"und"}
 
 
+def test_signs_beyond_the_basic_plane_are_no_letters(spark):
+    taught = [(k, "plain words of one language", "en") for k in range(20)] + [(k, "andere Wörter hier im Satz", "de") for k in range(20, 40)]
+    docs = spark.createDataFrame([*taught, (100, "🎉😀 12 🚀!", None), (101, "🎉", None), (102, "𐐀𐐁𐐂 𐐨𐐩", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.languages(docs).collect()}
+    assert got[100] == got[101] == ("und", 0.0)
+    assert got[102][0] in ("en", "de") and L._SLOTS[0x10400] == L._SLOTS[0x10428] > 0
+    raw = np.frombuffer("a🎉b".encode(), np.uint8)
+    assert L.letters(raw, np.array([0, len(raw)]))[0].tolist() == [0, 1, 0, 2]
+
+
 def test_only_text_counts(documents):
     """Ids that are held out change nothing about a prediction."""
     one = documents.orderBy("doc_id").limit(60)
