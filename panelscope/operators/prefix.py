@@ -38,6 +38,13 @@ def max_group_size(df: DataFrame, keys: list[str]) -> int:
     return int(m or 0)
 
 
+def _join_null_safe(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on `keys`, where a NULL key is a value of its own, as in a window."""
+    side = side.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys]
+    return rows.join(side, on).drop(*[f"__r_{k}" for k in keys])
+
+
 def ordered_prefix_sums(
     df: DataFrame,
     by: Sequence[str],
@@ -74,7 +81,7 @@ def ordered_prefix_sums(
     )
     if by:
         stats = broadcast_if_small(materialize(stats), row_bytes=8 * buckets + 64)
-        rows = rows.join(stats, keys)
+        rows = _join_null_safe(rows, stats, keys)
         # Groups that fit one task stay one bucket (no edges to search).
         rows = rows.withColumn("__edges", F.when(F.col("__n") > direct_limit, F.col("__edges")).otherwise(
             F.array().cast("array<double>")))
@@ -90,7 +97,7 @@ def ordered_prefix_sums(
     wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     boff = btot.select(*keys, _B, *[F.coalesce(F.sum(f"__bt_{c}").over(wb), F.lit(0)).alias(f"__bo_{c}") for c in sums])
     wl = Window.partitionBy(*keys, _B).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.join(boff, [*keys, _B]).select(
+    out = _join_null_safe(rows, boff, [*keys, _B]).select(
         *rows.columns,
         *[(F.col(f"__bo_{c}") + F.coalesce(F.sum(c).over(wl), F.lit(0))).alias(f"{c}_before") for c in sums],
     )

@@ -68,3 +68,10 @@ def test_global_quantile_and_nulls(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,), (float("nan"),)], "v double")
     r = exact_quantiles(df, "v", [0.5], names=["m"]).first()
     assert (r.n, r.m) == (2, 2.0)
+
+
+def test_a_null_group_is_a_group_on_both_paths(spark):
+    df = spark.createDataFrame([(None, "a", 1.0), (None, "a", 3.0), (1, None, 5.0), (1, "a", 7.0), (1, "a", 8.0)], "g int, h string, v double")
+    for limit in (10**6, 0):
+        got = {(r.g, r.h): (r.n, r.q0) for r in exact_quantiles(df, "v", [0.5], ["g", "h"], direct_limit=limit).collect()}
+        assert got == {(None, "a"): (2, 2.0), (1, None): (1, 5.0), (1, "a"): (2, 7.5)}
