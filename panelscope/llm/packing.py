@@ -3,17 +3,18 @@
 A document's ids are those of a public tokenizer, then END. Full windows of the
 longest tier (2048 ids) are cut off first and are sequences as they are. What is
 left routes the document to the smallest of the tiers 256, 512, 1024 and 2048
-that holds it. Each task packs the remainders it has gathered (POOL ids or so,
-then again): the longest tier first, largest piece first; the gap of each window
+that holds it. Each task packs the remainders of what it has gathered (POOL ids or so
+with the windows, then again): the longest tier first, largest piece first; the gap of each window
 is filled with the longest waiting pieces of the shorter tiers that fit, and a
 last gap by cutting one piece in two. What then remains of a shorter tier is
 packed into full windows of that tier. Sequences of a tier's length are full or
 shorter than 2048 by no more than what one task has left at its end; that rest
 is cut at powers of two, so it needs no padding either.
 
-The sequences of each tier are dealt into step groups of GROUP_TOKENS ids, the
-heaviest first to the lightest group, so that a training step reads equally many
-ids of each tier from every group of a task.
+The sequences of each tier of a pool are dealt into step groups of at most
+GROUP_TOKENS ids, as many as the pool's total asks for: the heaviest first to the
+group with the fewest ids of that tier, so that a training step reads equally many
+ids of each tier from every group of a pool, but for one sequence of the tier.
 
 A task packs its own rows, so no text or id is shuffled, and a lost task packs
 the same rows again into the same sequences. Sequence ids hold the partition.
@@ -212,28 +213,33 @@ def packed(sizes: list[int], last: bool) -> tuple[list[list[Piece]], list[int]]:
 
 
 class Writer:
-    """Numbers sequences and makes result rows; deals full sequences into step groups."""
+    """Numbers sequences and makes result rows; deals the sequences of a pool into step groups."""
 
     def __init__(self, partition: int):
         self.next = partition << 32
         self.rows: list[tuple] = []
-        self.groups: list[tuple[int, int]] = []
         self.first_group = partition << 32
 
-    def sequence(self, pieces: list[tuple[int, int, np.ndarray, int]]) -> None:
-        offset = 0
-        total = sum(len(p[2]) for p in pieces)
-        if not self.groups or self.groups[0][0] + total > GROUP_TOKENS:
-            heapq.heappush(self.groups, (0, self.first_group))
-            self.first_group += 1
-        load, group = heapq.heappop(self.groups)
-        if load + total < GROUP_TOKENS:
-            heapq.heappush(self.groups, (load + total, group))
-        tier = min((t for t in TIERS if total <= t), default=TIERS[0])
-        for doc_id, start, ids, doc_tokens in pieces:
-            self.rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), doc_tokens, self.next, offset, tier, group))
-            offset += len(ids)
-        self.next += 1
+    def pool(self, sequences: list[list[tuple[int, int, np.ndarray, int]]]) -> None:
+        totals = [sum(len(p[2]) for p in pieces) for pieces in sequences]
+        tiers = [min((t for t in TIERS if n <= t), default=TIERS[0]) for n in totals]
+        n_groups = -(-sum(totals) // (GROUP_TOKENS - sum(TIERS)))  # the lightest group of a tier is below its mean, so none passes GROUP_TOKENS
+        loads, groups = [0] * n_groups, [0] * len(sequences)
+        for tier in TIERS:
+            lightest = [(0, load, g) for g, load in enumerate(loads)]  # ids of this tier, of all so far
+            heapq.heapify(lightest)
+            for k in sorted((k for k, t in enumerate(tiers) if t == tier), key=lambda k: -totals[k]):
+                mine, load, g = lightest[0]
+                heapq.heapreplace(lightest, (mine + totals[k], load + totals[k], g))
+                loads[g] += totals[k]
+                groups[k] = self.first_group + g
+        self.first_group += n_groups
+        for pieces, tier, group in zip(sequences, tiers, groups, strict=True):
+            offset = 0
+            for doc_id, start, ids, doc_tokens in pieces:
+                self.rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), doc_tokens, self.next, offset, tier, group))
+                offset += len(ids)
+            self.next += 1
 
     def batch(self) -> pa.RecordBatch:
         columns = list(zip(*self.rows, strict=True)) or [[]] * len(NAMES)
@@ -252,14 +258,15 @@ def packer(path: str, pool: int):
         context = TaskContext.get()
         out = Writer(context.partitionId() if context else 0)
         waiting: list[tuple[int, int, np.ndarray, int]] = []  # remainders
+        windows: list[list[tuple[int, int, np.ndarray, int]]] = []  # full ones, for the next pool
         gathered = 0
         long = TIERS[0]
 
         def pack(last: bool) -> None:
-            nonlocal waiting, gathered
+            nonlocal waiting, windows, gathered
             sequences, keep = packed([len(w[2]) for w in waiting], last)
-            for sequence in sequences:
-                out.sequence([(waiting[k][0], waiting[k][1] + a, waiting[k][2][a:b], waiting[k][3]) for k, a, b in sequence])
+            out.pool(windows + [[(waiting[k][0], waiting[k][1] + a, waiting[k][2][a:b], waiting[k][3]) for k, a, b in sequence] for sequence in sequences])
+            windows = []
             waiting = [waiting[k] for k in keep]
             gathered = sum(len(w[2]) for w in waiting)
 
@@ -276,10 +283,10 @@ def packer(path: str, pool: int):
                 for doc_id, tokens in zip(ids[lo:hi], words.encode(part), strict=True):
                     full = len(tokens) // long * long
                     for a in range(0, full, long):
-                        out.sequence([(doc_id, a, tokens[a : a + long], len(tokens))])
+                        windows.append([(doc_id, a, tokens[a : a + long], len(tokens))])
                     if full < len(tokens):
                         waiting.append((doc_id, full, tokens[full:].copy(), len(tokens)))
-                        gathered += len(tokens) - full
+                    gathered += len(tokens)
                 if gathered >= pool:
                     pack(False)
                 lo = hi

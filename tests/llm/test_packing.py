@@ -51,6 +51,20 @@ def test_round_trip(documents):
     assert max(loads.values()) <= P.GROUP_TOKENS
 
 
+def test_groups_of_a_pool_hold_equally_many_ids_of_each_tier(spark):
+    sizes = [2100 + 173 * (k % 40) if k % 3 == 0 else 20 + 37 * (k % 50) for k in range(400)]
+    docs = spark.createDataFrame([(k, "the " * n) for k, n in enumerate(sizes)], "doc_id long, text string").coalesce(1)
+    rows = P.packs(docs, tokenizer_path()).collect()
+    loads = defaultdict(lambda: defaultdict(int))
+    for r in rows:
+        loads[r.tier][r.step_group] += r.length
+    groups = {r.step_group for r in rows}
+    assert len(groups) > 4 and len(loads) > 2
+    for tier, load in loads.items():
+        assert max(load.values()) - min(load.get(g, 0) for g in groups) <= tier
+    assert max(sum(load.get(g, 0) for load in loads.values()) for g in groups) <= P.GROUP_TOKENS
+
+
 def test_small_pools(documents):
     texts = documents.select("doc_id", "text").collect()
     check(P.packs(documents, tokenizer_path(), pool=5000).collect(), dict(zip([t.doc_id for t in texts], ids_of([t.text for t in texts]))))
