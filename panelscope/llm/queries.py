@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.llm import fingerprint, host_reputation, html_main, language, merkle, mixture, neardup, packing, quality_rank, quality_rules, secret_scan
+from panelscope.llm import centroids, fingerprint, host_reputation, html_main, language, merkle, mixture, neardup, packing, quality_rank, quality_rules, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -75,11 +79,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_reputation": op8_url_reputation,
     "op9_source_mix": op9_source_mix,
     "op10_quality_rules": op10_quality_rules,
+    "op12_ns_clusters": op12_ns_clusters,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op8_url_reputation": host_reputation.ORACLE,
     "op9_source_mix": mixture.ORACLE,
+    "op12_ns_clusters": centroids.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
