@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelscope.llm import centroids, fingerprint, host_reputation, html_main, language, merkle, mixture, neardup, packing, quality_rank, quality_rules, secret_scan
+from panelscope.llm import centroids, fingerprint, host_reputation, html_main, language, merkle, mixture, neardup, ngram_lm, packing, quality_rank, quality_rules, secret_scan
+from panelscope.llm.store import released
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, tries = ngram_lm.scored(table(spark, sf_dir, "documents"))
+    if tries is not None:
+        released(tries)
+    return scores
+
+
 def op12_ns_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
@@ -79,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_reputation": op8_url_reputation,
     "op9_source_mix": op9_source_mix,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ngram_lm": op11_ngram_lm,
     "op12_ns_clusters": op12_ns_clusters,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
