@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelscope.llm.memory import giving_back
 from panelscope.llm.store import released, stored
 from panelscope.llm.words import lower_ascii, mix, slices, window_hashes, word_bounds, word_hashes
 
@@ -130,7 +131,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, node (128-bit name of the set), keys (postings), sketch (a byte of each coordinate)."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _signed, "doc_id long, n_shingles long, node binary, keys array<long>, sketch binary"
+        giving_back(_signed), "doc_id long, n_shingles long, node binary, keys array<long>, sketch binary"
     )
 
 
@@ -177,14 +178,14 @@ def _candidates_kept(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return (
         pairs.join(small.toDF("a", "n_a", "sketch_a"), "a")
         .join(small.toDF("b", "n_b", "sketch_b"), "b")
-        .mapInArrow(_alike, "a binary, b binary")
+        .mapInArrow(giving_back(_alike), "a binary, b binary")
     )
 
 
 def _sets(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, members) of the nodes of the documents with the ids `root` in `rows`; no other text is read into a set."""
     roots = rows.select(F.col("root").alias("doc_id")).distinct()
-    found = docs.join(roots, "doc_id", "left_semi").select("text").mapInArrow(_sets_of, "node binary, members array<long>")
+    found = docs.join(roots, "doc_id", "left_semi").select("text").mapInArrow(giving_back(_sets_of), "node binary, members array<long>")
     return stored(found.join(rows.select("node").distinct(), "node", "left_semi"), "shingle-sets")
 
 
@@ -193,7 +194,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = _sets(wanted.join(nodes.select("node", "root"), "node"), docs)
     links = stored(
-        pairs.join(sets.toDF("a", "members_a"), "a").join(sets.toDF("b", "members_b"), "b").mapInArrow(_confirmed, "a binary, b binary"), "links"
+        pairs.join(sets.toDF("a", "members_a"), "a").join(sets.toDF("b", "members_b"), "b").mapInArrow(giving_back(_confirmed), "a binary, b binary"), "links"
     )
     released(sets)
     return links
@@ -226,7 +227,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     given = stored(links, "given-links")
     tasks = max(1, -(-given.count() // TASK_EDGES))
-    stars = given.coalesce(tasks).mapInPandas(_stars, "a binary, b binary")
+    stars = given.coalesce(tasks).mapInPandas(giving_back(_stars), "a binary, b binary")
     stars = stored(stars, "stars")
     edges = stored(stars.union(stars.select("b", "a")).distinct(), "edges")
     released(given, stars)
@@ -354,7 +355,7 @@ def _compared(rows: DataFrame, of_cell) -> DataFrame:
     short = rows.where(F.col("n") <= 2 * BLOCK).select("key", "node", "label", "n_shingles", "payload", F.lit(0).alias("block"), F.lit(0).alias("block_2"), F.lit(0).alias("side"))
     cells = left.unionByName(right).unionByName(short)
     together = cells.repartition("key", "block", "block_2").sortWithinPartitions("key", "block", "block_2")
-    found = stored(together.mapInPandas(_cells(of_cell), "a binary, b binary").distinct(), "compared")
+    found = stored(together.mapInPandas(giving_back(_cells(of_cell)), "a binary, b binary").distinct(), "compared")
     released(rows)
     return found
 

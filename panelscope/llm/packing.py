@@ -20,7 +20,7 @@ A task packs its own rows, so no text or id is shuffled, and a lost task packs
 the same rows again into the same sequences. Sequence ids hold the partition.
 
 Tokenising goes word by word (runs without ASCII white space; the tokenizer
-drops white space and joins nothing across it) through a bounded cache of words.
+drops white space and joins nothing across it) through a cache of words that is bounded in bytes.
 
 Edge cases: a null or empty text, or one without words, is the single id END.
 Repeated rows are documents of their own. Other columns are not read.
@@ -43,10 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelscope.llm.memory import giving_back
+
 TIERS = (2048, 1024, 512, 256)
 END = 1
 POOL = 1 << 20  # ids that a task gathers before it packs; at 4 bytes each
-CACHE = 500_000  # words; some 200 bytes each, kept by a worker over its tasks
+CACHE_BYTES = 88 << 20  # of words and their ids, kept by a worker over its tasks
+WORD_BYTES = 200  # of a word in it, besides its bytes and ids
 GROUP_TOKENS = 1 << 17
 
 
@@ -86,7 +89,22 @@ class Words:
         self.number: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 12, np.int64)  # of each word's ids
+        self.uses = np.zeros(1 << 12, np.int64)  # of each word since the cache was last full
         self.n = 0
+        self.held = 0  # bytes
+
+    def shrink(self) -> None:
+        """Only the words stay that were used again, and of those none if they fill half the cache."""
+        again = self.uses[1 : self.n + 1] > 1
+        words = [w for w, stays in zip(self.number, again.tolist(), strict=True) if stays]
+        at = np.flatnonzero(again) + 1
+        sizes = self.ends[at] - self.ends[at - 1]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.ends[at - 1] - upto[:-1], sizes) + np.arange(upto[-1])]
+        self.clear()
+        if sum(map(len, words)) + 4 * len(ids) + WORD_BYTES * len(words) <= CACHE_BYTES // 2:
+            self.put(words, ids, sizes)
+            self.uses[1 : self.n + 1] = 1
 
     def encoded(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each word."""
@@ -110,21 +128,25 @@ class Words:
     def add(self, words: list[bytes]) -> None:
         ids = list(self.encoded(b" ".join(words).decode().split(" ")))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        self.put(words, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
+
+    def put(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
         used = int(self.ends[self.n])
         while used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.n + len(words) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.ids[used : used + len(flat)] = flat
         self.ends[self.n + 1 : self.n + len(words) + 1] = used + np.cumsum(sizes)
         self.number.update(zip(words, range(self.n + 1, self.n + len(words) + 1), strict=True))
         self.n += len(words)
+        self.held += sum(map(len, words)) + 4 * len(flat) + WORD_BYTES * len(words)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text, END last."""
-        if self.n > CACHE:
-            self.clear()
+        if self.held > CACHE_BYTES:
+            self.shrink()
         split = [t.split() for t in texts]
         flat = list(chain.from_iterable(split))
         get = self.number.get
@@ -134,6 +156,7 @@ class Words:
             missed = [flat[k] for k in new.tolist()]
             self.add(list(dict.fromkeys(missed)))
             at[new] = [get(w) for w in missed]
+        self.uses[: self.n + 1] += np.bincount(at, minlength=self.n + 1)
         sizes = self.ends[at] - self.ends[at - 1]
         upto = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(self.ends[at - 1] - upto[:-1], sizes) + np.arange(upto[-1])] if len(at) else np.zeros(0, np.uint32)
@@ -300,4 +323,4 @@ def packer(path: str, pool: int):
 
 def packs(docs: DataFrame, tokenizer: str, pool: int = POOL) -> DataFrame:
     """A row for each piece of each row of `docs` (doc_id, text), by the tokenizer file at the path `tokenizer`."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(packer(tokenizer, pool), SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(giving_back(packer(tokenizer, pool)), SCHEMA)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelscope.llm.memory import giving_back
 from panelscope.llm.words import code_points, not_space, slices, window_hashes, word_bounds, word_hashes
 from panelscope.operators.util import broadcast_if_small
 
@@ -81,7 +82,7 @@ def trusted_flags(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """log p(bucket | target) - log p(bucket | raw), for each of BUCKETS buckets."""
-    counted = trusted_flags(docs, labels).mapInArrow(count, "bucket int, every long, good long")
+    counted = trusted_flags(docs, labels).mapInArrow(giving_back(count), "bucket int, every long, good long")
     rows = counted.groupBy("bucket").agg(F.sum("every"), F.sum("good")).collect()  # BUCKETS rows at most
     every, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, n, m in rows:
@@ -162,7 +163,7 @@ SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def quality_rules(docs: DataFrame, labels: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """Statistics, base verdict, final verdict and score (llr) of each row of `docs` (doc_id, text); `labels` has doc_id, quality, toxic."""
     run = judge(log_ratios(docs, labels), least_score)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(giving_back(run), "doc_id long, " + SCHEMA)
 
 
 def kept(docs: DataFrame, labels: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
@@ -178,4 +179,4 @@ def kept(docs: DataFrame, labels: DataFrame, least_score: float = LEAST_SCORE) -
             if verdicts:
                 yield batch.filter(pa.concat_arrays(verdicts))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)

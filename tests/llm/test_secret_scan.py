@@ -2,8 +2,12 @@ import base64
 import bz2
 import gzip
 import hashlib
+import html
 import lzma
+import random
 import re
+import time
+import tracemalloc
 import urllib.parse
 import zlib
 
@@ -93,8 +97,8 @@ def test_large_nested_and_concatenated_layers(monkeypatch):
     for body in (f"{SECRET} ".encode() + noise, noise + f" {SECRET} ".encode() + noise, noise + f" {SECRET}".encode()):
         token = b64(gzip.compress(body))
         assert {"access", "large"} <= kinds(f"a {token} b") and S.redacted_text(f"a {token} b") in ("a <access> b", "a <large> b")
-    monkeypatch.setattr(S, "MOST_DECODED", 3000)
-    assert S.redacted_text(f"a {b64(gzip.compress(noise * 20 + SECRET.encode()))} b") == "a <large> b"
+    far = f"a {b64(gzip.compress(noise * 20 + SECRET.encode()))} b"
+    assert {"access", "large"} <= kinds(far) and S.redacted_text(far) in ("a <access> b", "a <large> b")
 
 
 @pytest.mark.parametrize(
@@ -128,6 +132,86 @@ def test_base64_after_a_prefix(before):
             assert "access" in kinds(f"see {before}{token}{'/more'[:cut]} end")
 
 
+@pytest.mark.parametrize("text", ["%" + "25" * 6000 + "41", "%26#37;26#37;" * 2000 + "41", "%2" + "%3" * 6000 + "5", "%5cu0025" * 1500 + "41", "&#38;" + "#38;" * 3000 + "#65;"])
+def test_long_chains_take_linear_time_and_little_memory(text):
+    tracemalloc.start()
+    began = time.process_time()
+    S.secrets(text)
+    assert time.process_time() - began < 5
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+
+
+def naive_unwound(cells):
+    """Cells (character, start, end) with the escape that ends first replaced, until there is none."""
+    one = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+    while True:
+        text = "".join(c for c, _, _ in cells)
+        found = min((m for k in range(len(text)) if (m := one.match(text, k))), key=lambda m: (m.end(), m.start()), default=None)
+        if not found:
+            return cells
+        code = found[0]
+        c = html.unescape(code) if code[0] == "&" else chr(int(code[1:] if code[0] == "%" else code[2:], 16))
+        a, b = found.span()
+        cells = [*cells[:a], *((x, cells[a][1], cells[b - 1][2]) for x in c), *cells[b:]]
+
+
+def naive(text):
+    """Spans by plain recursion over lists of cells, for texts of printable ASCII in every layer."""
+    spans, seen = set(), set()
+
+    def once(cells):
+        layer, out, at = "".join(c for c, _, _ in cells), [], 0
+        for m in re.finditer(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};", layer):
+            code = m[0]
+            c = html.unescape(code) if code[0] == "&" else chr(int(code[1:] if code[0] == "%" else code[2:], 16))
+            out += [*cells[at : m.start()], *((x, cells[m.start()][1], cells[m.end() - 1][2]) for x in c)]
+            at = m.end()
+        return out + cells[at:]
+
+    def visit(cells, escapes):
+        layer = "".join(c for c, _, _ in cells)
+        if (layer, cells[0][1], cells[-1][2], escapes) in seen:
+            return
+        seen.add((layer, cells[0][1], cells[-1][2], escapes))
+        for span in filter(None, base(layer).split(",")):
+            kind, a, b = span.split(":")
+            spans.add((cells[int(a)][1], cells[int(b) - 1][2], kind))
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}", layer):
+            token = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+            for k in range(4):
+                n = len(token) - k
+                n -= n % 4 == 1
+                data = base64.b64decode(token[k : k + n] + "=" * (-n % 4))
+                if data and all(32 <= x < 127 for x in data):
+                    at = m.start() + k
+                    visit([(chr(x), cells[at + i * 4 // 3][1], cells[at + i * 4 // 3 + 1][2]) for i, x in enumerate(data)], True)
+        if escapes and once(cells) != cells:
+            visit(once(cells), False)
+            visit(naive_unwound(cells), True)
+
+    visit([(c, i, i + 1) for i, c in enumerate(text)], True)
+    return spans
+
+
+def test_decoded_spans_equal_brute_force():
+    rng = random.Random(11)
+    pieces = [SECRET, "password=abcdefghijklm", "token: 'abcdefabcdef0123'", "deadbeefdeadbeef", "plain words ", "a=1 ", "x", "%", "25"]
+    wraps = [
+        lambda s: "".join(f"%{ord(c):02x}" for c in s), lambda s: urllib.parse.quote(s, safe=""), lambda s: "".join(f"\\u{ord(c):04x}" if rng.random() < 0.4 else c for c in s),
+        lambda s: "".join(f"&#{ord(c)};" if rng.random() < 0.3 else c for c in s), lambda s: " " + b64(s) + " ", lambda s: " " + base64.urlsafe_b64encode(s.encode()).decode().rstrip("=") + ".", lambda s: s.replace("%", "%25"), lambda s: "".join(f"\\x{ord(c):02x}" for c in s),
+    ]
+    more = 0
+    for _ in range(250):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randint(1, 4)))
+        for _ in range(rng.randint(1, 3)):
+            text = rng.choice(pieces)[:6] + rng.choice(wraps)(text) + rng.choice(["", " end", "&"])
+        got, want = S.secrets(text)[1], naive(text)
+        assert want <= got, text  # layers that are not all printable add to it, from base64 read at other alignments
+        more += got != want
+    assert more < 25
+
+
 def test_odd_rows(odd, nothing):
     rows = {(r.doc_id, r.n_assign + r.n_access + r.n_hex, r.spans, r.base_sha256) for r in S.secret_spans(odd).collect()}
     assert {r[1:] for r in rows} == {(0, "", hashlib.sha256(b"").hexdigest())}
