@@ -91,7 +91,7 @@ def test_any_text_as_the_tokenizer(text):
 
 
 def test_cache_may_be_cleared(monkeypatch):
-    monkeypatch.setattr(P, "CACHE", 3)
+    monkeypatch.setattr(P, "CACHE_BYTES", 700)
     words = P.Words(tokenizer_path())
     texts = [f"alpha{k} beta gamma{k % 2} delta" for k in range(9)]
     for t in texts:
