@@ -19,6 +19,7 @@ from ..operators import training as TR
 from ..operators import metrics as MT
 from ..operators import ranking as RK
 from ..functions import scores as SC
+from ..operators import isotonic as ISO
 from ..operators import model as MD
 from ..operators import scoring as SCO
 from ..operators import resolve as RS
@@ -424,14 +425,29 @@ def q_select_regularization(spark, sf):
     fit, cal, _ = TR.fit_calibration_split(TR.labelled_rows(train))
     best, tried = MD.select_regularization(fit, cal, FE.YEARLY_FEATURE_COLUMNS)
     rows = [(float(c), auc, c == best) for c, auc in tried] or [(best, None, True)]
-    return spark.createDataFrame(rows, "c double, calibration_auc double, chosen boolean")
+    return _r(spark.createDataFrame(rows, "c double, calibration_auc double, chosen boolean"), {"calibration_auc"})
+
+
+def q_isotonic_pools(spark, sf):
+    """M7: the isotonic curve of all labelled rows of all periods under the fixed scores, pool by pool."""
+    scored = TR.labelled_rows(events_features(spark, sf)).select("y", fixed_score())
+    pools = ISO.isotonic_pools(scored, "risk_score")
+    return pools.select("lo", "hi", F.col("n").alias("rows"), "positives", round6(F.col("positives") / F.col("n")).alias("value"))
+
+
+def q_isotonic_scores(spark, sf):
+    """M7: every scoreable row's fixed score through that curve."""
+    f = events_features(spark, sf)
+    curve = ISO.fit_isotonic(TR.labelled_rows(f).select("y", fixed_score()), "risk_score")
+    rows = f.dropna(subset=FE.YEARLY_FEATURE_COLUMNS).select("entity", "period", fixed_score())
+    return _r(curve.transform(rows, "risk_score", "calibrated"), {"calibrated"})
 
 
 def q_fit_weighted_logit(spark, sf):
     train, _, _ = TR.split_by_period(_train_rows(spark, sf), 2)
     b0, bs = MD.fit_logit(train, FE.YEARLY_FEATURE_COLUMNS, MD.DEFAULT_C)
     names = ["intercept", *FE.YEARLY_FEATURE_COLUMNS]
-    return spark.createDataFrame(list(zip(names, [b0, *bs])), "term string, coefficient double")
+    return _r(spark.createDataFrame(list(zip(names, [b0, *bs])), "term string, coefficient double"), {"coefficient"})
 
 
 def _trained(spark, sf):
@@ -448,19 +464,19 @@ def q_calibrate_scores(spark, sf):
 
 def q_score_rows(spark, sf):
     model, _ = _trained(spark, sf)
-    return MD.score_rows(model, events_features(spark, sf))
+    return _r(MD.score_rows(model, events_features(spark, sf)), {"risk_score"})
 
 
 def q_score_latest(spark, sf):
     model, _ = _trained(spark, sf)
-    return MD.score_rows(model, TR.latest_period_rows(events_features(spark, sf)))
+    return _r(MD.score_rows(model, TR.latest_period_rows(events_features(spark, sf))), {"risk_score"})
 
 
 def q_fit_monthly_logit(spark, sf):
     out = JB.train_monthly_job(supplier_features(spark, sf), 6)
     m = out["model"]
-    return spark.createDataFrame(list(zip(["intercept", *m.features], [m.intercept, *m.coefficients])),
-                                 "term string, coefficient double")
+    rows = list(zip(["intercept", *m.features], [m.intercept, *m.coefficients]))
+    return _r(spark.createDataFrame(rows, "term string, coefficient double"), {"coefficient"})
 
 
 def q_score_latest_monthly(spark, sf):
@@ -468,7 +484,7 @@ def q_score_latest_monthly(spark, sf):
     last labelled one (SURVEY X3); train on the rest, score that month."""
     fm = supplier_features(spark, sf)
     model = JB.train_monthly_job(fm, 6)["model"]
-    return MD.score_rows(model, TR.latest_period_rows(fm, "month"), keys=("entity", "month"))
+    return _r(MD.score_rows(model, TR.latest_period_rows(fm, "month"), keys=("entity", "month")), {"risk_score"})
 
 
 def q_model_params(spark, sf):
@@ -476,9 +492,24 @@ def q_model_params(spark, sf):
     return model.params_frame(spark)
 
 
+def _parameters(spark, model) -> DataFrame:
+    """A model's parameters, a row for each."""
+    rows = [("chosen_regularization_c", model.chosen_c), ("intercept", model.intercept), *zip(model.features, model.coefficients),
+            ("sigmoid_a", model.sigmoid_a), ("sigmoid_b", model.sigmoid_b)]
+    return _r(spark.createDataFrame(rows, "parameter string, value double"), {"value"})
+
+
+def q_model_parameters(spark, sf):
+    return _parameters(spark, _trained(spark, sf)[0])
+
+
+def q_final_parameters(spark, sf):
+    return _parameters(spark, JB.train_final(events_features(spark, sf)))
+
+
 def q_holdout_detail(spark, sf):
     model, test = _trained(spark, sf)
-    return BT.holdout_detail(model, test)
+    return _r(BT.holdout_detail(model, test), {"risk_score"})
 
 
 def q_evaluate_half(spark, sf):
@@ -489,13 +520,14 @@ def q_evaluate_half(spark, sf):
 def q_backtest_last_period(spark, sf):
     f = events_features(spark, sf)
     _, _, metrics = BT.backtest(f, BT.last_outcome_periods(f, 1))
-    return metrics
+    return _r(metrics, {"positive_rate", "auc"})
 
 
 def q_backtest_last_two(spark, sf):
     runs = BT.backtest_last_two(events_features(spark, sf))
-    return runs["last_period"][2].withColumn("holdout", F.lit("last_period")).unionByName(
+    both = runs["last_period"][2].withColumn("holdout", F.lit("last_period")).unionByName(
         runs["last_two_periods"][2].withColumn("holdout", F.lit("last_two_periods")))
+    return _r(both, {"positive_rate", "auc"})
 
 
 def q_train_job(spark, sf):
@@ -503,7 +535,7 @@ def q_train_job(spark, sf):
 
 
 def q_backtest_report(spark, sf):
-    return BT.backtest_report(events_features(spark, sf))["comparison"]
+    return _r(BT.backtest_report(events_features(spark, sf))["comparison"], {"auc"})
 
 
 def q_train_final(spark, sf):
@@ -671,6 +703,8 @@ QUERIES = {
     "period_ranges": q_period_ranges,
     "format_metrics": q_format_metrics,
     "select_regularization": q_select_regularization,
+    "isotonic_pools": q_isotonic_pools,
+    "isotonic_scores": q_isotonic_scores,
     "fit_weighted_logit": q_fit_weighted_logit,
     "calibrate_scores": q_calibrate_scores,
     "score_rows": q_score_rows,
@@ -678,6 +712,8 @@ QUERIES = {
     "fit_monthly_logit": q_fit_monthly_logit,
     "score_latest_monthly": q_score_latest_monthly,
     "model_params": q_model_params,
+    "model_parameters": q_model_parameters,
+    "final_parameters": q_final_parameters,
     "holdout_detail": q_holdout_detail,
     "evaluate_half": q_evaluate_half,
     "backtest_last_period": q_backtest_last_period,
