@@ -12,19 +12,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .hot_keys import split_join
 from .prefix import limit_of, max_group_size, ordered_prefix_sums
 from .util import materialize
 
 
 def percentile_in_group(df: DataFrame, by: Sequence[str], score: str, out: str = "risk_percentile",
-                        size_bound: int | None = None) -> DataFrame:
-    """100 x share of the group's scores that are <= this row's score (`cume_dist`)."""
+                        size_bound: int | None = None, direct_limit: int | None = None) -> DataFrame:
+    """100 x share of the group's scores that are <= this row's score (`cume_dist`).
+
+    A NULL group is a group. Scores that many rows share join where the rows lie."""
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__cnt"))
-    pre = ordered_prefix_sums(counts, by, score, ["__cnt"], size_bound=size_bound)
+    pre = ordered_prefix_sums(counts, by, score, ["__cnt"], direct_limit, size_bound)
     pct = pre.select(
-        *by, score, ((F.col("__cnt_before") + F.col("__cnt")) / F.col("__cnt_total") * F.lit(100.0)).alias(out)
+        *by, score, ((F.col("__cnt_before") + F.col("__cnt")) / F.col("__cnt_total") * F.lit(100.0)).alias(out), "__cnt"
     )
-    return df.join(pct, [*by, score], "left")
+    return split_join(df, pct, [*by, score], "__cnt", size_bound, direct_limit=direct_limit)
 
 
 def top_share_flags(

@@ -13,8 +13,8 @@ Plan: requests are reduced to distinct (entity, period) keys before any lookup
 (repeated requests cost one lookup); per-entity bounds come from one aggregate
 over the feature table; scores and within-period percentiles are computed only
 for the periods some request resolved to. Percentiles are over every scoreable
-row of the period (SURVEY X21). Hot keys in the final join back to the requests
-are split by AQE's skew-join handling.
+row of the period (SURVEY X21). In the final join back, keys that many requests
+share are joined where the requests lie (`hot_keys.split_join`).
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import normalize_key_request
+from .hot_keys import heaviest, split_join
 from .ranking import percentile_in_group
 from .util import broadcast_if_small
 
@@ -88,7 +89,7 @@ def score_requests(
     requested periods are scored. Invalid requests have no entity to look up and
     go round the joins."""
     req = validate_requests(requests, bounds=bounds)
-    keys = req.where(~F.col("invalid")).select("entity", "as_of_period").distinct()
+    keys = req.where(~F.col("invalid")).groupBy("entity", "as_of_period").agg(F.count(F.lit(1)).alias("__requests"))
     wanted = keys.select("entity").distinct()
     info = entity_bounds(features.join(wanted, "entity", "left_semi"), model_features)
     resolved = keys.join(info, "entity", "left").withColumn(
@@ -104,16 +105,25 @@ def score_requests(
         scored.withColumnRenamed("period", "resolved_period").withColumn("__hit", F.lit(True)),
         ["entity", "resolved_period"], "left",
     )
-    status = (
-        F.when(~F.coalesce(F.col("__exists"), F.lit(False)), F.lit(UNKNOWN))
-        .when(F.col("available_periods_max").isNull(), F.lit(NO_SCOREABLE))
-        .when(~F.coalesce(F.col("__hit"), F.lit(False)), F.lit(UNAVAILABLE))
+    hit = hit.withColumn("status", status_of(F.col("__exists"), F.col("available_periods_max"), F.col("__hit")))
+    weights = heaviest(resolved, "__requests")
+    out = split_join(req.where(~F.col("invalid")), hit, ["entity", "as_of_period"], "__requests", weights=weights)
+    out = out.unionByName(req.where("invalid"), allowMissingColumns=True)
+    return answers(out, model_features, model_version, model_type)
+
+
+def status_of(exists: F.Column, latest: F.Column, hit: F.Column) -> F.Column:
+    """Status of a valid request."""
+    return (
+        F.when(~F.coalesce(exists, F.lit(False)), F.lit(UNKNOWN))
+        .when(latest.isNull(), F.lit(NO_SCOREABLE))
+        .when(~F.coalesce(hit, F.lit(False)), F.lit(UNAVAILABLE))
         .otherwise(F.lit(OK))
     )
-    hit = (hit.withColumn("status", status)
-           .withColumnRenamed("entity", "__h_entity").withColumnRenamed("as_of_period", "__h_as_of"))
-    on = (F.col("entity") == F.col("__h_entity")) & F.col("as_of_period").eqNullSafe(F.col("__h_as_of"))
-    out = req.where(~F.col("invalid")).join(hit, on, "left").unionByName(req.where("invalid"), allowMissingColumns=True)
+
+
+def answers(out: DataFrame, model_features: Sequence[str], model_version: str, model_type: str) -> DataFrame:
+    """Result rows of requests that have met their entity's bounds and their score."""
     is_ok = F.col("status") == OK
     st = F.when(F.col("invalid"), F.lit(INVALID)).otherwise(F.col("status"))
     features_map = F.create_map(*[x for c in model_features for x in (F.lit(c), F.col(c).cast("double"))])

@@ -6,6 +6,7 @@ Computed doubles are rounded to 6 digits so the SQL oracle can compare values.
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,9 @@ from . import jobs as JB
 from ..functions import text as FM
 from ..operators.util import round6
 from ..sources import raw as R
+from ..session import ensure_checkpoint_dir
 from ..sources import tables as T
+from ..streaming import requests as RQ
 
 
 # ----------------------------------------------------------------- panels ----
@@ -550,7 +553,8 @@ def q_score_requests_model(spark, sf):
     model = JB.train_final(ev.features)
     out = SCO.score_requests(T.event_requests(spark, sf), ev.features, model.transform, FE.YEARLY_FEATURE_COLUMNS,
                              "final", JB.MODEL_TYPE, bounds=T.EVENT_PERIOD_BOUNDS, size_bound=ev.rows)
-    return out.drop("features_used")
+    return _r(out.drop("features_used"), {"risk_score", "risk_percentile_in_period", "feature_lag_1", "feature_lag_3_mean_obs",
+                                          "feature_lag_5_mean_obs", "feature_periods_since_last_obs"})
 
 
 def q_model_metadata(spark, sf):
@@ -581,6 +585,20 @@ def q_score_requests(spark, sf):
                                           "feature_lag_5_mean_obs", "feature_periods_since_last_obs"})
 
 
+def q_score_request_stream(spark, sf):
+    """All requests as a stream of files against a published version, read back from the file sink."""
+    ev = events_pipeline(spark, sf)
+    work = f"{ensure_checkpoint_dir(spark)}/request-stream-{uuid.uuid4().hex}"
+    T.event_requests(spark, sf).write.parquet(f"{work}/requests")
+    version = RQ.publish(ev.features, lambda df: df.withColumn("risk_score", fixed_score()), FE.YEARLY_FEATURE_COLUMNS, f"{work}/static", ev.rows)
+    stream = RQ.start_request_stream(spark, f"{work}/requests", version, FE.YEARLY_FEATURE_COLUMNS, f"{work}/answers", f"{work}/checkpoint",
+                                     "fixed-params", "logistic_fixed_params", T.EVENT_PERIOD_BOUNDS)
+    stream.awaitTermination()
+    out = spark.read.parquet(f"{work}/answers")
+    return _r(out.drop("features_used"), {"risk_percentile_in_period", "feature_lag_1", "feature_lag_3_mean_obs",
+                                          "feature_lag_5_mean_obs", "feature_periods_since_last_obs"})
+
+
 def q_request_validation(spark, sf):
     v = SCO.validate_requests(T.event_requests(spark, sf), bounds=T.EVENT_PERIOD_BOUNDS)
     return v.select("request_id", "raw_key", "as_of_period", "entity", "invalid")
@@ -724,6 +742,7 @@ QUERIES = {
     "train_final": q_train_final,
     "score_requests_model": q_score_requests_model,
     "score_requests": q_score_requests,
+    "score_request_stream": q_score_request_stream,
     "request_validation": q_request_validation,
     "score_requests_resolve": q_score_requests_resolve,
     "resolve_names": q_resolve_names,

@@ -615,3 +615,4 @@ ORACLES["features_used"] = ORACLES["score_requests"].rsplit("SELECT request_id",
     f"SELECT request_id, '{c}' AS feature, {r6(f'CAST({c} AS DOUBLE)')} AS value FROM st WHERE status = 'ok'"
     for c in ("lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "periods_since_last_obs")
 ) + ")"
+ORACLES["score_request_stream"] = ORACLES["score_requests"]

@@ -1,30 +1,54 @@
 """Request-at-a-time scoring as a Structured Streaming job.
 
-Request files landing in a folder are read with `readStream`; each micro-batch
-is scored by the same batch plan as `score_requests` (stream-static join with
-the feature table, whose scores and percentiles are computed once at the start) and appended to a Parquet sink. The query is stateless, so
-no watermark is needed; the checkpoint makes it restartable after a failure
-(exactly-once for the file sink via the batch id in the output path).
+Request files that land in a folder meet the static side in two stream-static joins and go to a
+Parquet file sink. The sink's log and the checkpoint commit each batch exactly once, so the query
+may stop and start again at any time. No operator keeps state, so there is no watermark.
+
+The static side is published as a version of its own: the scored, ranked rows and the bounds of
+each entity, two tables in a new folder. A stream reads the version it is given; a later version takes over when
+the query is started again with it on the same checkpoint, without a request lost or answered twice.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.scoring import YEAR_BOUNDS, score_requests, scored_table
-from ..operators.util import materialize
+from ..operators.scoring import YEAR_BOUNDS, answers, entity_bounds, scored_table, status_of, validate_requests
 
 REQUEST_SCHEMA = "request_id long, raw_key string, as_of_period int"
 
 
+def publish(features: DataFrame, score: Callable[[DataFrame], DataFrame], model_features: Sequence[str], folder: str,
+            size_bound: int | None = None) -> str:
+    """Write a version of the static side into `folder`; returns its place."""
+    version = f"{folder}/version-{uuid.uuid4().hex}"
+    scored_table(features, score, model_features, size_bound).write.parquet(f"{version}/scored")
+    entity_bounds(features, model_features).write.parquet(f"{version}/entities")
+    return version
+
+
+def answered(spark: SparkSession, requests: DataFrame, version: str, model_features: Sequence[str], model_version: str,
+             model_type: str, bounds: tuple[int, int] = YEAR_BOUNDS) -> DataFrame:
+    """Requests, a table or a stream, joined to a published version. Keys of invalid requests are NULL and meet nothing."""
+    req = validate_requests(requests, bounds=bounds)
+    req = req.withColumn("__key", F.when(~F.col("invalid"), F.col("entity")))
+    entities = spark.read.parquet(f"{version}/entities").withColumnRenamed("entity", "__key")
+    met = req.join(entities, "__key", "left").withColumn("resolved_period", F.coalesce("as_of_period", "available_periods_max"))
+    scored = spark.read.parquet(f"{version}/scored").withColumnsRenamed({"entity": "__key", "period": "resolved_period"})
+    met = met.join(scored.withColumn("__hit", F.lit(True)), ["__key", "resolved_period"], "left")
+    status = F.when(~F.col("invalid"), status_of(F.col("__exists"), F.col("available_periods_max"), F.col("__hit")))
+    return answers(met.withColumn("status", status), model_features, model_version, model_type)
+
+
 def start_request_stream(
     spark: SparkSession,
     requests_dir: str,
-    features: DataFrame,
-    score: Callable[[DataFrame], DataFrame],
+    version: str,
     model_features: Sequence[str],
     output_dir: str,
     checkpoint_dir: str,
@@ -38,16 +62,7 @@ def start_request_stream(
     reader = spark.readStream.schema(REQUEST_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    requests = reader.parquet(requests_dir)
-    # The static side: scored and ranked once, not for each batch.
-    static = materialize(scored_table(features, score, model_features))
-
-    def score_batch(batch: DataFrame, batch_id: int) -> None:
-        out = score_requests(batch, features, score, model_features, model_version, model_type, bounds, scored=static)
-        # One folder per batch id: a replayed batch overwrites its own output (idempotent).
-        out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
-        batch.sparkSession.catalog.clearCache()  # what the batch persisted
-
-    writer = requests.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_dir)
+    out = answered(spark, reader.parquet(requests_dir), version, model_features, model_version, model_type, bounds)
+    writer = out.writeStream.format("parquet").option("path", output_dir).option("checkpointLocation", checkpoint_dir).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

@@ -55,7 +55,7 @@ def test_no_task_holds_the_copies_of_a_hot_value(spark):
         r = exact_quantiles(df, "v", [0.25, 0.5], names=["a", "b"], direct_limit=100).first()
     values = np.array([9.0 if i % 2 == 0 else i / 7 for i in range(4000)])
     assert (r.a, r.b) == pytest.approx(tuple(np.quantile(values, [0.25, 0.5])), rel=1e-12)
-    assert seen["rows"] == len(set(values))
+    assert seen["rows"] <= len(set(values))  # only the values near a wanted rank, and one for each gap between
 
 
 @settings(max_examples=5, deadline=None)
