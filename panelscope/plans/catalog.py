@@ -224,6 +224,20 @@ def q_monthly_features(spark, sf):
     return _r(supplier_features(spark, sf), {"lag_1", "lag_3_mean", "lag_12_mean"})
 
 
+def q_monthly_features_by_increments(spark, sf):
+    """The same table from three deliveries of months, each added to the table of those before."""
+    p = T.supplier_monthly(spark, sf).persist()
+    months = [r[0] for r in p.select("month").distinct().orderBy("month").collect()]  # a row for each month
+    folder = f"{ensure_checkpoint_dir(spark)}/monthly-{uuid.uuid4().hex}"
+    cuts = [months[0], months[len(months) // 2], months[-1]] if len(months) > 2 else months[:1]
+    out = None
+    for lo, hi in zip(cuts, [*cuts[1:], None]):
+        part = p.where((F.col("month") >= lo) & (F.col("month") < hi if hi else F.lit(True)))
+        out = JB.add_periods(spark, folder, part, lambda rows: FE.monthly_features(rows, unique_keys=True), time="month")
+    p.unpersist()
+    return _r(JB.standardize_monthly_features(out), {"lag_1", "lag_3_mean", "lag_12_mean"})
+
+
 # --------------------------------------------------------------- training ----
 
 def q_training_set(spark, sf):
@@ -541,6 +555,21 @@ def q_backtest_report(spark, sf):
     return _r(BT.backtest_report(events_features(spark, sf))["comparison"], {"auc"})
 
 
+REPORT_DOUBLES = {"auc", "risk_score", "p01", "p05", "p50", "p95", "p99"}
+
+
+def _report_query(name: str):
+    """One table of the backtest report."""
+    def run(spark, sf):
+        return _r(BT.backtest_report(events_features(spark, sf))[name], REPORT_DOUBLES)
+
+    return run
+
+
+REPORT_QUERIES = {f"report_{name}": _report_query(name) for name in (
+    "model_by_period", "model_last_period", "naive_by_period", "score_distribution", "top_predicted", "top_misses", "top_surprises")}
+
+
 def q_train_final(spark, sf):
     """E5 (final): the model trained on every training row, as its parameter row."""
     return JB.train_final(events_features(spark, sf)).params_frame(spark)
@@ -750,4 +779,6 @@ QUERIES = {
     "feature_table_compat": q_feature_table_compat,
     "standardize_features": q_standardize_features,
     "split_semi_anti": q_split_semi_anti,
+    "monthly_features_by_increments": q_monthly_features_by_increments,
+    **REPORT_QUERIES,
 }

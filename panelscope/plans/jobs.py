@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import platform
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import repad_key
@@ -18,6 +18,7 @@ from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import training as TR
 from ..operators.model import CalibratedLogit, train_calibrated, train_monthly
+from ..operators.util import materialize
 from .backtest import evaluate_half
 
 # Descriptive metadata text.
@@ -80,13 +81,56 @@ def load_or_build_features(spark: SparkSession, path: str, build, rebuild: bool
     it is never overwritten unless `rebuild` asks for that."""
     standardize = {"period": standardize_features, "month": standardize_monthly_features}[time]
     if rebuild or not table_exists(spark, path):
-        write_table(build(), path, partition_by=[time])
-    return standardize(spark.read.parquet(path))
-
-
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Overwrite a table as Parquet, CSV (header) or JSON, optionally partitioned."""
+        write_table(build(), path, partition_by=[time], order=["entity"])
+    found = spark.read.parquet(path)
+    if time == "period" and "outcome_period" not in found.columns:  # S5: an older table gets the column for good
+        whole = materialize(found.withColumn("outcome_period", F.col("period").try_cast("int") + 1))  # cut off from the files it replaces
+        write_table(whole, path, partition_by=[time], order=["entity"])
+        found = spark.read.parquet(path)
+    return standardize(found)
+
+
+def add_periods(spark: SparkSession, folder: str, new: DataFrame, build, time: str = "period", history: int = 12) -> DataFrame:
+    """S5/S6 as an increment: `new` panel rows, all later than those there, join the feature table under `folder`.
+
+    A state table holds each entity's last `history` observations, all that lags, rolling means and
+    gaps look back on. The features of these and the new rows are built, and the partitions from the last old period
+    on (its label is known only now) are written by dynamic overwrite; earlier partitions keep their files. A state is stored
+    under the period it reaches, so adding the same rows again starts from the same state and gives the
+    same table. `build` makes features from panel rows; what it takes from the panel, weights say, must not depend on other periods."""
+    features, states = f"{folder}/features", f"{folder}/states"
+    first, last = new.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return spark.read.parquet(features)
+    since, rows = None, new
+    if table_exists(spark, states):
+        known = spark.read.parquet(states).where(F.col("upto") < F.lit(first))
+        since = known.agg(F.max("upto")).first()[0]
+        if since is not None:
+            rows = known.where(F.col("upto") == F.lit(since)).drop("upto").unionByName(new)
+    table = build(rows)
+    if since is not None:
+        table = table.where(F.col(time) >= F.lit(since))
+    write_table(table, features, partition_by=[time], order=["entity"], dynamic=True)
+    latest = Window.partitionBy("entity").orderBy(F.col(time).desc())
+    state = rows.withColumn("__back", F.row_number().over(latest)).where(F.col("__back") <= history).drop("__back")
+    write_table(state.withColumn("upto", F.lit(last)), states, partition_by=["upto"], order=["entity"], dynamic=True)
+    return spark.read.parquet(features)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                order: list[str] | None = None, dynamic: bool = False) -> None:
+    """Overwrite a table as Parquet, CSV (header) or JSON, optionally partitioned; `dynamic` replaces only the partitions that `df` has.
+
+    T1/T2: with `order` the rows are dealt out in ranges of it and sorted, so the files, in order of
+    their names, hold the rows in order (of each partition, if there are any), and the statistics of row groups
+    let a lookup by the first column skip all but one or two."""
+    if order:
+        keys = [F.col(c) for c in [*(partition_by or []), *order]]
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite")
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
@@ -201,8 +245,8 @@ def train_monthly_job(features_m: DataFrame, test_months: int = 6) -> dict:
 
 def export_training_audit(features: DataFrame, out_dir: str) -> None:
     """Row audit and step counts as CSV tables."""
-    write_table(TR.training_row_audit(features), f"{out_dir}/training_row_audit", "csv")
-    write_table(TR.training_filter_counts(features).coalesce(1), f"{out_dir}/training_filter_counts", "csv")
+    write_table(TR.training_row_audit(features), f"{out_dir}/training_row_audit", "csv", order=["entity", "as_of_period"])
+    write_table(TR.training_filter_counts(features).coalesce(1).orderBy("step_index"), f"{out_dir}/training_filter_counts", "csv")
 
 
 def build_yearly_features(raw: DataFrame, on_duplicates: str = "error") -> DataFrame:

@@ -616,3 +616,4 @@ ORACLES["features_used"] = ORACLES["score_requests"].rsplit("SELECT request_id",
     for c in ("lag_1", "lag_3_mean_obs", "lag_5_mean_obs", "periods_since_last_obs")
 ) + ")"
 ORACLES["score_request_stream"] = ORACLES["score_requests"]
+ORACLES["monthly_features_by_increments"] = ORACLES["monthly_features"]
