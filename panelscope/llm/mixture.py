@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelscope.llm.store import stored
+from panelscope.llm.store import fresh, stored
 
 SHARE = 1.5  # of all words
 MOST = 2  # passes over a source
@@ -101,12 +101,14 @@ def curriculum(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     rows = mixed(docs, columns)
     passes = rows.select("row", "size", F.explode(F.array(F.struct(F.col("first_pass").alias("words"), "position"), F.struct(F.col("second_pass").alias("words"), F.col("second_position").alias("position")))).alias("pass"))
-    passes = passes.where("pass.words > 0").select("row.*", F.col("pass.words").alias("__words"), F.col("pass.position").alias("__position"), F.col("size").alias("__size"))
+    words, place, size = (fresh(c, columns) for c in ("__words", "__position", "__size"))
+    passes = passes.where("pass.words > 0").select("row.*", F.col("pass.words").alias(words), F.col("pass.position").alias(place), F.col("size").alias(size))
     pieces = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    passes = passes.withColumn("text", F.when(F.col("__words") < F.col("__size"), F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), " ")).otherwise(F.col("text")))
+    partly = F.col(words) < F.col(size)
+    passes = passes.withColumn("text", F.when(partly, F.array_join(F.slice(pieces, F.lit(1), F.col(words).cast("int")), " ")).otherwise(F.col("text")))
     if "n_chars" in columns:
-        passes = passes.withColumn("n_chars", F.when(F.col("__words") < F.col("__size"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return passes.orderBy("__position", "doc_id").select(*columns)
+        passes = passes.withColumn("n_chars", F.when(partly, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return passes.orderBy(place, "doc_id").select(*columns)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelscope.llm.memory import giving_back
-from panelscope.llm.store import released, stored
+from panelscope.llm.store import fresh, released, stored
 from panelscope.llm.words import lower_ascii, mix, slices, window_hashes, word_bounds, word_hashes
 
 WIDTH = 5  # words in a shingle
@@ -414,8 +414,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def kept(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, that near_duplicates() keeps; of rows with equal id and text one stays."""
-    ids = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    stay = docs.join(ids, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
+    stays, nth = fresh("__kept", docs.columns), fresh("__n", docs.columns)
+    ids = near_duplicates(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias(stays)).distinct()
+    stay = docs.join(ids, F.col("doc_id").cast("long") == F.col(stays), "left_semi")
     first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    stay = stay.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    stay = stay.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
     return stay.union(docs.where("doc_id is null"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def fresh(name: str, columns: Sequence[str]) -> str:
+    """`name`, with underscores added until no column of the caller's has it (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def released(*frames: DataFrame) -> None:
     """Delete tables made by `stored` that no lazy result needs any more."""
     for df in frames:

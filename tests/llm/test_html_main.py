@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -79,3 +80,20 @@ def test_trees_learn_an_interaction():
     x = np.random.default_rng(0).uniform(-1, 1, (2000, 3))
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
     assert ((Trees(x[:1000], y[:1000]).log_odds(x[1000:]) > 0) == y[1000:]).mean() > 0.95
+
+
+@pytest.mark.parametrize("tag", ["<a title=it's href=/x>", "<a title=it's class='b > c' href=/x>", '<p data-x="1\'2" title = \'say "hi" > now\'>', "<a ' href=/x>"])
+def test_quotes_in_attributes_hide_no_text(tag):
+    tree = parse(f"<body><div>this page {tag}isn't</a> the last, it's not. Last words</div></body>")
+
+    def texts(node):
+        return "".join(c if isinstance(c, str) else texts(c) for c in node.children)
+
+    assert texts(tree) == "this page isn't the last, it's not. Last words"
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a title='", '<a title="x', "<a =", "<script>", "<!--", "</a ", "<div><p>"])
+def test_a_page_of_unclosed_tags_is_read_in_linear_time(piece):
+    began = time.process_time()
+    parse(piece * ((1 << 20) // len(piece)) + "'")
+    assert time.process_time() - began < 4

@@ -126,3 +126,11 @@ def test_long_suffixes(spark):
     df = spark.createDataFrame([("a.b.co.uk",), ("x.com",), ("com",), ("",)], "h string")
     rows = [tuple(r) for r in df.select(H.domain_of(df.h), H.suffix_of(df.h)).collect()]
     assert rows == [("b.co.uk", "co.uk"), ("x.com", "com"), ("com", "com"), ("", "")]
+
+
+def test_curriculum_keeps_columns_named_like_our_own(spark):
+    rows = [(i, f"word{i} " * (i + 1), "a" if i % 2 else None, i, -i, "p") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __size int, __words int, __position string")
+    out = M.curriculum(docs)
+    assert out.columns == docs.columns
+    assert all((r["__size"], r["__words"], r["__position"]) == (r.doc_id, -r.doc_id, "p") for r in out.collect())

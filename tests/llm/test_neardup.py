@@ -75,3 +75,9 @@ def test_odd_rows(spark, odd, nothing):
     assert kept.columns == odd.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "4", "5", "6", "None"]
     assert N.kept(nothing).count() == 0
+
+
+def test_names_that_clash_with_our_own_columns(spark):
+    rows = [(1, "one two three four five six", 7, 8), (1, "one two three four five six", 7, 8), (2, "one two three four five six", 1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __n int, __KEPT int")
+    assert [tuple(r) for r in N.kept(docs).collect()] == [rows[0]]
