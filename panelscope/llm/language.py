@@ -58,6 +58,10 @@ def letters(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.insert(slots, at[:-1], 0), at + np.arange(len(at))
 
 
+#: Rows bundled at once: their counts are a matrix of rows by distinct trigrams.
+ROWS = 256
+
+
 def trigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Trigram codes around a letter, runs of spaces as one, and each one's row."""
     slots, cuts = letters(raw, offsets)
@@ -132,16 +136,17 @@ def predictor(names: list[str], vectors: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, raw, offsets in slices(batch.column(2), PART):
-                codes, rows = trigrams(raw, offsets)
-                some = np.bincount(rows, minlength=hi - lo) > 0
-                if names:
-                    docs = bundles(codes, rows, hi - lo).astype(np.float64)
+                every, of = trigrams(raw, offsets)  # in order of the rows
+                best, score = np.full(hi - lo, len(names)), np.zeros(hi - lo)
+                for first in range(0, hi - lo if names else 0, ROWS):
+                    n = min(ROWS, hi - lo - first)
+                    i, j = np.searchsorted(of, (first, first + n))
+                    some = np.bincount(of[i:j] - first, minlength=n) > 0
+                    docs = bundles(every[i:j], of[i:j] - first, n).astype(np.float64)
                     cosine = docs @ vectors.T / np.maximum(np.linalg.norm(docs, axis=1, keepdims=True), 1e-12)
                     cosine = np.round(cosine, 9)
-                    best = np.where(some, cosine.argmax(1), len(names))
-                    score = np.where(some, np.clip((1 + cosine.max(1)) / 2, 0, 1), 0.0)
-                else:
-                    best, score = np.zeros(hi - lo, np.int64), np.zeros(hi - lo)
+                    best[first : first + n] = np.where(some, cosine.argmax(1), len(names))
+                    score[first : first + n] = np.where(some, np.clip((1 + cosine.max(1)) / 2, 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(lo, hi - lo) for k in (0, 1)), choice.take(pa.array(best)), pa.array(score)],
                     names=["doc_id", "held_out", "lang_pred", "score"],

@@ -50,3 +50,22 @@ def test_only_text_counts(documents):
     again = L.prototypes(documents.withColumnRenamed("source", "x").withColumn("n_chars", documents.n_chars * 2))
     assert vectors[0] == again[0] and (vectors[1] == again[1]).all()
     assert one.count() == 60
+
+
+def test_many_short_texts_take_little_memory(documents):
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    names, vectors = L.prototypes(documents)
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüß   ") for _ in range(50)) for _ in range(10_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array([False] * 10_000), pa.array(texts)], names=["doc_id", "held_out", "text"])
+    tracemalloc.start()
+    many = pa.Table.from_batches(list(L.predictor(names, vectors)(iter([batch]))))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    one = pa.concat_tables([pa.Table.from_batches(list(L.predictor(names, vectors)(iter([batch.slice(k, 1)])))) for k in range(0, 10_000, 97)])
+    assert one.equals(many.take(np.arange(0, 10_000, 97)).combine_chunks()) or one.to_pylist() == many.take(np.arange(0, 10_000, 97)).to_pylist()
