@@ -388,15 +388,18 @@ def q_roc_points(spark, sf):
 
 def q_auc_delta(spark, sf):
     """Model AUC minus naive (lag_1) AUC, in basis points, for the last-1 and last-2 holdouts."""
-    rows = []
-    for k in (1, 2):
-        d, bound, f = fixed_detail_bound(spark, sf, k)
-        naive = d.join(f.select("entity", "period", "lag_1"), ["entity", "period"])
-        m = RK.roc_auc(d, [], size_bound=bound).first()["auc"]
-        n = RK.roc_auc(naive, [], score="lag_1", size_bound=bound).first()["auc"]
-        rows.append((k, m, n))
-    # Two scalar pairs computed by distributed jobs; the small result row is built here.
-    out = spark.createDataFrame(rows, "holdout_periods int, model_auc double, naive_auc double")
+    d, bound, f = fixed_detail_bound(spark, sf, 2)
+    d = d.join(f.select("entity", "period", "lag_1"), ["entity", "period"])
+    last = d.agg(F.max("outcome_period")).first()[0]
+    # Each row once for each holdout that it belongs to and each of the two scores: one grouped AUC.
+    held = F.when(F.col("outcome_period") == F.lit(last), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    each = d.select("y", F.explode(held).alias("holdout_periods"), "risk_score", "lag_1").select(
+        "y", "holdout_periods", F.inline(F.array(F.struct(F.lit("model").alias("scored_by"), F.col("risk_score").alias("score")),
+                                                 F.struct(F.lit("naive").alias("scored_by"), F.col("lag_1").cast("double").alias("score")))))
+    auc = RK.roc_auc(each, ["holdout_periods", "scored_by"], score="score", size_bound=bound)
+    out = auc.groupBy("holdout_periods").agg(
+        F.max(F.when(F.col("scored_by") == "model", F.col("auc"))).alias("model_auc"),
+        F.max(F.when(F.col("scored_by") == "naive", F.col("auc"))).alias("naive_auc"))
     return out.select("holdout_periods", round6("model_auc").alias("model_auc"), round6("naive_auc").alias("naive_auc"),
                       round6((F.col("model_auc") - F.col("naive_auc")) * 10000).alias("delta_bps"))
 
@@ -648,14 +651,45 @@ def q_score_requests_resolve(spark, sf):
 NAME_QUERIES = ["re", "gear", "blue b", "x"]
 
 
+# Letters that fold to plain ones, and signs that fold to several characters.
+FOLDED_LETTERS = ("aeioukn", "áèîõüＫ𝐧")
+FOLDED_SUFFIX = " № Ⅱ㎏ ½ﬄ"
+
+
 def name_queries(spark) -> DataFrame:
     return spark.createDataFrame(list(enumerate(NAME_QUERIES, start=1)), "query_id long, query_text string")
 
 
+def part_name_index(spark, sf):
+    """Postings and gram counts of the part names, stored in the shared folder."""
+    folder = f"{ensure_checkpoint_dir(spark)}/name-index-{uuid.uuid4().hex}"
+    JB.write_name_index(T.part_names(spark, sf), folder)
+    return JB.name_index(spark, folder)
+
+
 def q_resolve_names(spark, sf):
     return RS.resolve_names(T.part_names(spark, sf), name_queries(spark))
 
 
+def q_resolve_part_names(spark, sf):
+    """R2 in bulk: a piece of every part name whose key is divisible by 100, against all names."""
+    p = T.part_names(spark, sf).where(F.col("ord") % 100 == 0)
+    piece = F.col("name").substr((F.floor(F.col("ord") / 100) % 4 + 1).cast("int"), F.lit(6))
+    return RS.resolve_indexed(*part_name_index(spark, sf), p.select(F.col("ord").alias("query_id"), piece.alias("query_text")))
+
+
+def q_name_gram_counts(spark, sf):
+    _, counts = part_name_index(spark, sf)
+    return counts
+
+
+def q_fold_names(spark, sf):
+    """Every part name in letters that fold to others: accents, full width, Roman numerals, letter-like signs, beyond the basic plane."""
+    p = T.part_names(spark, sf)
+    written = F.concat(F.translate("name", *FOLDED_LETTERS), F.lit(FOLDED_SUFFIX))
+    return p.select("key", RS.normalize_text(written).alias("normalized_name"))
+
+
 def q_display_name(spark, sf):
     names = RS.clean_lookup(T.part_names(spark, sf))
     return names.select("key", "name", RS.display_name("name").alias("display_name"),
@@ -775,6 +809,9 @@ QUERIES = {
     "request_validation": q_request_validation,
     "score_requests_resolve": q_score_requests_resolve,
     "resolve_names": q_resolve_names,
+    "resolve_part_names": q_resolve_part_names,
+    "name_gram_counts": q_name_gram_counts,
+    "fold_names": q_fold_names,
     "display_name": q_display_name,
     "feature_table_compat": q_feature_table_compat,
     "standardize_features": q_standardize_features,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import repad_key
 from ..operators import clean as C
 from ..operators import features as FE
+from ..operators import resolve as RS
 from ..operators import training as TR
 from ..operators.model import CalibratedLogit, train_calibrated, train_monthly
 from ..operators.util import materialize
@@ -141,6 +142,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
         w.parquet(path)
 
 
+def write_name_index(lookup: DataFrame, path: str) -> None:
+    """R2: the lookup's postings, a folder for each bucket and files sorted by gram (a hot gram may lie in several), and its gram counts."""
+    write_table(RS.name_postings(lookup), f"{path}/postings", partition_by=["bucket"], order=["gram", "ord"])
+    postings, _ = name_index(lookup.sparkSession, path, counts=False)
+    RS.gram_counts(postings).write.mode("overwrite").parquet(f"{path}/counts")
+
+
+def name_index(spark: SparkSession, path: str, counts: bool = True) -> tuple[DataFrame, DataFrame | None]:
+    """Postings and gram counts of a stored index, as `resolve.resolve_indexed` takes them."""
+    return spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/counts") if counts else None
+
+
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """A raw CSV with a header, every column as STRING (no inference)."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path)

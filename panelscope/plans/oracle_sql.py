@@ -562,8 +562,9 @@ NAMES = f"""names AS (SELECT trim(p_name) AS name, trim(p_brand) AS group_code,
   WHERE p_name IS NOT NULL AND p_brand IS NOT NULL AND p_partkey IS NOT NULL)"""
 ORACLES["display_name"] = f"""WITH {NAMES}
 SELECT key, name, {display('name')} AS display_name, norm_name AS normalized_name FROM names"""
-ORACLES["resolve_names"] = f"""WITH {NAMES},
-q AS (SELECT * FROM (VALUES (1, 're'), (2, 'gear'), (3, 'blue b'), (4, 'x')) t(query_id, query_text)),
+def _resolved(queries: str) -> str:
+    return f"""WITH {NAMES},
+q AS ({queries}),
 qv AS (SELECT * FROM (SELECT query_id, query_text, {norm_text('query_text')} AS q_norm FROM q)
        WHERE length(trim(query_text)) >= 2 AND length(q_norm) >= 2),
 m AS (SELECT qv.query_id, qv.query_text, n.*, CASE WHEN starts_with(n.norm_name, qv.q_norm) THEN 0 ELSE 1 END AS tier
@@ -573,6 +574,17 @@ SELECT CAST(query_id AS BIGINT) AS query_id, query_text, CAST(rank AS INTEGER) A
   CASE WHEN tier = 0 THEN 'prefix' ELSE 'contains' END AS match,
   {display('name')} AS display_name FROM r WHERE rank <= 12"""
 
+
+ORACLES["resolve_names"] = _resolved(
+    "SELECT * FROM (VALUES (1, 're'), (2, 'gear'), (3, 'blue b'), (4, 'x')) t(query_id, query_text)")
+ORACLES["resolve_part_names"] = _resolved(
+    "SELECT p_partkey AS query_id, substr(p_name, CAST(p_partkey // 100 % 4 + 1 AS INTEGER), 6) AS query_text "
+    "FROM part WHERE p_partkey % 100 = 0 AND p_name IS NOT NULL")
+ORACLES["name_gram_counts"] = f"""WITH {NAMES},
+places AS (SELECT norm_name, unnest(range(1, length(norm_name))) AS i FROM names)
+SELECT substr(norm_name, i, 3) AS gram, count(*) AS n FROM places GROUP BY 1"""
+ORACLES["fold_names"] = f"""SELECT CAST(p_partkey AS VARCHAR) AS key, {norm_text('p_name')} || ' o iikg 1 2ffl' AS normalized_name FROM part"""
+
 # ------------------------------------------------- re-typing after a text trip ----
 
 def _retyped(src: str, outcome: str) -> str:
