@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelscope.llm.store import released, stored
+
 # The rules (host, path, verdict) of the filter.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Suffixes of more than one label under which names are registered.
@@ -85,7 +87,7 @@ def reputations(hosts: DataFrame) -> DataFrame:
 
 
 def judged(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """page_id, host, path, rule, verdict of each row of `pages` (page_id, url); `labels` has doc_id, quality."""
+    """page_id, host, path, rule, verdict, bad_rate and bad_bound (null without outcomes) of each row of `pages` (page_id, url); `labels` has doc_id, quality."""
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     number = F.expr("try_cast(nullif(regexp_extract(path, '([0-9]{1,18})[^0-9]*$', 1), '') AS bigint)")
     outcome = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("number")).agg((1 - F.min("quality")).alias("bad"))
@@ -93,10 +95,12 @@ def judged(pages: DataFrame, labels: DataFrame) -> DataFrame:
         parts.where("host <> ''").select("host", number.alias("number")).groupBy("host", "number").agg(F.count("*").alias("pages"))
         .join(outcome, "number").groupBy("host").agg(F.sum("pages").alias("n"), F.sum(F.col("pages") * F.col("bad")).alias("bad"))
     )
-    bounds = reputations(hosts)
+    hosts = stored(hosts, "host-outcomes")  # read by each level's sums and by the result
+    bounds = stored(reputations(hosts), "host-bounds")
+    released(hosts)
     rule, verdict = rule_columns(F.col("host"), F.col("path"))
     by_method = F.when(F.col("bound") > MOST_BAD, "block").otherwise("allow")
-    return parts.join(bounds, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"), F.round("rate", 6).alias("bad_rate"))
+    return parts.join(bounds, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_method).alias("verdict"), F.round("rate", 6).alias("bad_rate"), F.round("bound", 6).alias("bad_bound"))
 
 
 def _level(name: str, source: str, parent: str) -> str:
@@ -144,6 +148,6 @@ SELECT page_id, u.host, path,
   CASE {" ".join(f"WHEN {fits} THEN '{rule}'" for fits, rule, _ in [(c.replace("host", "u.host"), n, v) for c, n, v in _CASES])} END AS rule,
   CASE {" ".join(f"WHEN {fits} THEN '{says}'" for fits, _, says in [(c.replace("host", "u.host"), n, v) for c, n, v in _CASES])}
     WHEN rate - {Z}::DOUBLE * sqrt(rate * (1 - rate) / (r.n + m + 1)) > {MOST_BAD}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict,
-  round(rate, 6) AS bad_rate
+  round(rate, 6) AS bad_rate, round(rate - {Z}::DOUBLE * sqrt(rate * (1 - rate) / (r.n + m + 1)), 6) AS bad_bound
 FROM u LEFT JOIN r ON r.host = u.host
 """

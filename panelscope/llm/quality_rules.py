@@ -137,9 +137,10 @@ def judge(ratios: np.ndarray, least_score: float):
             for lo, hi, raw, offsets in slices(batch.column(1)):
                 s = statistics(raw, offsets)
                 x, cuts = gram_buckets(raw, offsets)
-                sums = np.concatenate([[0.0], np.cumsum(ratios[x])])
-                score = (sums[cuts[1:]] - sums[cuts[:-1]]) / np.maximum(np.diff(cuts), 1)
-                score = np.round(score, 9)  # a text's score does not depend on its neighbours in the slice
+                score = np.zeros(len(cuts) - 1)
+                has = np.flatnonzero(np.diff(cuts))
+                if len(has):  # each text summed by itself: its score does not depend on its neighbours in the slice
+                    score[has] = np.add.reduceat(ratios[x], cuts[:-1][has]) / np.diff(cuts)[has]
                 failed = (s["n_words"] < LEAST_WORDS) | (100 * s["n_repeat_words"] > MOST_REPEATED * s["n_words"])
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -122,6 +122,34 @@ def test_hosts_with_bad_outcomes_are_blocked(spark):
     assert all(v == ("block" if k % 2 or k == 900 else "allow") for k, v in got.items())
 
 
+def test_blocking_hosts_equal_the_oracle(spark):
+    """Hosts, domains and suffixes of unlike rates: some pass the bound, in Spark and in DuckDB alike."""
+    hosts = ["bad.x.com", "few.x.com", "good.x.com", "bad.y.co.uk", "mixed.z.org", "plain.example.net", ""]
+    worst = [0.95, 1.0, 0.1, 0.9, 0.5, 0.5, 0.5]
+    rows, marks = [], []
+    for k in range(1400):
+        h = k % 7
+        if h == 1 and k > 30:
+            continue
+        rows.append((k, f"https://{hosts[h]}/en/{k}.html" if k % 11 else None))
+        marks.append((k, int((k * 37 % 100) / 100 >= worst[h]), 0))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    out = H.judged(pages, labels)
+    got = {r.page_id: (r.host, r.verdict, r.bad_rate, r.bad_bound) for r in out.collect()}
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    con.register("labels", labels.toPandas())
+    at = con.execute(f"SELECT page_id, host, verdict, bad_rate, bad_bound FROM ({H.ORACLE})").fetchall()
+    want = {r[0]: tuple(r[1:]) for r in at}
+    assert got.keys() == want.keys()
+    for k, (host, verdict, rate, bound) in got.items():
+        assert (host, verdict) == want[k][:2]
+        assert (rate is None) == (want[k][2] is None) and (rate is None or abs(rate - want[k][2]) < 2e-6 and abs(bound - want[k][3]) < 2e-6)
+    blocked = {v[0] for v in got.values() if v[1] == "block"}
+    assert {"bad.x.com", "bad.y.co.uk"} <= blocked and not {"good.x.com", "mixed.z.org"} & blocked
+
+
 def test_long_suffixes(spark):
     df = spark.createDataFrame([("a.b.co.uk",), ("x.com",), ("com",), ("",)], "h string")
     rows = [tuple(r) for r in df.select(H.domain_of(df.h), H.suffix_of(df.h)).collect()]
