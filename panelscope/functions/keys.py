@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .once import once
+
 # Fixed value: key width of the built-in data sets; wider keys are an argument.
 KEY_WIDTH = 5
 
@@ -29,7 +31,7 @@ def digits_only(c: Column | str) -> Column:
 
 
 def _pad_if_fits(d: Column, width: int) -> Column:
-    return F.when((F.length(d) >= 1) & (F.length(d) <= width), F.lpad(d, width, "0"))
+    return once(d, lambda d: F.when((F.length(d) >= 1) & (F.length(d) <= width), F.lpad(d, width, "0")))
 
 
 def normalize_key(c: Column | str, width: int = KEY_WIDTH) -> Column:
@@ -43,18 +45,19 @@ def normalize_key_numeric(c: Column | str, width: int = KEY_WIDTH) -> Column:
     A stripped value made of digits with exactly one '.' becomes its integer part
     (leading zeros dropped, as int(float(x)) does); then the loader rule applies.
     """
-    t = strip_ws(c)
-    is_decimal_text = t.rlike(r"^([0-9]+\.[0-9]*|\.[0-9]+)$")
-    int_part = F.regexp_replace(F.regexp_extract(t, r"^([0-9]*)\.", 1), "^0+", "")
-    as_number = F.when(int_part == "", F.lit("0")).otherwise(int_part)
-    return normalize_key(F.when(is_decimal_text, as_number).otherwise(t), width)
+    def as_text(t: Column) -> Column:
+        is_decimal_text = t.rlike(r"^([0-9]+\.[0-9]*|\.[0-9]+)$")
+        int_part = F.regexp_replace(F.regexp_extract(t, r"^([0-9]*)\.", 1), "^0+", "")
+        as_number = once(int_part, lambda i: F.when(i == "", F.lit("0")).otherwise(i))
+        return F.when(is_decimal_text, as_number).otherwise(t)
+
+    return normalize_key(once(strip_ws(c), as_text), width)
 
 
 def normalize_key_request(c: Column | str, width: int = KEY_WIDTH) -> Column:
     """Request rule (P5): width + 1 digits with a leading 0 keep the last ones; more than width otherwise invalid."""
-    d = digits_only(strip_ws(c))
-    d = F.when((F.length(d) == width + 1) & d.startswith("0"), F.substring(d, 2, width)).otherwise(d)
-    return _pad_if_fits(d, width)
+    fitted = once(digits_only(c), lambda d: F.when((F.length(d) == width + 1) & d.startswith("0"), F.substring(d, 2, width)).otherwise(d))
+    return _pad_if_fits(fitted, width)
 
 
 def repad_key(c: Column | str) -> Column:
