@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from panelscope.functions import keys as K
+from panelscope.functions import values as V
 from panelscope.functions.once import once
+from panelscope.operators.clean import clean_panel_monthly, typed_monthly
 
 
 def optimized(df) -> str:
@@ -26,3 +28,23 @@ def test_a_filter_on_a_key_costs_few_patterns(spark):
         assert optimized(out.where(F.col("entity").isNotNull())).count("regexp_replace") <= most
         got = {r.k: r.entity for r in out.collect()}
         assert {k: got[k] for k in want} == want
+
+
+def test_month_text_meets_the_one_format_of_its_shape(spark):
+    texts = ["2024-03-05 10:11:12", "2024-03-05", "2024-03", "2024/03/05", "03/05/2024"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    fits = df.select("t", F.array(*[F.col("t").rlike(V._shape(f)) for f in V.MONTH_FORMATS]).alias("fits"))
+    assert {r.t: r.fits for r in fits.collect()} == {t: [i == k for k in range(len(texts))] for i, t in enumerate(texts)}
+    more = {"-0001-02-03": "-0001-02-01", "+12024-05": "+12024-05-01", "2024-02-30": None, "2024-3-05": None, "N": None, "": None, None: None,
+            "2024-03-05T10:11:12": None, " 2024-03-05 10:11:12.25 ": "2024-03-01", "2024-03-05 24:00:00": None}
+    got = spark.createDataFrame([(t,) for t in more], "t string").select("t", V.month_floor("t").cast("string").alias("m"))
+    assert {r.t: r.m for r in got.collect()} == more
+
+
+def test_monthly_cleaning_parses_each_text_once(spark):
+    raw = spark.createDataFrame([(" 1.0", "2024-03", "2.5"), ("2", "03/05/2024", "n/a"), ("x", "2024-03", "1"), ("3", "N", "1"), (None, None, None)],
+                                "`County FIPS` string, MONTH string, `Eviction Filing Rate` string")
+    out = clean_panel_monthly(raw)
+    assert [(r.entity, str(r.month), r.rate) for r in out.collect()] == [("00001", "2024-03-01", 2.5)]
+    assert out.schema.simpleString() == typed_monthly(raw).schema.simpleString()
+    assert optimized(out).count("gettimestamp") == len(V.MONTH_FORMATS)  # twice as many when a filter copies the parsing
