@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import materialize, with_count_below
+from ..functions.once import once
+from .util import materialize
 
 POOLS = "part int, lo double, hi double, n long, positives long"
 
@@ -32,15 +33,25 @@ class IsotonicCurve:
     predictions: list[float]
 
     def transform(self, df: DataFrame, score: str, out: str) -> DataFrame:
+        return df.withColumn(out, self.value_at(F.col(score)))
+
+    def value_at(self, score: Column) -> Column:
+        """The curve at `score`, a binary search in one expression of fixed size: a filter on the result that Spark moves below
+        it copies this expression, where a projection for each step would be copied into the next and double."""
         n = len(self.boundaries)
         xs, ys = F.lit(self.boundaries), F.lit(self.predictions)
-        found = with_count_below(df.withColumn("__edges", xs), "__edges", score, "__below", n)
-        i, v = F.col("__below"), F.col(score)
-        x0, x1 = F.try_element_at("__edges", i), F.try_element_at("__edges", i + 1)
-        y0, y1 = F.try_element_at(ys, i), F.try_element_at(ys, i + 1)
-        inside = F.when(v == x1, y1).otherwise(y0 + (y1 - y0) * (v - x0) / (x1 - x0))
-        value = F.when(v.isNull(), None).when(i == 0, F.lit(self.predictions[0])).when(i == n, F.lit(self.predictions[-1])).otherwise(inside)
-        return found.withColumn(out, value).drop("__edges", "__below")
+        steps = F.lit([1 << k for k in reversed(range(n.bit_length()))])
+
+        def at(v: Column) -> Column:
+            below = F.aggregate(steps, F.lit(0), lambda i, step: F.when((i + step <= n) & (F.get(xs, i + step - 1) < v), i + step).otherwise(i))
+            return once(below, lambda i: between(v, i))
+
+        def between(v: Column, i: Column) -> Column:
+            x0, x1, y0, y1 = F.get(xs, i - 1), F.get(xs, i), F.get(ys, i - 1), F.get(ys, i)
+            inside = F.when(v == x1, y1).otherwise(y0 + (y1 - y0) * (v - x0) / (x1 - x0))
+            return F.when(i == 0, F.lit(self.predictions[0])).when(i == n, F.lit(self.predictions[-1])).otherwise(inside)
+
+        return once(score.cast("double"), lambda v: F.when(v.isNotNull(), at(v)))
 
 
 def pooled(rows: Iterator[tuple[float, float, int, int]]) -> list[tuple[float, float, int, int]]:
