@@ -56,8 +56,11 @@ def normalize_key_numeric(c: Column | str, width: int = KEY_WIDTH) -> Column:
 
 def normalize_key_request(c: Column | str, width: int = KEY_WIDTH) -> Column:
     """Request rule (P5): width + 1 digits with a leading 0 keep the last ones; more than width otherwise invalid."""
-    fitted = once(digits_only(c), lambda d: F.when((F.length(d) == width + 1) & d.startswith("0"), F.substring(d, 2, width)).otherwise(d))
-    return _pad_if_fits(fitted, width)
+    def fitted(d: Column) -> Column:
+        last = F.when(d.startswith("0"), F.substring(d, 2, width))
+        return F.when(F.length(d) == width + 1, last).when((F.length(d) >= 1) & (F.length(d) <= width), F.lpad(d, width, "0"))
+
+    return once(digits_only(c), fitted)
 
 
 def repad_key(c: Column | str) -> Column:

@@ -14,7 +14,10 @@ Plan: requests are reduced to distinct (entity, period) keys before any lookup
 over the feature table; scores and within-period percentiles are computed only
 for the periods some request resolved to. Percentiles are over every scoreable
 row of the period (SURVEY X21). In the final join back, keys that many requests
-share are joined where the requests lie (`hot_keys.split_join`).
+share are joined where the requests lie (`hot_keys.split_join`). Invalid requests
+share one key, NULL, which meets no entity. So the requests are read three times: once
+for the keys, and once each for the shared and the other keys of the join back; keys,
+resolved keys and their answers are kept between these reads.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ OK, INVALID, UNKNOWN, NO_SCOREABLE, UNAVAILABLE = (
     "ok", "invalid", "unknown_entity", "no_scoreable_period", "period_unavailable"
 )
 YEAR_BOUNDS = (2000, 2100)
+_KEY = ["__entity", "__as_of_period"]  # what a request is looked up by
 
 
 def validate_requests(requests: DataFrame, key: str = "raw_key", period: str = "as_of_period",
@@ -86,14 +90,14 @@ def score_requests(
     `score(df)` adds `risk_score` to feature rows (a fitted model's `transform`
     or an explicit-parameter expression). `scored`, if given, is `scored_table`
     of the same features, made once for many batches; otherwise only the
-    requested periods are scored. Invalid requests have no entity to look up and
-    go round the joins."""
-    req = validate_requests(requests, bounds=bounds)
-    keys = req.where(~F.col("invalid")).groupBy("entity", "as_of_period").agg(F.count(F.lit(1)).alias("__requests"))
-    wanted = keys.select("entity").distinct()
-    info = entity_bounds(features.join(wanted, "entity", "left_semi"), model_features)
-    resolved = keys.join(info, "entity", "left").withColumn(
-        "resolved_period", F.coalesce(F.col("as_of_period"), F.col("available_periods_max"))
+    requested periods are scored. Invalid requests have no entity to look up: their key is NULL."""
+    req = validate_requests(requests, bounds=bounds).withColumns(
+        {k: F.when(~F.col("invalid"), F.col(c)) for k, c in zip(_KEY, ("entity", "as_of_period"))})
+    keys = req.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("__requests")).persist()  # read by the bounds and by `resolved`
+    wanted = keys.select(F.col(_KEY[0]).alias("entity")).distinct()
+    info = entity_bounds(features.join(wanted, "entity", "left_semi"), model_features).withColumnRenamed("entity", _KEY[0])
+    resolved = keys.join(info, _KEY[0], "left").withColumn(
+        "resolved_period", F.coalesce(F.col(_KEY[1]), F.col("available_periods_max"))
     ).persist()  # read by the period filter and by the final join
 
     if scored is None:
@@ -102,13 +106,12 @@ def score_requests(
         scored = scored_table(features.join(periods, "period", "left_semi"), score, model_features, size_bound)
 
     hit = resolved.join(
-        scored.withColumnRenamed("period", "resolved_period").withColumn("__hit", F.lit(True)),
-        ["entity", "resolved_period"], "left",
+        scored.withColumnsRenamed({"entity": _KEY[0], "period": "resolved_period"}).withColumn("__hit", F.lit(True)),
+        [_KEY[0], "resolved_period"], "left",
     )
     hit = hit.withColumn("status", status_of(F.col("__exists"), F.col("available_periods_max"), F.col("__hit")))
-    weights = heaviest(resolved, "__requests")
-    out = split_join(req.where(~F.col("invalid")), hit, ["entity", "as_of_period"], "__requests", weights=weights)
-    out = out.unionByName(req.where("invalid"), allowMissingColumns=True)
+    hit = hit.persist()  # read by both sides of the split join
+    out = split_join(req, hit, _KEY, "__requests", weights=heaviest(keys, "__requests"))
     return answers(out, model_features, model_version, model_type)
 
 

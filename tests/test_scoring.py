@@ -53,3 +53,25 @@ def test_empty_request_table(spark):
 def test_repeated_requests_each_get_a_row(spark):
     out = run(spark, [(i, "39049", None) for i in range(50)])
     assert len(out) == 50 and {r.status for r in out.values()} == {"ok"}
+
+
+def test_requests_are_read_three_times(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            reads.add(len(frame))
+            yield frame
+
+    keys = ["39049", "06037", "01001", "99999", "   ", "1234567"]
+    rows = [(i, keys[i % 6], None if i % 5 == 0 else 2016 + i % 3) for i in range(3000)] + [(3000, "39049", 1999)]
+    reqs = spark.createDataFrame(rows, "request_id long, raw_key string, as_of_period int").repartition(2)
+    out = SCO.score_requests(reqs.mapInPandas(counted, reqs.schema), features(spark), score, FEATS, "v1", "logit")
+    got = {r.request_id: r for r in out.drop("features_used").collect()}
+    assert len(got) == len(rows) and reads.value <= 3 * len(rows)
+    one = {(r.raw_key, q[2]): tuple(r)[1:] for q in rows for r in [got[q[0]]]}
+    assert all(tuple(got[i])[1:] == one[k, p] for i, k, p in rows)
+    # NULL is the key of invalid requests: their own period stays, and nothing else is answered
+    assert {tuple(got[i])[2:9] for i in (4, 5, 3000)} == {
+        (None, 2017, "invalid", None, "v1", "logit", None), (None, None, "invalid", None, "v1", "logit", None),
+        ("39049", 1999, "invalid", None, "v1", "logit", None)}
