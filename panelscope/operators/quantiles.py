@@ -85,7 +85,7 @@ def exact_quantiles(
     if size_bound is not None and size_bound <= limit_of(direct_limit):
         counts = vals.groupBy(*by, _V).agg(F.count(F.lit(1)).alias("__cnt")).withColumn("__in", F.lit(True))
     else:
-        counts = bracketed_counts(vals, by, probs)
+        counts = materialize(bracketed_counts(vals, by, probs))  # few rows, read by the size check and by the running counts
     ranked = ordered_prefix_sums(counts, by, _V, ["__cnt"], direct_limit, size_bound)
 
     n, before, upto = F.col("__cnt_total"), F.col("__cnt_before"), F.col("__cnt_before") + F.col("__cnt")

@@ -23,11 +23,22 @@ def percentile_in_group(df: DataFrame, by: Sequence[str], score: str, out: str =
 
     A NULL group is a group. Scores that many rows share join where the rows lie."""
     counts = df.groupBy(*by, score).agg(F.count(F.lit(1)).alias("__cnt"))
-    pre = ordered_prefix_sums(counts, by, score, ["__cnt"], direct_limit, size_bound)
+    values, weights = size_bound, None
+    if size_bound is None or size_bound > limit_of(direct_limit):
+        counts = counts.persist()  # read by its profile and by each read of the running counts
+        values, weights = _profile(counts, by)
+    pre = ordered_prefix_sums(counts, by, score, ["__cnt"], direct_limit, values)
     pct = pre.select(
         *by, score, ((F.col("__cnt_before") + F.col("__cnt")) / F.col("__cnt_total") * F.lit(100.0)).alias(out), "__cnt"
     )
-    return split_join(df, pct, [*by, score], "__cnt", size_bound, direct_limit=direct_limit)
+    return split_join(df, pct, [*by, score], "__cnt", size_bound, weights, direct_limit=direct_limit)
+
+
+def _profile(counts: DataFrame, by: Sequence[str]) -> tuple[int, tuple[int, int]]:
+    """Most values of a group, and sum and largest of the counts."""
+    groups = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum("__cnt").alias("s"), F.max("__cnt").alias("m"))
+    values, total, most = groups.agg(F.max("n"), F.sum("s"), F.max("m")).first()
+    return values or 0, (total or 0, most or 0)
 
 
 def top_share_flags(

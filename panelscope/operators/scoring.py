@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import normalize_key_request
 from .hot_keys import heaviest, split_join
 from .ranking import percentile_in_group
-from .util import broadcast_if_small
+from .util import broadcast_if_small, materialize
 
 # Request statuses and the default period bounds of a request.
 OK, INVALID, UNKNOWN, NO_SCOREABLE, UNAVAILABLE = (
@@ -93,17 +93,16 @@ def score_requests(
     requested periods are scored. Invalid requests have no entity to look up: their key is NULL."""
     req = validate_requests(requests, bounds=bounds).withColumns(
         {k: F.when(~F.col("invalid"), F.col(c)) for k, c in zip(_KEY, ("entity", "as_of_period"))})
-    keys = req.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("__requests")).persist()  # read by the bounds and by `resolved`
-    wanted = keys.select(F.col(_KEY[0]).alias("entity")).distinct()
-    info = entity_bounds(features.join(wanted, "entity", "left_semi"), model_features).withColumnRenamed("entity", _KEY[0])
+    keys = req.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("__requests")).persist()  # read by `resolved` and by `heaviest`
+    info = entity_bounds(features, model_features).withColumnRenamed("entity", _KEY[0])
     resolved = keys.join(info, _KEY[0], "left").withColumn(
         "resolved_period", F.coalesce(F.col(_KEY[1]), F.col("available_periods_max"))
     ).persist()  # read by the period filter and by the final join
 
     if scored is None:
-        periods = broadcast_if_small(resolved.where(F.col("resolved_period").isNotNull())
-                                     .select(F.col("resolved_period").alias("period")).distinct())
-        scored = scored_table(features.join(periods, "period", "left_semi"), score, model_features, size_bound)
+        periods = materialize(resolved.where(F.col("resolved_period").isNotNull())
+                              .select(F.col("resolved_period").alias("period")).distinct())  # joined at each read of the scores
+        scored = scored_table(features.join(broadcast_if_small(periods), "period", "left_semi"), score, model_features, size_bound)
 
     hit = resolved.join(
         scored.withColumnsRenamed({"entity": _KEY[0], "period": "resolved_period"}).withColumn("__hit", F.lit(True)),
